@@ -82,7 +82,7 @@ def pr_auc(df, y="y", p="p", tie="customer_id", groups=(), rows_per_bucket=R.ROW
     curve = cumulative_pr(df, y, p, tie, groups, rows_per_bucket)
     mean = F.avg(F.when(F.col(y) == 1, F.col("precision_at_row")))
     return curve.groupBy(*groups).agg(
-        F.coalesce(F.least(mean, F.lit(1.0)), F.lit(0.0)).alias("pr_auc"))
+        F.least(F.coalesce(mean, F.lit(0.0)), F.lit(1.0)).alias("pr_auc"))
 
 
 def auc_by(df, group, y="y", p="p", tie="customer_id", rows_per_bucket=R.ROWS_PER_BUCKET):
