@@ -3,13 +3,19 @@
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
+from riskloom.functions.probability import hard_predict, stable_sigmoid
 from riskloom.operators.aggregates import class_weights
 from riskloom.schemas import FEATURES, LABEL
+from riskloom.session import scratch_path
 
 PROBABILITY = "probability_of_default"
 ROWS_PER_TASK = 200_000
+ROWS = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("y", T.DoubleType()),
+    T.StructField("x", T.ArrayType(T.DoubleType())),
+])
 
 
 class Model:
@@ -19,17 +25,24 @@ class Model:
 
     def probability(self):
         """The probability as a column over the feature columns."""
-        raise NotImplementedError
+        return stable_sigmoid(self.log_odds())
+
+    def log_odds(self):
+        """For models with a logistic link: its argument as a column, else None."""
+        return None
 
     def importances(self):
         raise NotImplementedError
 
     def transform(self, df, probability=PROBABILITY):
-        return df.withColumn(probability, self.probability())
+        z = self.log_odds()
+        if z is None:
+            return df.withColumn(probability, self.probability())
+        # The link looks at its argument three times: compute it once, as a column of its own.
+        return df.withColumn("_log_odds", z).withColumn(
+            probability, stable_sigmoid(F.col("_log_odds"))).drop("_log_odds")
 
     def predict(self, df, threshold=0.5, prediction="prediction"):
-        from riskloom.functions.probability import hard_predict
-
         return df.withColumn(prediction, hard_predict(self.probability(), threshold))
 
 
@@ -42,30 +55,38 @@ def shares(values):
 
 
 class TrainingTable:
-    """The feature vector and label of each row, kept on the executors for repeated passes.
+    """The feature vector and label of each row, written once and kept for repeated passes.
 
-    A lost executor's part is read again from its source. Small tables are held in few tasks,
-    which saves scheduling; large ones keep the partitions they come in, nothing is shuffled.
+    The table goes to the shared scratch folder: the many small jobs of an iterative fit then
+    plan from one scan instead of the whole history of the input, and what a lost executor kept
+    is read again from there. Small tables are held in few tasks, which saves scheduling; large
+    ones keep the partitions of the scan.
     """
 
-    def __init__(self, df, names=FEATURES, label=LABEL, key="customer_id", extra=()):
-        self.counts = class_weights(df, label).first()
-        if not self.counts["samples"]:
-            raise ValueError("no training rows")
+    def __init__(self, df, names=FEATURES, label=LABEL, key="customer_id"):
         self.names = list(names)
-        tasks = math.ceil(self.counts["samples"] / ROWS_PER_TASK)
-        table = df.select(
+        spark = df.sparkSession
+        path = scratch_path(spark, "training")
+        df.select(
             F.col(key).cast("bigint").alias("id"),
             F.when(F.col(label) == 1, 1.0).otherwise(0.0).alias("y"),
-            F.array(*[F.col(n).cast("double") for n in self.names]).alias("x"),
-            *extra,
-        )
-        self.rows = table.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+            F.array(*[F.coalesce(F.col(n).cast("double"), F.lit(float("nan"))) for n in self.names]).alias("x"),
+        ).write.parquet(path)
+        stored = spark.read.schema(ROWS).parquet(path)
+        self.counts = class_weights(stored, "y").first()
+        if not self.counts["samples"]:
+            raise ValueError("no training rows")
+        tasks = math.ceil(self.counts["samples"] / ROWS_PER_TASK)
+        self.rows = stored.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
 
     @property
     def prior_log_odds(self):
         return math.log(self.counts["n_pos"] / self.counts["n_neg"])
 
+    def columns(self):
+        """The features as columns again."""
+        return self.rows.select(*[F.get("x", F.lit(j)).alias(n) for j, n in enumerate(self.names)])
+
     def __enter__(self):
         return self
 

@@ -38,7 +38,7 @@ def draw_counts(key, trees, seed):
 
 def bootstrap_weights(df, trees=TREES, seed=42, key="customer_id"):
     """(key, tree, draws) for every row a tree draws at least once."""
-    return df.select(key, F.posexplode(draw_counts(F.col(key), trees, seed)).alias("tree", "draws")).where(
+    return df.select(key, F.posexplode(draw_counts(F.col(key).cast("bigint"), trees, seed)).alias("tree", "draws")).where(
         F.col("draws") > 0)
 
 
@@ -67,7 +67,7 @@ class ForestModel(TreeModel):
 
 def fit_random_forest(df, trees=TREES, depth=DEPTH, min_split=MIN_SPLIT, seed=42, names=FEATURES,
                       label=LABEL, key="customer_id", max_distinct=MAX_DISTINCT):
-    draws = draw_counts(F.col(key), trees, seed)
+    draws = draw_counts(F.col("id"), trees, seed)
     with CodedTable(df, names, label, key, draws, max_distinct) as table:
         weights = ClassWeights(table.counts["w_pos"], table.counts["w_neg"])
         subsets = feature_subsets(len(names), trees, seed)

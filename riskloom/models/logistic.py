@@ -10,13 +10,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
-from riskloom.functions.probability import LOGIT_LIMIT, stable_sigmoid
+from riskloom.functions.probability import LOGIT_LIMIT
 from riskloom.models.base import Model, TrainingTable, matrix, shares
 from riskloom.operators.aggregates import feature_moments
 from riskloom.schemas import FEATURES, LABEL
 
 LEARNING_RATE, EPOCHS, L2 = 0.05, 150, 0.001
 DECAY = 0.01
+MAX_PARTIALS = 1_000
 
 
 @dataclass
@@ -28,11 +29,11 @@ class LogisticModel(Model):
     features: list
     name: str = "Logistic Regression"
 
-    def probability(self):
+    def log_odds(self):
         z = F.lit(self.bias)
         for w, column in zip(self.weights, zscore(self.features, self.means, self.deviations)):
             z = z + F.lit(w) * column
-        return stable_sigmoid(z)
+        return z
 
     def importances(self):
         return shares([abs(w) for w in self.weights])
@@ -69,17 +70,21 @@ def fit_logistic(df, lr=LEARNING_RATE, epochs=EPOCHS, l2=L2, names=FEATURES, lab
     names = list(names)
     width = len(names)
     schema = T.StructType([T.StructField(f"g{j}", T.DoubleType()) for j in range(width + 1)])
-    sums = [F.sum(f.name) for f in schema.fields]
-    moments = feature_moments(df, names).first()
-    means = np.array([moments[f"mean_{n}"] for n in names])
-    deviations = np.array([moments[f"sd_{n}"] for n in names])
+    merged = [F.sum(f.name).alias(f.name) for f in schema.fields]
     with TrainingTable(df, names, label) as table:
+        moments = feature_moments(table.columns(), names).first()
+        means = np.array([moments[f"mean_{n}"] for n in names])
+        deviations = np.array([moments[f"sd_{n}"] for n in names])
         c = table.counts
         weights, bias = np.zeros(width), table.prior_log_odds
         rows = table.rows.select("x", "y")
+        few_tasks = rows.rdd.getNumPartitions() <= MAX_PARTIALS
         for epoch in range(epochs):
             step = _partial_gradient(weights, bias, means, deviations, c["w_pos"], c["w_neg"])
-            gradient = np.array(rows.mapInArrow(step, schema).agg(*sums).first())
+            partials = rows.mapInArrow(step, schema)
+            if not few_tasks:
+                partials = partials.agg(*merged)
+            gradient = np.array(partials.collect()).sum(axis=0)  # one row per task
             rate = lr / (1.0 + DECAY * epoch)
             weights = weights - rate * (gradient[:width] / c["samples"] + l2 * weights)
             bias -= rate * gradient[width] / c["samples"]

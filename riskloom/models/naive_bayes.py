@@ -5,7 +5,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from riskloom.functions.probability import stable_sigmoid
 from riskloom.models.base import Model, shares
 from riskloom.operators.aggregates import VARIANCE_SMOOTHING, class_moments
 from riskloom.schemas import FEATURES, LABEL
@@ -34,10 +33,10 @@ class NaiveBayesModel(Model):
                 F.lit(math.log(2.0 * math.pi) + math.log(v)) + diff * diff / F.lit(v))
         return total
 
-    def probability(self):
+    def log_odds(self):
         positive = self._log_joint(self.prior_pos, self.means_pos, self.vars_pos)
         negative = self._log_joint(self.prior_neg, self.means_neg, self.vars_neg)
-        return stable_sigmoid(positive - negative)
+        return positive - negative
 
     def importances(self):
         distances = [

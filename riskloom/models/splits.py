@@ -1,76 +1,89 @@
-"""Best split per node from value statistics, as window and aggregate operators.
+"""Best split per node from value statistics, as one SQL statement per step.
 
 ``stats`` has one row per (node keys, feature, value) with ``cnt`` rows, ``wgt`` weight and
-``pos`` positive weight. Weighted impurities are mixed by row counts.
+``pos`` positive weight; ``feature`` is the position in the order in which features are tried.
+Weighted impurities are mixed by row counts. The text form keeps planning short, because a tree
+asks for these plans once per level.
 """
 
-from pyspark.sql import functions as F, Window
+from pyspark.sql import functions as F
 
 TARGET_CANDIDATES = 15
 GAIN_DIGITS = 12
 MIN_GAIN = 1e-7
 
 
-def split_candidates(stats, keys, target=TARGET_CANDIDATES):
+def _candidates(source, keys, target):
+    node = ", ".join([*keys, "feature"])
+    return f"""
+    SELECT * FROM (
+      SELECT *,
+        row_number() OVER up_to AS rn, count(*) OVER node AS distinct_values,
+        sum(cnt) OVER up_to AS left_cnt, sum(wgt) OVER up_to AS left_wgt, sum(pos) OVER up_to AS left_pos,
+        sum(cnt) OVER node AS node_cnt, sum(wgt) OVER node AS node_wgt, sum(pos) OVER node AS node_pos
+      FROM {source}
+      WINDOW up_to AS (PARTITION BY {node} ORDER BY value ROWS UNBOUNDED PRECEDING),
+             node AS (PARTITION BY {node})
+    ) WHERE (rn - 1) % greatest(distinct_values DIV {target}, 1) = 0"""
+
+
+def _impurity(pos, wgt):
+    share = f"({pos}) / ({wgt})"
+    return f"CASE WHEN {wgt} > 0 THEN 1 - (pow({share}, 2) + pow(1 - {share}, 2)) ELSE 0D END"
+
+
+def _gains(candidates):
+    left = _impurity("left_pos", "left_wgt")
+    right = _impurity("node_pos - left_pos", "node_wgt - left_wgt")
+    return f"""
+    SELECT *, CASE WHEN node_cnt > left_cnt THEN round({_impurity('node_pos', 'node_wgt')}
+        - (left_cnt * {left} + (node_cnt - left_cnt) * {right}) / node_cnt, {GAIN_DIGITS})
+      ELSE -1D END AS gain
+    FROM ({candidates})"""
+
+
+_BEST = "value, gain, left_cnt, left_wgt, left_pos, node_cnt, node_wgt, node_pos"
+
+
+def split_candidates(stats, keys=(), target=TARGET_CANDIDATES):
     """Every ``max(L div target, 1)``-th of the L ascending values of a feature in a node.
 
     Adds the running sums up to the value and the node totals, all in one window pass.
     """
-    node = Window.partitionBy(*keys, "feature")
-    ascending = node.orderBy("value")
-    left = ascending.rowsBetween(Window.unboundedPreceding, 0)
-    everything = node
-    columns = {"_rn": F.row_number().over(ascending), "_values": F.count(F.lit(1)).over(everything)}
-    for c in ("cnt", "wgt", "pos"):
-        columns[f"left_{c}"] = F.sum(c).over(left)
-        columns[f"node_{c}"] = F.sum(c).over(everything)
-    step = F.greatest(F.floor(F.col("_values") / target), F.lit(1))
-    return stats.withColumns(columns).where((F.col("_rn") - 1) % step == 0).drop("_rn", "_values")
-
-
-def _impurity(pos, wgt):
-    p = F.when(wgt > 0, pos / wgt)
-    return F.coalesce(1 - (p * p + (1 - p) * (1 - p)), F.lit(0.0))
+    return stats.sparkSession.sql(_candidates("{stats}", keys, target), stats=stats)
 
 
 def split_gains(candidates):
     """Adds ``gain``; the last value of a node leaves nothing to its right and gets -1."""
-    c = {f"{side}_{k}": F.col(f"{side}_{k}") for side in ("left", "node") for k in ("cnt", "wgt", "pos")}
-    right_cnt = c["node_cnt"] - c["left_cnt"]
-    right = _impurity(c["node_pos"] - c["left_pos"], c["node_wgt"] - c["left_wgt"])
-    left = _impurity(c["left_pos"], c["left_wgt"])
-    mixed = (c["left_cnt"] * left + right_cnt * right) / c["node_cnt"]
-    gain = _impurity(c["node_pos"], c["node_wgt"]) - mixed
-    return candidates.withColumn(
-        "gain", F.when(right_cnt > 0, F.round(gain, GAIN_DIGITS)).otherwise(F.lit(-1.0)))
+    return candidates.sparkSession.sql(_gains("SELECT * FROM {candidates}"), candidates=candidates)
 
 
-def best_splits(stats, keys=(), target=TARGET_CANDIDATES):
-    """One row per (keys, feature position): its best candidate, first threshold on equal gain.
+def best_splits(partials, keys=(), target=TARGET_CANDIDATES):
+    """One row per (keys, feature): its best candidate, lowest threshold on equal gain.
 
-    ``feature`` is the position in the order in which features are tried; the caller takes the
-    first position with the greatest gain per node.
+    ``partials`` may hold several rows per value; they are added up first, on the map side too.
+    The caller takes the first feature with the greatest gain per node.
     """
-    gains = split_gains(split_candidates(stats, keys, target))
-    payload = ["value", "gain", "left_cnt", "left_wgt", "left_pos", "node_cnt", "node_wgt", "node_pos"]
-    order = F.struct(F.col("gain"), -F.col("value"))
-    return gains.groupBy(*keys, "feature").agg(
-        F.max_by(F.struct(*payload), order).alias("best")).select(*keys, "feature", "best.*")
+    node = ", ".join([*keys, "feature"])
+    merged = f"""(SELECT {node}, value, sum(cnt) AS cnt, sum(wgt) AS wgt, sum(pos) AS pos
+      FROM {{partials}} GROUP BY {node}, value)"""
+    return partials.sparkSession.sql(f"""
+    SELECT {node}, best.* FROM (
+      SELECT {node}, max_by(struct({_BEST}), struct(gain, -value)) AS best
+      FROM ({_gains(_candidates(merged, keys, target))}) GROUP BY {node})""", partials=partials)
 
 
 def best_split(df, features, label="y", weight=None, target=TARGET_CANDIDATES):
     """The best split of one node: feature name, threshold, gain (no row when nothing splits)."""
     wgt = F.col(weight).cast("double") if weight else F.lit(1.0)
-    positive = F.when(F.col(label) == 1, wgt).otherwise(F.lit(0.0))
     long = df.select(
-        wgt.alias("wgt"), positive.alias("pos"),
+        F.lit(1).alias("cnt"), wgt.alias("wgt"),
+        F.when(F.col(label) == 1, wgt).otherwise(F.lit(0.0)).alias("pos"),
         F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("feature", "value"))
-    stats = long.groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("cnt"), F.sum("wgt").alias("wgt"), F.sum("pos").alias("pos"))
-    names = F.array(*[F.lit(f) for f in features])
-    winner = best_splits(stats, (), target).agg(F.max_by(
+    winner = best_splits(long, (), target).agg(F.max_by(
         F.struct("feature", "value", "gain", "left_cnt", "node_cnt"),
         F.struct(F.col("gain"), -F.col("feature"))).alias("s")).select("s.*")
+    names = F.array(*[F.lit(f) for f in features])
     return winner.where(F.col("gain") > MIN_GAIN).select(
         F.element_at(names, F.col("feature") + 1).alias("feature"),
         F.col("value").alias("threshold"), "gain",

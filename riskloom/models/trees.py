@@ -18,6 +18,7 @@ from pyspark.sql import functions as F, types as T
 
 from riskloom.models.base import Model, TrainingTable, matrix
 from riskloom.models.splits import MIN_GAIN, best_splits
+from riskloom.operators.ranking import quantiles
 from riskloom.schemas import FEATURES, LABEL
 
 MAX_DISTINCT = 10_000
@@ -214,18 +215,21 @@ class ResidualWeights:
 
 
 class CodedTable(TrainingTable):
-    """Training rows with values replaced by codes, for repeated level passes."""
+    """Training rows with values replaced by codes, for repeated level passes.
+
+    ``draws``: optional array column over ``id``, how often each tree draws the row.
+    """
 
     def __init__(self, df, names=FEATURES, label=LABEL, key="customer_id", draws=None,
                  max_distinct=MAX_DISTINCT):
-        extra = [] if draws is None else [draws.alias("draws")]
-        super().__init__(df, names, label, key, extra)
+        super().__init__(df, names, label, key)
         self.levels = _levels(self.rows, len(self.names), max_distinct)
         raw, self.has_draws = self.rows, draws is not None
         schema = T.StructType(
             [T.StructField("y", T.DoubleType()), T.StructField("codes", T.ArrayType(T.IntegerType()))]
             + ([T.StructField("draws", T.ArrayType(T.IntegerType()))] if self.has_draws else []))
-        self.rows = raw.drop("id").mapInArrow(_encode(self.levels, self.has_draws), schema).persist(
+        given = raw.withColumn("draws", draws) if self.has_draws else raw
+        self.rows = given.drop("id").mapInArrow(_encode(self.levels, self.has_draws), schema).persist(
             StorageLevel.MEMORY_AND_DISK)
         self.rows.count()
         raw.unpersist()
@@ -244,11 +248,10 @@ def _levels(rows, width, max_distinct):
     for j in few:
         levels[j] = np.sort(values["value"][values["feature"] == j].to_numpy())
     if many:
-        grid = [i / QUANTILE_CUTS for i in range(1, QUANTILE_CUTS)] + [1.0]
-        cuts = rows.agg(*[F.percentile_approx(F.get("x", F.lit(j)), grid, 100_000) for j in many]).first()
-        tops = rows.agg(*[F.max(F.get("x", F.lit(j))) for j in many]).first()
-        for j, points, top in zip(many, cuts, tops):
-            levels[j] = np.unique(np.append(points, top))
+        cuts = rows.agg(*[quantiles(f"x[{j}]", QUANTILE_CUTS, top=True).alias(f"q{j}") for j in many],
+                        *[F.max(F.get("x", F.lit(j))).alias(f"m{j}") for j in many]).first()
+        for j in many:
+            levels[j] = np.unique(np.append(cuts[f"q{j}"], cuts[f"m{j}"]))
     return levels
 
 
@@ -369,10 +372,9 @@ def fit_nodes(table, trees, max_depth, min_split, subsets, weigh):
     while open_nodes:
         slots = _Slots(nodes, open_nodes, subsets, sizes, trees)
         level = _level_pass(nodes.arrays("code"), slots, subsets, sizes, weigh, table.has_draws)
-        stats = table.rows.mapInArrow(level, STATS_SCHEMA).groupBy("slot", "feature", "value").agg(
-            F.sum("cnt").alias("cnt"), F.sum("wgt").alias("wgt"), F.sum("pos").alias("pos"))
+        partials = table.rows.mapInArrow(level, STATS_SCHEMA)
         best = {}
-        for r in best_splits(stats, ["slot"]).collect():  # one row per open node and feature
+        for r in best_splits(partials, ["slot"]).collect():  # one row per open node and feature
             kept = best.get(r["slot"])
             if kept is None or (r["gain"], -r["feature"]) > (kept["gain"], -kept["feature"]):
                 best[r["slot"]] = r

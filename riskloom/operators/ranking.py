@@ -17,8 +17,13 @@ _GRID = 1024
 _ACCURACY = 100_000
 
 
-def _quantile_grid(size):
-    return [i / size for i in range(1, size)]
+def quantiles(expression, size, top=False):
+    """Aggregate: the inner ``size``-quantiles of a SQL expression (with ``top`` also the maximum).
+
+    The grid is one parsed text: a thousand literals one by one would take a second of planning.
+    """
+    grid = ",".join(f"{i / size!r}D" for i in range(1, size + (1 if top else 0)))
+    return F.expr(f"percentile_approx({expression}, array({grid}), {_ACCURACY})")
 
 
 def _thin(cuts, buckets):
@@ -35,18 +40,15 @@ def _buckets_for(rows, rows_per_bucket):
 
 def cut_points(df, col, rows_per_bucket=ROWS_PER_BUCKET):
     """(row count, ascending cut points with repeats) from one pass of mergeable sketches."""
-    c = F.col(col) if isinstance(col, str) else col
-    rows, cuts = _count_and_cuts(df, c, _GRID)
+    rows, cuts = _count_and_cuts(df, col, _GRID)
     buckets = _buckets_for(rows, rows_per_bucket)
     if buckets > _GRID:
-        _, cuts = _count_and_cuts(df, c, MAX_BUCKETS)
+        _, cuts = _count_and_cuts(df, col, MAX_BUCKETS)
     return rows, _thin(cuts, buckets)
 
 
-def _count_and_cuts(df, c, size):
-    row = df.agg(
-        F.count(F.lit(1)), F.percentile_approx(c, _quantile_grid(size), _ACCURACY)
-    ).first()
+def _count_and_cuts(df, col, size):
+    row = df.agg(F.count(F.lit(1)), quantiles(f"`{col}`", size)).first()
     return row[0], list(row[1] or [])
 
 
@@ -80,7 +82,7 @@ def _hot_value_cuts(df, order, tie, cuts, rows_per_bucket):
     found = (
         df.where(F.col(order).isin(hot)).groupBy(F.col(order).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"),
-             F.percentile_approx(F.col(tie), _quantile_grid(_GRID), _ACCURACY).alias("cuts"))
+             quantiles(f"`{tie}`", _GRID).alias("cuts"))
         .collect()
     )
     return {r["value"]: _thin(list(r["cuts"]), _buckets_for(r["n"], rows_per_bucket)) for r in found}

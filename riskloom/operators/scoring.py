@@ -29,6 +29,18 @@ def with_scores(df, probability="probability_of_default"):
     )
 
 
+def with_labels(df):
+    """Band and decision in Spanish, as lists and the mart show them.
+
+    Column by column on purpose: a nested expression would repeat the score dozens of times.
+    """
+    return (
+        df.withColumn("risk_band", C.risk_band(F.col("credit_score")))
+        .withColumn("decision", C.decision_label(C.decision(F.col("risk_band"))))
+        .withColumn("risk_band", C.band_label(F.col("risk_band")))
+    )
+
+
 def score_customers(df, model, means):
     """One scorecard per row of feature columns: narrow, no shuffle.
 
@@ -54,18 +66,20 @@ def customer_scorecard(df, customer_id, model, means):
 
 
 def list_customers(df, model, page=None, limit=None, search=None):
-    """One page in id order with Spanish labels. Only the rows of the page are scored."""
+    """One page in id order with Spanish labels. Only the rows of the page are scored.
+
+    The number of all matches is ``total_count(search_customers(df, search))``.
+    """
     rows = paging.page_of(paging.search_customers(df, search), page, limit)
-    scored = with_scores(model.transform(rows.select("customer_id", *FEATURES)))
-    return scored.select(
+    scored = model.transform(rows.select("customer_id", *FEATURES)).withColumn(
+        "credit_score", C.pdo_score(F.col("probability_of_default")))
+    return with_labels(scored).select(
         "customer_id",
         F.col("age_years").alias("age"),
         "annual_income",
         F.col("historical_delinquency_rate").alias("delinquency_rate"),
-        "credit_score",
-        C.band_label(F.col("risk_band")).alias("risk_band"),
-        C.decision_label(F.col("decision")).alias("decision"),
-    )
+        "credit_score", "risk_band", "decision",
+    ).orderBy("customer_id")
 
 
 def model_info(metrics, active_model=ACTIVE_MODEL, names=FEATURES):
@@ -83,12 +97,7 @@ def rule_scores(summary):
         F.when(F.col("is_default") == 1, RULE_DEFAULT).when(rate > HIGH_RATE, RULE_HIGH)
         .when(rate > 0, RULE_SOME).otherwise(RULE_NONE)
     )
-    score = C.pdo_score(p, clamp=False)
-    band = C.risk_band(score)
-    return summary.select(
-        "customer_id",
-        score.alias("credit_score"),
-        F.round(p, 4).alias("probability_of_default"),
-        C.band_label(band).alias("risk_band"),
-        C.decision_label(C.decision(band)).alias("decision"),
-    )
+    scored = summary.select("customer_id", F.round(p, 4).alias("probability_of_default")).withColumn(
+        "credit_score", C.pdo_score(F.col("probability_of_default"), clamp=False))
+    return with_labels(scored).select(
+        "customer_id", "credit_score", "probability_of_default", "risk_band", "decision")

@@ -51,18 +51,17 @@ def _dataset(spark, sf):
 
 def _log(spark, sf):
     """The score log with bands, decisions and the column types of the mart."""
-    log = X.score_log(spark, sf)
-    band = C.risk_band(F.col("credit_score"))
-    return tables.typed(log.withColumns({
-        "risk_band": C.band_label(band),
-        "decision": C.decision_label(C.decision(band)),
-        "model_version": F.lit(MODEL_VERSION),
-    }), MART_SCORES)
+    log = scoring.with_labels(X.score_log(spark, sf)).withColumn("model_version", F.lit(MODEL_VERSION))
+    return tables.typed(log, MART_SCORES)
 
 
 def _bayes(spark, sf):
     data = _dataset(spark, sf)
-    return data, naive_bayes.fit_naive_bayes(data), scoring.means_of(A.feature_means(data))
+    return data, naive_bayes.fit_naive_bayes(data)
+
+
+def _means(data):
+    return scoring.means_of(A.feature_means(data))
 
 
 # --- output helpers ---------------------------------------------------------------------------
@@ -214,8 +213,8 @@ def search_customers(spark, sf):
 
 
 def get_customer(spark, sf):
-    data, model, means = _bayes(spark, sf)
-    return _score_columns(scoring.customer_scorecard(data, SAMPLE_CUSTOMER, model, means))
+    data, model = _bayes(spark, sf)
+    return _score_columns(scoring.customer_scorecard(data, SAMPLE_CUSTOMER, model, _means(data)))
 
 
 def feature_array(spark, sf):
@@ -333,7 +332,7 @@ def stratified_split(spark, sf):
 
 
 def list_customers(spark, sf):
-    data, model, _ = _bayes(spark, sf)
+    data, model = _bayes(spark, sf)
     return _rounded(scoring.list_customers(data, model, PAGE, LIMIT, SEARCH))
 
 
@@ -378,7 +377,7 @@ def lr_importance(spark, sf):
 
 
 def nb_predict(spark, sf):
-    data, model, _ = _bayes(spark, sf)
+    data, model = _bayes(spark, sf)
     return _rounded(model.transform(data).select("customer_id", "probability_of_default"))
 
 
@@ -480,18 +479,18 @@ def risk_band(spark, sf):
 
 
 def score_customers(spark, sf):
-    data, model, means = _bayes(spark, sf)
-    return _score_columns(scoring.score_customers(data, model, means))
+    data, model = _bayes(spark, sf)
+    return _score_columns(scoring.score_customers(data, model, _means(data)))
 
 
 def factor_impacts(spark, sf):
-    data, model, means = _bayes(spark, sf)
-    return _exploded_factors(scoring.score_customers(data, model, means))
+    data, model = _bayes(spark, sf)
+    return _exploded_factors(scoring.score_customers(data, model, _means(data)))
 
 
 def top_factors(spark, sf):
-    data, model, means = _bayes(spark, sf)
-    cards = scoring.score_customers(data, model, means)
+    data, model = _bayes(spark, sf)
+    cards = scoring.score_customers(data, model, _means(data))
     return _exploded_factors(cards.select(
         "customer_id", explain.top_factors(F.col("factor_contributions")).alias("factor_contributions")))
 
@@ -501,15 +500,15 @@ def rule_scores(spark, sf):
 
 
 def score_requests(spark, sf):
-    _, model, means = _bayes(spark, sf)
-    return _score_columns(scoring.score_requests(X.score_requests(spark, sf), model, means))
+    data, model = _bayes(spark, sf)
+    return _score_columns(scoring.score_requests(X.score_requests(spark, sf), model, _means(data)))
 
 
 def score_stream(spark, sf):
-    _, model, means = _bayes(spark, sf)
+    data, model = _bayes(spark, sf)
     source = streaming.request_stream(spark, _request_files(spark, sf))
     sink, checkpoint = scratch_path(spark, "scorecards"), scratch_path(spark, "stream-state")
-    streaming.score_stream(source, model, means, sink, checkpoint).awaitTermination()
+    streaming.score_stream(source, model, _means(data), sink, checkpoint).awaitTermination()
     return _score_columns(spark.read.parquet(sink))
 
 
