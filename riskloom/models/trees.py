@@ -18,7 +18,7 @@ from pyspark.sql import functions as F, types as T
 
 from riskloom.models.base import Model, TrainingTable, matrix
 from riskloom.models.splits import MIN_GAIN, best_splits
-from riskloom.operators.ranking import quantiles
+from riskloom.operators.ranking import quantiles, sketch_input
 from riskloom.schemas import FEATURES, LABEL
 
 MAX_DISTINCT = 10_000
@@ -223,7 +223,7 @@ class CodedTable(TrainingTable):
     def __init__(self, df, names=FEATURES, label=LABEL, key="customer_id", draws=None,
                  max_distinct=MAX_DISTINCT):
         super().__init__(df, names, label, key)
-        self.levels = _levels(self.rows, len(self.names), max_distinct)
+        self.levels = _levels(self.rows, self.counts["samples"], len(self.names), max_distinct)
         raw, self.has_draws = self.rows, draws is not None
         schema = T.StructType(
             [T.StructField("y", T.DoubleType()), T.StructField("codes", T.ArrayType(T.IntegerType()))]
@@ -235,7 +235,7 @@ class CodedTable(TrainingTable):
         raw.unpersist()
 
 
-def _levels(rows, width, max_distinct):
+def _levels(rows, samples, width, max_distinct):
     """Per feature the ascending thresholds: all its values, or quantiles if they are too many."""
     estimates = rows.agg(*[F.approx_count_distinct(F.get("x", F.lit(j))) for j in range(width)]).first()
     few = [j for j in range(width) if estimates[j] <= max_distinct]
@@ -248,10 +248,11 @@ def _levels(rows, width, max_distinct):
     for j in few:
         levels[j] = np.sort(values["value"][values["feature"] == j].to_numpy())
     if many:
-        cuts = rows.agg(*[quantiles(f"x[{j}]", QUANTILE_CUTS, top=True).alias(f"q{j}") for j in many],
-                        *[F.max(F.get("x", F.lit(j))).alias(f"m{j}") for j in many]).first()
+        cuts = sketch_input(rows, samples).agg(*[
+            quantiles(f"x[{j}]", QUANTILE_CUTS, top=True).alias(f"q{j}") for j in many]).first()
+        tops = rows.agg(*[F.max(F.get("x", F.lit(j))).alias(f"m{j}") for j in many]).first()
         for j in many:
-            levels[j] = np.unique(np.append(cuts[f"q{j}"], cuts[f"m{j}"]))
+            levels[j] = np.unique(np.append(cuts[f"q{j}"], tops[f"m{j}"]))
     return levels
 
 
@@ -274,9 +275,22 @@ def _encode(levels, has_draws):
     return run
 
 
+def _chunks(batches, rows=100_000):
+    """Arrow batches joined to larger ones: fewer, better filled partial sums."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, count = [], 0
+    if count:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _sum_by_key(keys, columns, size):
     """Distinct keys with the sum of each column."""
-    if size <= 4 * len(keys) + 1_000_000:
+    if size <= 16 * len(keys):
         hits = np.bincount(keys, minlength=size)
         found = np.flatnonzero(hits)
         return found, [np.bincount(keys, c, size)[found] for c in columns]
@@ -301,7 +315,7 @@ def _level_pass(walk, slot_of, subsets, sizes, weigh, has_draws):
 
     def run(batches):
         buffer, held = [], 0
-        for batch in batches:
+        for batch in _chunks(batches):
             codes = matrix(batch.column("codes"), width)
             y = batch.column("y").to_numpy()
             weight = weigh(codes, y)

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F, Window
 
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 4096
+SKETCH_ROWS = 5_000_000
 _GRID = 1024
-_ACCURACY = 100_000
+_LAST_PART = 1_000_000
 
 
 def quantiles(expression, size, top=False):
@@ -23,7 +24,16 @@ def quantiles(expression, size, top=False):
     The grid is one parsed text: a thousand literals one by one would take a second of planning.
     """
     grid = ",".join(f"{i / size!r}D" for i in range(1, size + (1 if top else 0)))
-    return F.expr(f"percentile_approx({expression}, array({grid}), {_ACCURACY})")
+    return F.expr(f"percentile_approx({expression}, array({grid}), {10 * size})")
+
+
+def sketch_input(df, rows):
+    """``df`` as it is, or of a large table the evenly drawn rows that suffice for quantiles.
+
+    Quantiles only decide where work is cut; every row is processed wherever the cuts fall. All
+    sketches meet in one task, so their number must not grow with the table.
+    """
+    return df if rows <= SKETCH_ROWS else df.sample(SKETCH_ROWS / rows, seed=7)
 
 
 def _thin(cuts, buckets):
@@ -39,17 +49,14 @@ def _buckets_for(rows, rows_per_bucket):
 
 
 def cut_points(df, col, rows_per_bucket=ROWS_PER_BUCKET):
-    """(row count, ascending cut points with repeats) from one pass of mergeable sketches."""
-    rows, cuts = _count_and_cuts(df, col, _GRID)
+    """(row count, ascending cut points with repeats); none for a table of one bucket."""
+    rows = df.select(col).count()
     buckets = _buckets_for(rows, rows_per_bucket)
-    if buckets > _GRID:
-        _, cuts = _count_and_cuts(df, col, MAX_BUCKETS)
-    return rows, _thin(cuts, buckets)
-
-
-def _count_and_cuts(df, col, size):
-    row = df.agg(F.count(F.lit(1)), quantiles(f"`{col}`", size)).first()
-    return row[0], list(row[1] or [])
+    if buckets == 1:
+        return rows, []
+    grid = _GRID if buckets <= _GRID else MAX_BUCKETS
+    cuts = sketch_input(df.select(col), rows).agg(quantiles(f"`{col}`", grid)).first()[0]
+    return rows, _thin(list(cuts or []), buckets)
 
 
 def _literal(value):
@@ -79,13 +86,12 @@ def _hot_value_cuts(df, order, tie, cuts, rows_per_bucket):
     hot = sorted({c for i, c in enumerate(cuts) if i and c == cuts[i - 1]})
     if not hot:
         return {}
-    found = (
-        df.where(F.col(order).isin(hot)).groupBy(F.col(order).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"),
-             quantiles(f"`{tie}`", _GRID).alias("cuts"))
-        .collect()
-    )
-    return {r["value"]: _thin(list(r["cuts"]), _buckets_for(r["n"], rows_per_bucket)) for r in found}
+    inside = df.where(F.col(order).isin(hot)).select(F.col(order).alias("value"), F.col(tie).alias("tie"))
+    counts = {r["value"]: r["n"] for r in inside.groupBy("value").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drawn = sketch_input(inside, sum(counts.values()))
+    grids = {r["value"]: list(r["cuts"]) for r in drawn.groupBy("value").agg(
+        quantiles("tie", _GRID).alias("cuts")).collect()}
+    return {v: _thin(grids.get(v, []), _buckets_for(n, rows_per_bucket)) for v, n in counts.items()}
 
 
 def bucketed(df, order, tie, ascending=True, rows_per_bucket=ROWS_PER_BUCKET):
@@ -106,7 +112,7 @@ def bucketed(df, order, tie, ascending=True, rows_per_bucket=ROWS_PER_BUCKET):
         at = F.array_position(literal_array(values), c).cast("int")
         inside = bucket_of(F.col(tie), F.get(tables, at - 1), longest) + 1
         # A hot value is the greatest of its bucket: last when ascending, first when descending.
-        part = F.when(at > 0, inside).otherwise(F.lit(0 if ascending else _ACCURACY))
+        part = F.when(at > 0, inside).otherwise(F.lit(0 if ascending else _LAST_PART))
     return df.withColumns({"_bucket": bucket if ascending else -bucket, "_part": part})
 
 

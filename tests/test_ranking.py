@@ -56,6 +56,15 @@ def test_tables_too_long_to_hand_over(spark, monkeypatch, shape):
     assert got == want
 
 
+def test_drawn_cut_points_change_no_result(spark, monkeypatch):
+    rows = sample(600, 13, SHAPES["hot value"])
+    df = scored(spark, rows)
+    monkeypatch.setattr(R, "SKETCH_ROWS", 100)
+    got = {r.customer_id: r["rank"] for r in R.distributed_rank(df, "p", "customer_id", rows_per_bucket=30).collect()}
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][1], i))
+    assert got == {i: k + 1 for k, i in enumerate(order)}
+
+
 def test_tie_anchors_of_a_chain(spark):
     p = [0.5 + k * 6e-10 for k in range(4)]
     rows = scored(spark, [(0, v) for v in p])
