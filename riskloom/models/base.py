@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import functions as F, types as T
 
@@ -12,6 +14,8 @@ from riskloom.session import scratch_path
 
 PROBABILITY = "probability_of_default"
 ROWS_PER_TASK = 200_000
+BLOCK_ROWS = 4_096
+BLOCKS = T.StructType([T.StructField(n, T.BinaryType()) for n in ("y", "x", "draws")])
 ROWS = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("y", T.DoubleType()),
     T.StructField("x", T.ArrayType(T.DoubleType())),
@@ -55,12 +59,12 @@ def shares(values):
 
 
 class TrainingTable:
-    """The feature vector and label of each row, written once and kept for repeated passes.
+    """Feature vector and label of each row, written once; iterative fits keep them as blocks.
 
-    The table goes to the shared scratch folder: the many small jobs of an iterative fit then
-    plan from one scan instead of the whole history of the input, and what a lost executor kept
-    is read again from there. Small tables are held in few tasks, which saves scheduling; large
-    ones keep the partitions of the scan.
+    The table goes to the shared scratch folder: the many small jobs of a fit then plan from one
+    scan instead of the whole history of the input, and what a lost executor kept is read again
+    from there. ``keep`` packs a few thousand rows into one binary value each, so that a pass
+    hands whole matrices to the tasks instead of converting row by row.
     """
 
     def __init__(self, df, names=FEATURES, label=LABEL, key="customer_id"):
@@ -76,8 +80,9 @@ class TrainingTable:
         self.counts = class_weights(stored, "y").first()
         if not self.counts["samples"]:
             raise ValueError("no training rows")
-        tasks = math.ceil(self.counts["samples"] / ROWS_PER_TASK)
-        self.rows = stored.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+        # Small tables in few tasks save scheduling; large ones keep the partitions of the scan.
+        self.rows = stored.coalesce(math.ceil(self.counts["samples"] / ROWS_PER_TASK))
+        self.blocks = None
 
     @property
     def prior_log_odds(self):
@@ -87,13 +92,63 @@ class TrainingTable:
         """The features as columns again."""
         return self.rows.select(*[F.get("x", F.lit(j)).alias(n) for j, n in enumerate(self.names)])
 
+    def keep(self, transform, draws=None):
+        """Keep blocks of the transformed matrix on the executors.
+
+        ``transform``: (rows, features) matrix to the matrix kept. ``draws``: optional array column.
+        """
+        rows = self.rows if draws is None else self.rows.withColumn("draws", draws)
+        self.blocks = rows.drop("id").mapInArrow(
+            _pack(transform, len(self.names), draws is not None), BLOCKS).persist(StorageLevel.MEMORY_AND_DISK)
+        return self.blocks
+
     def __enter__(self):
         return self
 
     def __exit__(self, *_):
-        self.rows.unpersist()
-
-
-def matrix(column, width):
-    """An Arrow list column without NULLs as a (rows, width) view, no copy."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        if self.blocks is not None:
+            self.blocks.unpersist()
+
+
+def _matrix(column):
+    """An Arrow list column with equally long lists as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _pack(transform, width, has_draws):
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(start, BLOCK_ROWS)
+                x = np.ascontiguousarray(transform(_matrix(part.column("x"))))
+                y = part.column("y").to_numpy().astype(np.uint8)
+                draws = _matrix(part.column("draws")).astype(np.uint8).tobytes() if has_draws else None
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([y.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()),
+                     pa.array([draws], pa.binary())], BLOCKS.names)
+
+    return run
+
+
+def unpacked(batches, dtype, width, at_least=1):
+    """The kept blocks in a task as (matrix, labels, draws), joined to ``at_least`` rows each."""
+    held, count = [], 0
+    for batch in batches:
+        for y, x, draws in zip(*[batch.column(n) for n in BLOCKS.names]):
+            y = np.frombuffer(y.as_buffer(), np.uint8)
+            x = np.frombuffer(x.as_buffer(), dtype).reshape(len(y), width)
+            d = np.frombuffer(draws.as_buffer(), np.uint8).reshape(len(y), -1) if draws.is_valid else None
+            held.append((x, y, d))
+            count += len(y)
+            if count >= at_least:
+                yield _joined(held)
+                held, count = [], 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts):
+    if len(parts) == 1:
+        return parts[0]
+    x, y, d = zip(*parts)
+    return np.concatenate(x), np.concatenate(y), None if d[0] is None else np.concatenate(d)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from riskloom.functions.probability import LOGIT_LIMIT
-from riskloom.models.base import Model, TrainingTable, matrix, shares
+from riskloom.models.base import Model, TrainingTable, shares, unpacked
 from riskloom.operators.aggregates import feature_moments
 from riskloom.schemas import FEATURES, LABEL
 
@@ -47,14 +47,16 @@ def zscore(names, means, deviations):
     ]
 
 
-def _partial_gradient(weights, bias, means, deviations, w_pos, w_neg):
+def _standardize(means, deviations):
+    return lambda x: (x - means) / deviations
+
+
+def _partial_gradient(weights, bias, w_pos, w_neg):
     width = len(weights)
 
     def run(batches):
         total = np.zeros(width + 1)
-        for batch in batches:
-            x = (matrix(batch.column("x"), width) - means) / deviations
-            y = batch.column("y").to_numpy()
+        for x, y, _ in unpacked(batches, np.float64, width):
             z = x @ weights + bias
             with np.errstate(over="ignore"):
                 p = np.where(z >= LOGIT_LIMIT, 1.0, np.where(z <= -LOGIT_LIMIT, 0.0, 1.0 / (1.0 + np.exp(-z))))
@@ -77,10 +79,10 @@ def fit_logistic(df, lr=LEARNING_RATE, epochs=EPOCHS, l2=L2, names=FEATURES, lab
         deviations = np.array([moments[f"sd_{n}"] for n in names])
         c = table.counts
         weights, bias = np.zeros(width), table.prior_log_odds
-        rows = table.rows.select("x", "y")
+        rows = table.keep(_standardize(means, deviations))
         few_tasks = rows.rdd.getNumPartitions() <= MAX_PARTIALS
         for epoch in range(epochs):
-            step = _partial_gradient(weights, bias, means, deviations, c["w_pos"], c["w_neg"])
+            step = _partial_gradient(weights, bias, c["w_pos"], c["w_neg"])
             partials = rows.mapInArrow(step, schema)
             if not few_tasks:
                 partials = partials.agg(*merged)

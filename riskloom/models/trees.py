@@ -13,10 +13,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import functions as F, types as T
 
-from riskloom.models.base import Model, TrainingTable, matrix
+from riskloom.models.base import Model, TrainingTable, shares, unpacked
 from riskloom.models.splits import MIN_GAIN, best_splits
 from riskloom.operators.ranking import quantiles, sketch_input
 from riskloom.schemas import FEATURES, LABEL
@@ -25,6 +24,7 @@ MAX_DISTINCT = 10_000
 QUANTILE_CUTS = 1_024
 PURE = 1e-6
 _FLUSH = 2_000_000
+_CHUNK = 100_000
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()), T.StructField("node", T.IntegerType()),
@@ -184,8 +184,6 @@ class DecisionTreeModel(TreeModel):
         return walk.probabilities(x, 0)
 
     def importances(self):
-        from riskloom.models.base import shares
-
         return shares(self.nodes.split_counts(len(self.features)))
 
 
@@ -224,15 +222,14 @@ class CodedTable(TrainingTable):
                  max_distinct=MAX_DISTINCT):
         super().__init__(df, names, label, key)
         self.levels = _levels(self.rows, self.counts["samples"], len(self.names), max_distinct)
-        raw, self.has_draws = self.rows, draws is not None
-        schema = T.StructType(
-            [T.StructField("y", T.DoubleType()), T.StructField("codes", T.ArrayType(T.IntegerType()))]
-            + ([T.StructField("draws", T.ArrayType(T.IntegerType()))] if self.has_draws else []))
-        given = raw.withColumn("draws", draws) if self.has_draws else raw
-        self.rows = given.drop("id").mapInArrow(_encode(self.levels, self.has_draws), schema).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        self.rows.count()
-        raw.unpersist()
+        self.keep(_encoder(self.levels), draws)
+
+
+def _encoder(levels):
+    def encode(x):
+        return np.column_stack([np.searchsorted(v, x[:, j]) for j, v in enumerate(levels)]).astype(np.int32)
+
+    return encode
 
 
 def _levels(rows, samples, width, max_distinct):
@@ -256,38 +253,6 @@ def _levels(rows, samples, width, max_distinct):
     return levels
 
 
-def _encode(levels, has_draws):
-    width = len(levels)
-
-    def run(batches):
-        for batch in batches:
-            x = matrix(batch.column("x"), width)
-            codes = np.column_stack([np.searchsorted(levels[j], x[:, j]) for j in range(width)])
-            flat = pa.array(codes.astype(np.int32).ravel())
-            ends = pa.array(np.arange(0, len(flat) + 1, width, dtype=np.int32))
-            columns = [batch.column("y"), pa.ListArray.from_arrays(ends, flat)]
-            names = ["y", "codes"]
-            if has_draws:
-                columns.append(batch.column("draws"))
-                names.append("draws")
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return run
-
-
-def _chunks(batches, rows=100_000):
-    """Arrow batches joined to larger ones: fewer, better filled partial sums."""
-    held, count = [], 0
-    for batch in batches:
-        held.append(batch)
-        count += batch.num_rows
-        if count >= rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, count = [], 0
-    if count:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _sum_by_key(keys, columns, size):
     """Distinct keys with the sum of each column."""
     if size <= 16 * len(keys):
@@ -298,7 +263,7 @@ def _sum_by_key(keys, columns, size):
     return found, [np.bincount(inverse, c, len(found)) for c in columns]
 
 
-def _level_pass(walk, slot_of, subsets, sizes, weigh, has_draws):
+def _level_pass(walk, slot_of, subsets, sizes, weigh):
     """Task function: sums by (slot, feature position, code) for the nodes that have a slot."""
     width = len(sizes)
     trees = sorted({int(t) for t in slot_of.tree_of_slot})
@@ -315,11 +280,8 @@ def _level_pass(walk, slot_of, subsets, sizes, weigh, has_draws):
 
     def run(batches):
         buffer, held = [], 0
-        for batch in _chunks(batches):
-            codes = matrix(batch.column("codes"), width)
-            y = batch.column("y").to_numpy()
+        for codes, y, draws in unpacked(batches, np.int32, width, _CHUNK):
             weight = weigh(codes, y)
-            draws = matrix(batch.column("draws"), slot_of.ensemble) if has_draws else None
             for t in trees:
                 slot = slot_of.by_node[walk.node_of(codes, t)]
                 times = np.ones(len(y)) if draws is None else draws[:, t].astype(float)
@@ -346,8 +308,7 @@ def _level_pass(walk, slot_of, subsets, sizes, weigh, has_draws):
 class _Slots:
     """Dense numbering of (open node, feature position, code), grouped by tree and position."""
 
-    def __init__(self, nodes, open_nodes, subsets, sizes, ensemble):
-        self.ensemble = ensemble
+    def __init__(self, nodes, open_nodes, subsets, sizes):
         self.tree_of_slot = [nodes.tree[n] for n in open_nodes]
         self.by_node = np.full(len(nodes.tree), -1, dtype=np.int64)
         self.by_node[open_nodes] = np.arange(len(open_nodes))
@@ -384,9 +345,9 @@ def fit_nodes(table, trees, max_depth, min_split, subsets, weigh):
     sizes = [max(1, len(v)) for v in table.levels]
     open_nodes = list(nodes.roots)
     while open_nodes:
-        slots = _Slots(nodes, open_nodes, subsets, sizes, trees)
-        level = _level_pass(nodes.arrays("code"), slots, subsets, sizes, weigh, table.has_draws)
-        partials = table.rows.mapInArrow(level, STATS_SCHEMA)
+        slots = _Slots(nodes, open_nodes, subsets, sizes)
+        level = _level_pass(nodes.arrays("code"), slots, subsets, sizes, weigh)
+        partials = table.blocks.mapInArrow(level, STATS_SCHEMA)
         best = {}
         for r in best_splits(partials, ["slot"]).collect():  # one row per open node and feature
             kept = best.get(r["slot"])
