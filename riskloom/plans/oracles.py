@@ -457,6 +457,14 @@ WHERE contains(cast(customer_id AS varchar), '17') ORDER BY customer_id LIMIT {Q
                           "roc_by", "pr_by"),
     "evaluate_by_model": _with(f"SELECT c.*, {_rates()}, {_r('roc_auc')}, {_r('pr_auc')} FROM conf c JOIN roc_by r ON c.model_name = r.model_name "
                                "JOIN pr_by q ON c.model_name = q.model_name", "conf", "roc_by", "pr_by"),
+    "model_info": _with(f"SELECT c.*, {_rates()}, {_r('roc_auc')}, {_r('pr_auc')}, '{ACTIVE_MODEL}' AS active_model, "
+                        f"'{','.join(FEATURES)}' AS feature_names FROM conf c JOIN roc_by r ON c.model_name = r.model_name "
+                        "JOIN pr_by q ON c.model_name = q.model_name", "conf", "roc_by", "pr_by"),
+    "feature_array": _with(" UNION ALL ".join(
+        f"SELECT customer_id, {i} AS position, round({f}, 6) AS value FROM dataset" for i, f in enumerate(FEATURES)), "dataset"),
+    "gb_importance": _with(" UNION ALL ".join(
+        f"SELECT '{f}' AS feature, round(1.0e0 / {len(FEATURES)}, 6) AS importance FROM (SELECT count(*) FROM dataset) t"
+        for f in FEATURES), "dataset"),
     "pdo_score": _with(f"SELECT customer_id, {_score('p')} AS credit_score FROM scored", "scored"),
     "risk_band": _with(f"SELECT score_id, credit_score, {_band('credit_score')} AS band, {_band_label(_band('credit_score'))} AS band_label, "
                        f"{_decision(_band('credit_score'))} AS decision, {_decision_label(_decision(_band('credit_score')))} AS decision_label "

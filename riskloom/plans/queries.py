@@ -218,7 +218,8 @@ def get_customer(spark, sf):
 
 
 def feature_array(spark, sf):
-    return _dataset(spark, sf).select("customer_id", J.feature_array().alias("features"))
+    vectors = _dataset(spark, sf).select("customer_id", J.feature_array().alias("features"))
+    return _rounded(vectors.select("customer_id", F.posexplode("features").alias("position", "value")))
 
 
 def hard_predictions(spark, sf):
@@ -358,7 +359,7 @@ def zscore(spark, sf):
 
 
 def _logistic(spark, sf):
-    return logistic.fit_logistic(_dataset(spark, sf).persist())
+    return logistic.fit_logistic(_dataset(spark, sf))
 
 
 def lr_fit(spark, sf):
@@ -513,7 +514,8 @@ def score_stream(spark, sf):
 
 
 def model_info(spark, sf):
-    return scoring.model_info(_rounded(M.evaluate_by(_by_model(spark, sf), "model_name")))
+    info = scoring.model_info(_rounded(M.evaluate_by(_by_model(spark, sf), "model_name", threshold=0.2)))
+    return info.withColumn("feature_names", F.array_join("feature_names", ","))
 
 
 # --- marts ------------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
 
     session = local_session("4", "6g", "tests")
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     return session
 
 
