@@ -14,7 +14,7 @@ from pyspark.sql import functions as F, types as T
 from riskloom.operators import ranking as R
 
 TIE_EPS = 1e-9
-_MAX_TABLE = 4096
+_MAX_TABLE = 1024
 
 
 def _next_anchor(p, eps):

@@ -27,7 +27,13 @@ def insert_if_absent(target, new, key="customer_id", order=None):
 
 def append_scores(log, new, model_version, scored_at=None, order="customer_id", tie=None,
                   rows_per_bucket=R.ROWS_PER_BUCKET):
-    """The log with ``new`` added: surrogate ids go on from the greatest one, without gaps."""
+    """The log with ``new`` added: surrogate ids go on from the greatest one, without gaps.
+
+    Rows of one customer are numbered by ``tie``, by default a hash of the whole row, which also
+    splits a customer with very many new scores over several tasks.
+    """
+    if tie is None:
+        new, tie = new.withColumn("_tie", F.xxhash64(*new.columns)), "_tie"
     start = log.agg(F.coalesce(F.max("score_id"), F.lit(0))).scalar()
     numbered = R.distributed_rank(new, order, tie, rank="_rank", rows_per_bucket=rows_per_bucket)
     when = F.current_timestamp() if scored_at is None else F.lit(scored_at).cast("timestamp")

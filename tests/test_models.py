@@ -170,3 +170,20 @@ def test_compare_models(dataset):
     assert len({r.total_samples for r in rows}) == 1
     assert result.champion.name == "Random Forest"
     assert all(r.roc_auc > 0.9 for r in rows if r.model_name != compare.LOGISTIC)
+
+
+def test_forest_is_as_good_as_the_library(dataset):
+    """Quality only: the library draws features per node and bins thresholds, so trees differ."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from riskloom.operators.metrics import roc_auc
+
+    train = VectorAssembler(inputCols=LEAKAGE_FREE_FEATURES, outputCol="v").transform(dataset)
+    library = RandomForestClassifier(featuresCol="v", labelCol=LABEL, numTrees=10, maxDepth=5, seed=1).fit(train)
+    theirs = library.transform(train).select(
+        F.col(LABEL).alias("y"), vector_to_array("probability")[1].alias("p"))
+    ours = forest.fit_random_forest(dataset, 10, 5, names=LEAKAGE_FREE_FEATURES).transform(dataset, "p").select(
+        F.col(LABEL).alias("y"), "p")
+    assert roc_auc(ours).first()[0] > roc_auc(theirs).first()[0] - 0.08

@@ -119,6 +119,15 @@ def test_append_scores_numbers_on(spark):
     assert {r.scored_at for r in twice.where("model_version = 'v2'").collect()} == {datetime.datetime(2024, 2, 1)}
 
 
+def test_append_scores_of_one_hot_customer(spark):
+    new = spark.range(400).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).cast("bigint").alias("customer_id"),
+        (F.col("id") + 300).cast("int").alias("credit_score"), F.lit(0.01).alias("probability_of_default"),
+        F.lit("Bueno").alias("risk_band"), F.lit("Aprobado").alias("decision"))
+    log = tables.append_scores(portfolio.empty_table(spark, MART_SCORES), new, "v1", rows_per_bucket=20)
+    assert sorted(r.score_id for r in log.collect()) == list(range(1, 401))
+
+
 def test_write_mart_rejects_null(spark, tmp_path):
     bad = spark.createDataFrame([(1, None)], "score_id long, customer_id long").select(
         "score_id", "customer_id", F.lit(1).alias("credit_score"), F.lit(0.1).alias("probability_of_default"),
