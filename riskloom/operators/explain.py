@@ -13,20 +13,20 @@ GOOD, BAD, NEUTRAL = "Positivo", "Negativo", "Neutro"
 # Display name, favourable side, text around the numbers, decimals, factor.
 # The side is compared with the portfolio mean where no bound is given.
 RULES = {
-    "age_years": ("Edad del Cliente", ">=", None, "%s años (Promedio: %s años)", 1, 1.0),
-    "employment_years": ("Años de Empleo", ">=", None, "%s años de estabilidad laboral", 1, 1.0),
-    "annual_income": ("Ingreso Total Anual", ">=", None, "$%s ingresos declarados", 0, 1.0),
-    "income_per_family_member": ("Ingreso por Dependiente", ">=", None, "$%s / miembro", 0, 1.0),
+    "age_years": ("Edad del Cliente", ">=", None, "{} años (Promedio: {} años)", 1, 1.0),
+    "employment_years": ("Años de Empleo", ">=", None, "{} años de estabilidad laboral", 1, 1.0),
+    "annual_income": ("Ingreso Total Anual", ">=", None, "${} ingresos declarados", 0, 1.0),
+    "income_per_family_member": ("Ingreso por Dependiente", ">=", None, "${} / miembro", 0, 1.0),
     "credit_history_length_months": (
-        "Madurez del Historial", ">=", 12.0, "%s meses observados en buró", 0, 1.0),
+        "Madurez del Historial", ">=", 12.0, "{} meses observados en buró", 0, 1.0),
     "historical_delinquency_rate": (
-        "Tasa de Mora Histórica", "<=", 0.05, "%s%% meses con mora registrada", 1, 100.0),
+        "Tasa de Mora Histórica", "<=", 0.05, "{}% meses con mora registrada", 1, 100.0),
     "max_past_due_severity": (
-        "Atraso Máximo Registrado", "<=", 1.0, "Nivel de severidad %s en buró", 0, 1.0),
+        "Atraso Máximo Registrado", "<=", 1.0, "Nivel de severidad {} en buró", 0, 1.0),
     "delinquency_rate_last_6m": (
-        "Mora Reciente (Últimos 6m)", "=", 0.0, "%s%% en últimos meses", 1, 100.0),
+        "Mora Reciente (Últimos 6m)", "=", 0.0, "{}% en últimos meses", 1, 100.0),
 }
-DEFAULT_TEXT, DEFAULT_DECIMALS = "Valor: %s", 2
+DEFAULT_TEXT, DEFAULT_DECIMALS = "Valor: {}", 2
 
 
 def decimals(x, places):
@@ -35,6 +35,15 @@ def decimals(x, places):
         F.call_function("format_number", x, F.lit("0." + "0" * places if places else "0")))
 
 
+def _sentence(text, numbers):
+    """The text with a number in place of each ``{}``: plain concatenation, no format parsing."""
+    pieces = text.split("{}")
+    parts = [F.lit(pieces[0])]
+    for number, after in zip(numbers, pieces[1:]):
+        parts += [number, F.lit(after)]
+    return F.concat(*parts)
+
+
 def _factor(name, importance, mean):
     value = F.col(name)
     known = ~F.isnan(value)
@@ -47,7 +56,7 @@ def _factor(name, importance, mean):
         hit = {">=": value >= limit, "<=": value <= limit, "=": value == limit}[side]
         direction = F.when(known & hit, GOOD).otherwise(BAD)
     numbers = [decimals(value * F.lit(scale), places)]
-    if text.count("%s") == 2:
+    if text.count("{}") == 2:
         numbers.append(decimals(value if mean is None else F.lit(mean), places))
     return F.struct(
         F.lit(name).alias("feature_name"),
@@ -55,7 +64,7 @@ def _factor(name, importance, mean):
         value.alias("feature_value"),
         direction.alias("impact_direction"),
         F.lit(float(importance)).alias("relative_importance"),
-        F.format_string(text, *numbers).alias("description"),
+        _sentence(text, numbers).alias("description"),
     )
 
 
