@@ -2,13 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import rules
+from riskloom.llm import bpe, rules
 
 
 def _documents(spark, sf_dir, *columns):
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
+def op4_bpe(spark, sf_dir):
+    return bpe.digests(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op8_quality_rules(spark, sf_dir):
     rows = rules.apply_policy(rules.ledger(_documents(spark, sf_dir, "doc_id", "text")), "v2")
     base = rules.mask(rules.BASE)
@@ -18,5 +22,6 @@ def op8_quality_rules(spark, sf_dir):
 
 
 REGISTRY = {
+    "op4_bpe": op4_bpe,
     "op8_quality_rules": op8_quality_rules,
 }
