@@ -2,13 +2,42 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, rules
+from riskloom.llm import bpe, licenses, rules, secrets, spans
 
 
 def _documents(spark, sf_dir, *columns):
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
+def op2_license_scan(spark, sf_dir):
+    found = licenses.scan(_documents(spark, sf_dir, "doc_id", "text"), drop=["text"])
+    places = F.transform("phrases", lambda s: s["first_word"])
+    both = F.concat("phrases", "notices")
+
+    def labels(spans_):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans_, lambda s: s["label"]))), ",")
+
+    fits = F.transform(both, lambda s: 1.0 / (1.0 + s["errors"] / 4.0))
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(places).cast("long").alias("first_word"),
+        F.array_max(places).cast("long").alias("last_word"),
+        labels(F.col("phrases")).alias("base_labels"), labels(both).alias("labels"),
+        F.coalesce(F.array_max(fits), F.lit(0.0)).alias("score"),
+        F.array_join(F.transform("notices", lambda s: F.concat_ws(
+            ":", s["label"], s["first_word"].cast("string"), s["last_word"].cast("string"),
+            s["errors"].cast("string"))), ",").alias("notices"))
+
+
+def op3_secret_scan(spark, sf_dir):
+    found = secrets.scan(_documents(spark, sf_dir, "doc_id", "text"), drop=["text"])
+    base = spans.of_kinds(F.col("secrets"), secrets.KINDS[:3])
+    return found.select(
+        "doc_id", *[spans.count_kind(F.col("secrets"), k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(spans.as_text(base), 256).alias("base_sha256"),
+        spans.as_text(F.col("secrets")).alias("spans"))
+
+
 def op4_bpe(spark, sf_dir):
     return bpe.digests(_documents(spark, sf_dir, "doc_id", "text"))
 
@@ -22,6 +51,8 @@ def op8_quality_rules(spark, sf_dir):
 
 
 REGISTRY = {
+    "op2_license_scan": op2_license_scan,
+    "op3_secret_scan": op3_secret_scan,
     "op4_bpe": op4_bpe,
     "op8_quality_rules": op8_quality_rules,
 }
