@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, licenses, rules, secrets, spans
+from riskloom.llm import bpe, licenses, pii, rules, secrets, spans
 
 
 def _documents(spark, sf_dir, *columns):
@@ -50,9 +50,20 @@ def op8_quality_rules(spark, sf_dir):
         (F.col("failures").bitwiseAND(F.lit(base)) != 0).alias("base_failed"), "kept", "failures")
 
 
+def op9_pii(spark, sf_dir):
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    found = pii.scan(docs, pii.train(docs), drop=["text"])
+    base = F.filter("personal", lambda s: s["base"])
+    return found.select(
+        "doc_id", *[spans.count_kind(base, k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(spans.as_text(base), 256).alias("base_sha256"),
+        spans.as_text(F.col("personal")).alias("spans"))
+
+
 REGISTRY = {
     "op2_license_scan": op2_license_scan,
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe": op4_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op9_pii": op9_pii,
 }
