@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, licenses, pii, rules, secrets, spans
+from riskloom.llm import bpe, licenses, pii, quality, rules, sampling, secrets, spans
 
 
 def _documents(spark, sf_dir, *columns):
@@ -42,6 +42,29 @@ def op4_bpe(spark, sf_dir):
     return bpe.digests(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def _predictions(scored, held_out_fold):
+    """The columns of a classifier's query; a null id belongs to no fold."""
+    return scored.select(
+        "doc_id", F.coalesce(held_out_fold, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _labels(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def quality_weights(spark, sf_dir, docs):
+    """Learnt from the label rows outside the held-out fold."""
+    labels = _labels(spark, sf_dir)
+    return quality.train(docs, labels, sampling.fold(labels["doc_id"], 3) != 1)
+
+
+def op6_quality_classifier(spark, sf_dir):
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    scored = quality.score(docs, quality_weights(spark, sf_dir, docs), drop=["text"])
+    return _predictions(scored, sampling.fold(F.col("doc_id"), 3) == 1)
+
+
 def op8_quality_rules(spark, sf_dir):
     rows = rules.apply_policy(rules.ledger(_documents(spark, sf_dir, "doc_id", "text")), "v2")
     base = rules.mask(rules.BASE)
@@ -64,6 +87,7 @@ REGISTRY = {
     "op2_license_scan": op2_license_scan,
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe": op4_bpe,
+    "op6_quality_classifier": op6_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
 }
