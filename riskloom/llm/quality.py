@@ -12,7 +12,7 @@ import pyarrow as pa
 from riskloom.llm.blocks import flat, with_text_columns
 from riskloom.llm.sampling import Adam, fit_in_one_task, labelled_sample
 
-CHUNK, STEP = 512, 448
+CHUNK, STEP = 256, 192
 WIDTH, HOP = 8, 2
 EMBEDDING, FILTERS, HIDDEN = 4, 16, 16
 PAD = 256
@@ -72,15 +72,16 @@ class Network:
             out[a:a + _GROUP] = values.max(1)
         return (out, best) if where else out
 
-    def combine(self, pooled, owner, keep=None):
-        """Log odds of texts, from their chunks (in the order of ``owner``)."""
+    def combine(self, pooled, owner, sizes, keep=None):
+        """Log odds of texts, from their chunks (in the order of ``owner``) and sizes in bytes."""
         acts = np.tanh(pooled + self.w["bias"])
         first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         counts = np.diff(np.r_[first, len(owner)])[:, None].astype(np.float32)
         mean = np.add.reduceat(acts, first, axis=0) / counts
         high = np.maximum.reduceat(acts, first, axis=0)
         low = np.minimum.reduceat(acts, first, axis=0)
-        features = np.concatenate([mean, high - low, np.log(counts) / 3], axis=1)
+        size = (np.log1p(sizes)[:, None] / 4 - 1.5).astype(np.float32)
+        features = np.concatenate([mean, high - low, size], axis=1)
         hidden = np.tanh(features @ self.w["hidden"] + self.w["hidden_bias"])
         if keep is not None:
             keep.update(acts=acts, counts=counts, high=high, low=low, features=features, hidden=hidden)
@@ -96,14 +97,14 @@ class Network:
         for a in range(0, len(owner), 2048):
             part = slice(a, a + 2048)
             pooled[part] = self.pool(chunk_bytes(data, start[part], end[part]))
-        z = self.combine(pooled, owner).astype(float)
+        z = self.combine(pooled, owner, np.diff(edges)).astype(float)
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
-    def gradients(self, rows, owner, y, weight):
+    def gradients(self, rows, owner, sizes, y, weight):
         """Gradients of the weighted mean log loss over texts whose chunks are ``rows``."""
         pooled, best = self.pool(rows, where=True)
         k = {}
-        z = self.combine(pooled, owner, k)
+        z = self.combine(pooled, owner, sizes, k)
         d_z = ((1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * weight / weight.sum()).astype(np.float32)
         grads = {"out": k["hidden"].T @ d_z, "out_bias": d_z.sum(keepdims=True)}
         d_hidden = d_z[:, None] * self.w["out"] * (1 - k["hidden"] ** 2)
@@ -133,6 +134,7 @@ class Network:
         data, edges = flat(pa.array(texts, pa.large_string()))
         owner, start, end = chunk_ranges(edges)
         first = np.searchsorted(owner, np.arange(len(texts) + 1))
+        sizes = np.diff(edges)
         draw, adam = np.random.default_rng(seed), Adam(self.w, rate)
         total, done = epochs * -(-len(texts) // batch), 0
         for _ in range(epochs):
@@ -142,7 +144,8 @@ class Network:
                 chunks = np.concatenate([np.arange(first[i], first[i + 1]) for i in picked])
                 names = np.repeat(np.arange(len(picked)), first[picked + 1] - first[picked])
                 rows = chunk_bytes(data, start[chunks], end[chunks])
-                adam.step(self.gradients(rows, names, y[picked], weight[picked]), 1 - 0.9 * done / total)
+                grads = self.gradients(rows, names, sizes[picked], y[picked], weight[picked])
+                adam.step(grads, 1 - 0.9 * done / total)
                 done += 1
         return self.w
 
