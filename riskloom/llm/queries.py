@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, licenses, pii, quality, rules, sampling, secrets, spans
+from riskloom.llm import bpe, licenses, pii, quality, rules, sampling, secrets, spans, toxicity
 
 
 def _documents(spark, sf_dir, *columns):
@@ -65,6 +65,13 @@ def op6_quality_classifier(spark, sf_dir):
     return _predictions(scored, sampling.fold(F.col("doc_id"), 3) == 1)
 
 
+def op7_toxicity(spark, sf_dir):
+    docs, labels = _documents(spark, sf_dir, "doc_id", "text"), _labels(spark, sf_dir)
+    weights = toxicity.train(docs, labels, sampling.fold(labels["doc_id"], 5) != 0)
+    scored = toxicity.score(docs, weights, drop=["text"])
+    return _predictions(scored, sampling.fold(F.col("doc_id"), 5) == 0)
+
+
 def op8_quality_rules(spark, sf_dir):
     rows = rules.apply_policy(rules.ledger(_documents(spark, sf_dir, "doc_id", "text")), "v2")
     base = rules.mask(rules.BASE)
@@ -88,6 +95,7 @@ REGISTRY = {
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe": op4_bpe,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
 }
