@@ -2,13 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, licenses, pii, quality, rules, sampling, secrets, spans, toxicity
+from riskloom.llm import bpe, fingerprints, licenses, pii, quality, rules, sampling, secrets, spans, toxicity
 
 
 def _documents(spark, sf_dir, *columns):
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
+def op1_fingerprints(spark, sf_dir):
+    return fingerprints.compare_with_edits(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op2_license_scan(spark, sf_dir):
     found = licenses.scan(_documents(spark, sf_dir, "doc_id", "text"), drop=["text"])
     places = F.transform("phrases", lambda s: s["first_word"])
@@ -91,6 +95,7 @@ def op9_pii(spark, sf_dir):
 
 
 REGISTRY = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_license_scan": op2_license_scan,
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe": op4_bpe,
