@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, fingerprints, licenses, pii, quality, rules, sampling, secrets, spans, toxicity
+from riskloom.llm import bpe, fingerprints, licenses, mixing, pii, quality, rules, sampling, secrets, spans, toxicity
 
 
 def _documents(spark, sf_dir, *columns):
@@ -46,6 +46,10 @@ def op4_bpe(spark, sf_dir):
     return bpe.digests(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op5_mixing(spark, sf_dir):
+    return mixing.amounts(_documents(spark, sf_dir, "doc_id", "source", "text"))
+
+
 def _predictions(scored, held_out_fold):
     """The columns of a classifier's query; a null id belongs to no fold."""
     return scored.select(
@@ -99,6 +103,7 @@ REGISTRY = {
     "op2_license_scan": op2_license_scan,
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe": op4_bpe,
+    "op5_mixing": op5_mixing,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
