@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, fingerprints, licenses, mixing, pii, quality, rules, sampling, secrets, spans, toxicity
+from riskloom.llm import bpe, fingerprints, jaccard, licenses, mixing, pii, quality, rules, sampling, secrets, spans, toxicity
 
 
 def _documents(spark, sf_dir, *columns):
@@ -98,6 +98,10 @@ def op9_pii(spark, sf_dir):
         spans.as_text(F.col("personal")).alias("spans"))
 
 
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard.join(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 REGISTRY = {
     "op1_fingerprints": op1_fingerprints,
     "op2_license_scan": op2_license_scan,
@@ -108,4 +112,5 @@ REGISTRY = {
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
+    "op10_jaccard_join": op10_jaccard_join,
 }
