@@ -1,13 +1,78 @@
-"""Documents to training tokens in five stages, each written and read again."""
+"""Documents to training tokens in five stages, each written as Parquet and read again.
 
-from riskloom.llm import queries  # noqa: F401
+Quality classifier, n-gram Jaccard join, personal data, mixing of sources, byte-level BPE. Each
+stage works on all rows of the one before; all but the last return the columns of documents.
+"""
 
-STAGES = []
+import os
+
+from pyspark.sql import functions as F
+
+import riskloom
+from riskloom.llm import bpe, jaccard, mixing, pii, quality, queries
+from riskloom.llm.scratch import kept_once
+from riskloom.session import ship_package
+
+
+def _shipped(spark):
+    """Functions in tasks need the package on the executors."""
+    ship_package(spark, os.path.dirname(riskloom.__file__))
+
+
+def _with_length(docs):
+    """``n_chars`` of the texts as they are now."""
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def quality_stage(spark, docs, sf_dir):
+    """Documents whose quality score is below 0.5 go; null texts are scored as empty ones."""
+    _shipped(spark)
+    scored = quality.score(docs, queries.quality_weights(spark, sf_dir, docs), column="_quality")
+    return scored.filter(F.col("_quality") >= 0.5).select(*docs.columns)
+
+
+def near_duplicates_stage(spark, docs, sf_dir):
+    """Of each class of linked documents the one with the least id stays."""
+    _shipped(spark)
+    return jaccard.one_of_each(docs)
+
+
+def personal_data_stage(spark, docs, sf_dir):
+    """Personal data are replaced by their kind."""
+    _shipped(spark)
+    return _with_length(pii.mask(docs, pii.train(docs))).select(*docs.columns)
+
+
+def mixing_stage(spark, docs, sf_dir):
+    """A row for each copy that the mix takes, in shuffled shards; documents it does not take go."""
+    _shipped(spark)
+    mixed = mixing.shuffled(mixing.mix(docs, shards=None))
+    return _with_length(mixed).select(*docs.columns)
+
+
+def tokens_stage(spark, docs, sf_dir):
+    """Token ids of each row, their number, and whether they decode to the same text."""
+    _shipped(spark)
+    return bpe.encode(docs.select("doc_id", "lang", "source", "text"), intact="intact").select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "intact")
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("n-gram Jaccard join", near_duplicates_stage),
+    ("personal data", personal_data_stage),
+    ("mixing sources", mixing_stage),
+    ("BPE encoding", tokens_stage),
+]
+#: Trained models and similarity classes have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """All stages over ``documents``; returns the rows of the last."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number + 1 < len(STAGES):
+            docs = kept_once(docs, f"stage{number + 1}")
     return docs

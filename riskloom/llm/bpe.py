@@ -201,10 +201,10 @@ class Encoder:
         return ids, ends[running(counts)]
 
 
-def encode(df, text="text", path=None, ids="ids"):
+def encode(df, text="text", path=None, ids="ids", intact=None):
     """``df`` with the array of token ids of each whole text.
 
-    A null or empty text has no ids. A special string of the vocabulary inside a text is its
+    ``intact`` names a column that tells whether the ids decode to the text. A null or empty text has no ids. A special string of the vocabulary inside a text is its
     special id, as the tokenizers library does by default. A column named like ``ids`` is replaced.
     """
     path = path or default_path()
@@ -213,12 +213,18 @@ def encode(df, text="text", path=None, ids="ids"):
         encoder = Encoder(path)
 
         def block(texts):
-            flat_ids, edges = encoder.encode(texts.to_pylist())
-            return [[flat_ids[a:b] for a, b in zip(edges[:-1], edges[1:])]]
+            values = texts.to_pylist()
+            flat_ids, edges = encoder.encode(values)
+            made = [[flat_ids[a:b] for a, b in zip(edges[:-1], edges[1:])]]
+            if intact:
+                decoded = encoder.vocabulary.decode(flat_ids, edges)
+                made.append([a == b for a, b in zip(decoded, values)])
+            return made
 
         return block
 
-    return with_text_columns(df, f"`{ids}` array<int>", start, text)
+    ddl = f"`{ids}` array<int>" + (f", `{intact}` boolean" if intact else "")
+    return with_text_columns(df, ddl, start, text)
 
 
 def decode(df, ids="ids", path=None, text="decoded"):

@@ -333,3 +333,20 @@ def classes(docs):
 def join(docs):
     """doc_id, class_id and n_links of every document; see ``classes``."""
     return classes(docs).select("doc_id", "class_id", "n_links")
+
+
+def one_of_each(docs):
+    """The rows of ``docs`` (with doc_id and text) with one document of each class: the least
+    (doc_id, text hash), a null id before others. Documents without words all stay."""
+    found = kept_once(classes(docs), "classes")
+    same = found.filter(F.col("key").isNotNull()).groupBy("class_key", "doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("rows"))
+    chosen = same.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_hash", "rows")).alias("one")).select(
+        F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash"), F.col("one.rows").alias("_rows"))
+    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    on = hashed["doc_id"].eqNullSafe(chosen["_id"]) & (hashed["_text_hash"] == chosen["_hash"])
+    kept = hashed.join(chosen.filter("_rows = 1"), on, "left_semi").select(*docs.columns)
+    # Rows that repeat id and text: few, and only these are compared whole.
+    repeated = hashed.join(chosen.filter("_rows > 1"), on).dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    wordless = docs.filter(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return kept.unionByName(repeated).unionByName(wordless)

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F, types as T, Window
 from riskloom.llm.scratch import kept_once
 
 BLOCKS = 1_024
-SHARDS = 16
+#: Shards: a number, or None for one per so many words, within these bounds.
+SHARDS, WORDS_PER_SHARD, MOST_SHARDS = 16, 5_000_000, 4_096
 WORD = r"[^\x20\x09-\x0D]+"
 #: More sources than this are refused: their table is held on the driver.
 MAX_SOURCES = 100_000
@@ -118,6 +119,9 @@ def plan(narrow, shards=SHARDS, seed=17):
     units = units.filter((F.col("copies") > 0) | (F.col("part") > 0))
     counted = {r["_key"]: r["n"] for r in units.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = sorted(counted)
+    if shards is None:
+        words = sum(target for _, target in known.values())
+        shards = int(min(MOST_SHARDS, max(SHARDS, words // WORDS_PER_SHARD)))
     split = split_quotas([counted[k] for k in order], shards, seed)
     ends = spark.createDataFrame(
         [(k, [int(x) for x in row]) for k, row in zip(order, np.cumsum(split, axis=1))],

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 from riskloom.llm.blocks import flat, with_text_columns
-from riskloom.llm.sampling import Adam, fit_in_one_task, labelled_sample
+from riskloom.llm.sampling import Adam, batches, fit_in_one_task, labelled_sample
 
 CHUNK, STEP = 256, 192
 WIDTH, HOP = 8, 2
@@ -18,7 +18,7 @@ EMBEDDING, FILTERS, HIDDEN = 4, 16, 16
 PAD = 256
 #: Bound of the labelled rows that the network learns from.
 PER_CLASS = 1_200
-EPOCHS = 14
+STEPS = 700
 _GROUP = 64
 
 
@@ -130,23 +130,18 @@ class Network:
         grads["bytes"] = d_bytes
         return grads
 
-    def fit(self, texts, y, weight, epochs=EPOCHS, batch=48, rate=0.01, seed=1):
+    def fit(self, texts, y, weight, steps=STEPS, batch=48, rate=0.01, seed=1):
         data, edges = flat(pa.array(texts, pa.large_string()))
         owner, start, end = chunk_ranges(edges)
         first = np.searchsorted(owner, np.arange(len(texts) + 1))
         sizes = np.diff(edges)
         draw, adam = np.random.default_rng(seed), Adam(self.w, rate)
-        total, done = epochs * -(-len(texts) // batch), 0
-        for _ in range(epochs):
-            order = draw.permutation(len(texts))
-            for a in range(0, len(texts), batch):
-                picked = order[a:a + batch]
-                chunks = np.concatenate([np.arange(first[i], first[i + 1]) for i in picked])
-                names = np.repeat(np.arange(len(picked)), first[picked + 1] - first[picked])
-                rows = chunk_bytes(data, start[chunks], end[chunks])
-                grads = self.gradients(rows, names, sizes[picked], y[picked], weight[picked])
-                adam.step(grads, 1 - 0.9 * done / total)
-                done += 1
+        for picked, done in batches(draw, np.arange(len(texts)), batch, steps):
+            chunks = np.concatenate([np.arange(first[i], first[i + 1]) for i in picked])
+            names = np.repeat(np.arange(len(picked)), first[picked + 1] - first[picked])
+            rows = chunk_bytes(data, start[chunks], end[chunks])
+            grads = self.gradients(rows, names, sizes[picked], y[picked], weight[picked])
+            adam.step(grads, 1 - 0.9 * done)
         return self.w
 
 

@@ -61,6 +61,16 @@ def unpack(rows):
     return {r["name"]: np.frombuffer(r["data"], "<f4").reshape(r["shape"]).copy() for r in rows}
 
 
+def batches(draw, rows, size, steps):
+    """(batch, part of the way done) for ``steps`` batches of shuffled passes over ``rows``."""
+    queue = rows[:0]
+    for step in range(steps if len(rows) else 0):
+        if not len(queue):
+            queue = draw.permutation(rows)
+        yield queue[:size], step / steps
+        queue = queue[size:]
+
+
 class Adam:
     """Steps for a dict of arrays."""
 

@@ -2,6 +2,9 @@
 
 import numpy as np
 
+from riskloom.llm.sampling import Adam, batches
+
+STEPS = 250
 SYMBOLS = 131  # ASCII, then: other letters, other characters, padding
 PAD = 130
 
@@ -135,24 +138,11 @@ class Tagger:
             grads[f"table_{d}"] = one_hot.reshape(-1, SYMBOLS).T @ d_pre.reshape(-1, 4 * h)
         return float((total - gold).mean()), grads
 
-    def fit(self, x, y, epochs=6, batch=64, rate=0.01, seed=5):
-        """Adam over shuffled batches, with a falling rate."""
-        draw = np.random.default_rng(seed)
-        first = {n: np.zeros_like(w) for n, w in self.w.items()}
-        second = {n: np.zeros_like(w) for n, w in self.w.items()}
-        steps, total = 0, max(1, epochs * -(-len(x) // batch))
-        for _ in range(epochs):
-            order = draw.permutation(len(x))
-            for a in range(0, len(x), batch):
-                rows = order[a:a + batch]
-                _, grads = self.gradients(x[rows], y[rows])
-                size = np.sqrt(sum(float((g ** 2).sum()) for g in grads.values()))
-                steps += 1
-                now = rate * (1 - 0.9 * steps / total)
-                for n, g in grads.items():
-                    g = g * min(1.0, 5.0 / max(size, 1e-9))
-                    first[n] += 0.1 * (g - first[n])
-                    second[n] += 0.01 * (g * g - second[n])
-                    self.w[n] -= (now * first[n] / (1 - 0.9 ** steps)
-                                  / (np.sqrt(second[n] / (1 - 0.99 ** steps)) + 1e-8)).astype(np.float32)
+    def fit(self, x, y, steps=STEPS, batch=64, rate=0.01, seed=5):
+        """Adam over shuffled batches with clipped gradients and a falling rate."""
+        adam = Adam(self.w, rate)
+        for rows, done in batches(np.random.default_rng(seed), np.arange(len(x)), batch, steps):
+            _, grads = self.gradients(x[rows], y[rows])
+            size = np.sqrt(sum(float((g ** 2).sum()) for g in grads.values()))
+            adam.step({n: g * min(1.0, 5.0 / max(size, 1e-9)) for n, g in grads.items()}, 1 - 0.9 * done)
         return self
