@@ -154,15 +154,14 @@ def fingerprints(df, text="text", column="fingerprint"):
 
 def similarity(one, other):
     """Likeness of two fingerprint columns, 0 to 1; null if either is null."""
-    import pandas as pd
-
-    @F.pandas_udf("double")
-    def compare(a: pd.Series, b: pd.Series) -> pd.Series:
-        known = (a.notna() & b.notna()).to_numpy()
-        out = pd.Series(np.nan, index=a.index, dtype=float).astype(object).where(False, None)
+    @F.arrow_udf(T.DoubleType())
+    def compare(a: pa.Array, b: pa.Array) -> pa.Array:
+        known = np.array([x.is_valid and y.is_valid for x, y in zip(a, b)], bool)
+        both = [parsed([v.as_py() for v, k in zip(side, known) if k]) for side in (a, b)]
+        out = np.zeros(len(a))
         if known.any():
-            out[known] = likeness(parsed(a[known].tolist()), parsed(b[known].tolist()))
-        return out.astype("Float64")
+            out[known] = likeness(*both)
+        return pa.array(out, mask=~known)
 
     return compare(one, other)
 

@@ -183,16 +183,19 @@ def mix(docs, shards=SHARDS, seed=17):
 
     Keeps all columns of ``docs`` (with doc_id, source and text). The document at which a source's
     target ends is cut behind its last taken word. Rows of a shard are shuffled by ``place``, a hash
-    of the row and the copy. Columns named shard and place are replaced.
+    of the row and the copy. Columns named shard and place are replaced. Repeated rows are mixed as
+    rows of their own.
     """
     mine = [c for c in docs.columns if c.lower() not in ("shard", "place")]
-    full = sized(docs.select(*mine), seed)
+    # The row travels as one column, so that its names meet none of the plan's.
+    full = sized(docs.select("doc_id", "source", "text", F.struct(*mine).alias("_row")), seed)
     narrow = kept_once(full.select("_key", "_size", "_hash", "_block"), "sized")
     block_plan, _ = plan(narrow, shards, seed)
     rows = takes(full, block_plan).select("*", F.posexplode("_shards").alias("_copy", "shard"))
     partial = (F.col("_copy") == F.col("_copies")) & (F.col("_taken") < F.col("_size"))
-    return rows.withColumn("text", F.when(partial, first_words(F.col("text"), F.col("_taken"))).otherwise(
-        F.col("text"))).select(*mine, "shard", F.xxhash64(F.lit(seed + 4), "_hash", "_copy").alias("place"))
+    text = F.when(partial, first_words(F.col("text"), F.col("_taken"))).otherwise(F.col("text"))
+    return rows.select(F.col("_row").withField("text", text).alias("_row"), "_hash", "_copy", "shard").select(
+        "_row.*", "shard", F.xxhash64(F.lit(seed + 4), "_hash", "_copy").alias("place"))
 
 
 def shuffled(mixed):

@@ -53,7 +53,8 @@ def _count(text, kept_class):
 def measure(df, text="text"):
     """``df`` and the measurements; a null text counts as empty, which measures 0 everywhere.
 
-    Columns of ``df`` named like a measurement are replaced.
+    Columns of ``df`` named like a measurement are replaced, those named like a helper column
+    (_words, _lines, _each, _windows, _sorted, _places) are dropped.
 
     Repeated words: each 8-word window is a hash. Only where a document has fewer distinct hashes
     than windows they are sorted with their places; equal neighbours are the repeated windows, and
