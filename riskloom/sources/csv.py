@@ -76,23 +76,52 @@ def type_credit_records(raw):
     ).where(F.col("customer_id").isNotNull() & F.col("months_balance").isNotNull())
 
 
-def read_applications(spark, path, multiline=False):
-    """Applications with a ``file_order`` column for :func:`dedupe_keep_last`.
+def has_quoted_line_breaks(spark, path):
+    """Whether a line holds an odd number of quotes: then records go over several lines."""
+    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    return bool(spark.read.text(path).where(quotes % 2 == 1).take(1))
 
-    Rows with fewer than 18 fields are dropped, surplus fields ignored. ``multiline`` admits line
-    breaks inside quotes, at the price of one task per file.
-    """
+
+def _raw_applications(spark, path, multiline):
+    if multiline is None:
+        multiline = has_quoted_line_breaks(spark, path)
     schema = T.StructType(APPLICATION_RAW.fields + [T.StructField(_CORRUPT, T.StringType())])
-    raw = (
+    return (
         _reader(spark, multiline).schema(schema).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
         .withColumn("file_order", file_order())
     )
-    wide_enough = F.col(_CORRUPT).isNull() | (_field_count(F.col(_CORRUPT)) >= len(APPLICATION_COLUMNS))
-    return type_applications(raw.where(wide_enough).drop(_CORRUPT))
 
 
-def read_credit_records(spark, path, multiline=False):
+def _wide_enough():
+    return F.col(_CORRUPT).isNull() | (_field_count(F.col(_CORRUPT)) >= len(APPLICATION_COLUMNS))
+
+
+def read_applications(spark, path, multiline=None):
+    """Applications with a ``file_order`` column for :func:`dedupe_keep_last`.
+
+    Rows with fewer than 18 fields or without a valid id are left to
+    :func:`read_rejected_applications`, surplus fields ignored. ``multiline`` admits line breaks
+    inside quotes, at the price of one task per file; None looks whether the files have any.
+    """
+    raw = _raw_applications(spark, path, multiline)
+    return type_applications(raw.where(_wide_enough()).drop(_CORRUPT))
+
+
+def read_rejected_applications(spark, path, multiline=None):
+    """(reason, id, line) of the rows that :func:`read_applications` leaves out; the line is kept
+    where its width is wrong."""
+    raw = _raw_applications(spark, path, multiline)
+    reason = F.when(~_wide_enough(), F.lit("fewer than 18 fields")).when(
+        P.parse_number(F.coalesce(F.col("ID"), F.lit("")), "bigint").isNull(), F.lit("no valid id"))
+    return raw.select(reason.alias("reason"), F.col("ID").alias("id"), F.col(_CORRUPT).alias("line"),
+                      *[c for c in APPLICATION_COLUMNS if c != "ID"]).where(
+        F.col("reason").isNotNull()).select("reason", "id", "line")
+
+
+def read_credit_records(spark, path, multiline=None):
     """Bureau records; a row that does not have exactly three fields fails the load."""
+    if multiline is None:
+        multiline = has_quoted_line_breaks(spark, path)
     raw = _reader(spark, multiline).schema(CREDIT_RAW).option("mode", "FAILFAST").csv(path)
     return type_credit_records(raw)

@@ -95,12 +95,45 @@ def test_requests_are_completed(spark, tmp_path):
     del broken["age_years"]
     full = request(customer_id=5, is_unemployed_or_retired=0.5, income_per_family_member=7.0, family_members_count=4.0)
     path.write_text("\n".join(json.dumps(r) for r in [request(), full, broken]))
-    rows = requests.normalize_requests(requests.read_score_requests(spark, str(path))).orderBy("customer_id").collect()
+    with pytest.raises(Exception, match="missing: age_years"):
+        requests.read_score_requests(spark, str(path)).collect()
+    rows = requests.normalize_requests(requests.read_score_requests(spark, str(path), "skip")).orderBy("customer_id").collect()
     assert [r.customer_id for r in rows] == [5, 9999999]
     assert (rows[0].is_unemployed_or_retired, rows[0].income_per_family_member, rows[0].family_members_count) == (0.5, 7.0, 4.0)
     assert (rows[1].is_unemployed_or_retired, rows[1].income_per_family_member, rows[1].family_members_count) == (1.0, 100.0, 1.0)
 
 
+def test_rejected_requests_are_told(spark, tmp_path):
+    path = tmp_path / "requests.json"
+    short = request(customer_id=2)
+    del short["own_car"], short["has_email"]
+    path.write_text("\n".join([json.dumps(request(customer_id=1)), json.dumps(short), '{"age_years": 3,', "[1"]))
+    told = requests.read_rejected_requests(spark, str(path)).select("customer_id", "reason").collect()
+    assert sorted((str(r[0]), r[1]) for r in told) == [
+        ("2", "missing: own_car, has_email"), ("None", "malformed"), ("None", "malformed")]
+    assert [r.customer_id for r in requests.read_score_requests(spark, str(path), "skip").collect()] == [1]
+    with pytest.raises(Exception, match="rejected request"):
+        requests.read_score_requests(spark, str(path)).collect()
+    array = tmp_path / "array.json"
+    array.write_text(json.dumps([request(customer_id=7), request(customer_id=8)], indent=2))
+    assert requests.read_score_requests(spark, str(array), multiline=True).count() == 2
+    with pytest.raises(ValueError):
+        requests.complete_requests(spark.read.json(str(path)), "drop")
+
+
+def test_quoted_line_breaks_are_read(spark, tmp_path):
+    def line(i, job):
+        return f'{i},M,Y,N,0,100.5,Working,Higher,"Married, ""yes""",House,-9000,-100,1,0,1,0,{job},2.0'
+
+    path = tmp_path / "applications.csv"
+    header = ",".join(APPLICATION_COLUMNS)
+    path.write_text("\n".join([header, line(1, "Cook"), line(2, '"Lab\nassistant"'), line(3, "Driver"), "4,M", line("x", "")]))
+    rows = csv.read_applications(spark, str(path)).orderBy("customer_id").collect()
+    assert [(r.customer_id, r.occupation_type) for r in rows] == [(1, "Cook"), (2, "Lab\nassistant"), (3, "Driver")]
+    told = {(r.reason, r.id) for r in csv.read_rejected_applications(spark, str(path)).collect()}
+    assert told == {("fewer than 18 fields", "4"), ("no valid id", "x")}
+
+
 def test_insert_if_absent(spark):
     target = spark.createDataFrame([(1, "old")], "customer_id long, v string")
     new = spark.createDataFrame([(1, "new", 0), (2, "second", 2), (2, "first", 1)], "customer_id long, v string, n int")
