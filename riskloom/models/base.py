@@ -10,7 +10,7 @@ from pyspark.sql import functions as F, types as T
 from riskloom.functions.probability import hard_predict, stable_sigmoid
 from riskloom.operators.aggregates import class_weights
 from riskloom.schemas import FEATURES, LABEL
-from riskloom.session import scratch_path
+from riskloom.session import remove_scratch, scratch_path
 
 PROBABILITY = "probability_of_default"
 ROWS_PER_TASK = 200_000
@@ -64,13 +64,14 @@ class TrainingTable:
     The table goes to the shared scratch folder: the many small jobs of a fit then plan from one
     scan instead of the whole history of the input, and what a lost executor kept is read again
     from there. ``keep`` packs a few thousand rows into one binary value each, so that a pass
-    hands whole matrices to the tasks instead of converting row by row.
+    hands whole matrices to the tasks instead of converting row by row. As a context manager it
+    deletes its table at the end, also after an error.
     """
 
     def __init__(self, df, names=FEATURES, label=LABEL, key="customer_id"):
         self.names = list(names)
         spark = df.sparkSession
-        path = scratch_path(spark, "training")
+        self.path = path = scratch_path(spark, "training")
         df.select(
             F.col(key).cast("bigint").alias("id"),
             F.when(F.col(label) == 1, 1.0).otherwise(0.0).alias("y"),
@@ -79,6 +80,7 @@ class TrainingTable:
         stored = spark.read.schema(ROWS).parquet(path)
         self.counts = class_weights(stored, "y").first()
         if not self.counts["samples"]:
+            remove_scratch(spark, path)
             raise ValueError("no training rows")
         # Small tables in few tasks save scheduling; large ones keep the partitions of the scan.
         self.rows = stored.coalesce(math.ceil(self.counts["samples"] / ROWS_PER_TASK))
@@ -108,6 +110,7 @@ class TrainingTable:
     def __exit__(self, *_):
         if self.blocks is not None:
             self.blocks.unpersist()
+        remove_scratch(self.rows.sparkSession, self.path)
 
 
 def _matrix(column):

@@ -16,16 +16,25 @@ from riskloom.models.trees import MAX_DISTINCT, ClassWeights, CodedTable, Nodes,
 from riskloom.schemas import FEATURES, LABEL
 
 TREES, DEPTH, MIN_SPLIT = 25, 7, 10
-_MOST_DRAWS = 12
+
+
+def _poisson_steps():
+    """Distribution function of Poisson(1) at 0, 1, ... until what is left is below 2 ** -53, the
+    grain of the uniform numbers."""
+    steps, k = [], 0
+    while not steps or 1.0 - steps[-1] >= 2.0**-53:
+        steps.append(math.fsum(math.exp(-1.0) / math.factorial(i) for i in range(k + 1)))
+        k += 1
+    return steps
 
 
 def _poisson(u):
     """Poisson(1) count whose distribution function first exceeds ``u``."""
-    total, result = 0.0, None
-    for k in range(_MOST_DRAWS):
-        total += math.exp(-1.0) / math.factorial(k)
-        result = F.when(u < total, k) if result is None else result.when(u < total, k)
-    return result.otherwise(_MOST_DRAWS)
+    steps = _poisson_steps()
+    result = F.when(u < steps[0], 0)
+    for k, total in enumerate(steps[1:-1], 1):
+        result = result.when(u < total, k)
+    return result.otherwise(len(steps) - 1)
 
 
 def draw_counts(key, trees, seed):

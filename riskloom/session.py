@@ -32,16 +32,26 @@ def local_session(cores="8", memory="8g", app="riskloom"):
 def scratch_path(spark, name):
     """A fresh path under the folder the cluster shares (``spark.checkpoint.dir``).
 
-    Only when the session names none (tests on one machine) a temporary folder is used.
+    Only on one machine, where tasks and driver see the same disk, a temporary folder does when
+    the session names none; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="riskloom-")
     return f"{root.rstrip('/')}/riskloom/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark, path):
+    """Delete a table under a scratch path that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ship_package(spark, folder):
     """Send the package to the executors once per session, for functions that run in tasks."""
     context = spark.sparkContext

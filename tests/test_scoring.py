@@ -141,6 +141,37 @@ def test_scratch_path_is_fresh(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
 
 
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getConf():
+                return Conf()
+
+    with pytest.raises(RuntimeError):
+        scratch_path(Cluster, "a")
+
+
+def test_training_tables_are_deleted(spark, dataset):
+    import os
+
+    from riskloom.models.base import TrainingTable
+
+    with pytest.raises(ZeroDivisionError):
+        with TrainingTable(dataset) as table:
+            assert os.path.isdir(table.path)
+            1 / 0
+    assert not os.path.exists(table.path)
+
+
 def test_left_join_defaults(spark, sf):
     from riskloom.operators.features import build_features
     features = build_features(Q._apps(spark, sf), Q._summary(spark, sf).where("customer_id > 10"))
