@@ -57,9 +57,8 @@ def list_recent(df, limit, offset=0, key="customer_id", rows_per_bucket=R.ROWS_P
         _, cuts = R.cut_points(df, key, rows_per_bucket)
         cuts = sorted(set(cuts))
         if cuts:
-            table = R.literal_array(cuts)
             counts = dict(
-                df.groupBy(R.bucket_of(F.col(key), table, len(cuts)).alias("bucket"))
+                df.groupBy(R.bucket_of(F.col(key), cuts).alias("bucket"))
                 .agg(F.count(F.lit(1)).alias("n")).collect())
             df, offset = _slice(df, key, cuts, counts, offset, limit)
     return df.orderBy(key).offset(offset).limit(limit)

@@ -9,10 +9,11 @@ cut again by the tie column.
 
 import math
 
-from pyspark.sql import functions as F, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F, types as T, Window
 
 ROWS_PER_BUCKET = 500_000
-MAX_BUCKETS = 4096
 SKETCH_ROWS = 5_000_000
 _GRID = 1024
 _LAST_PART = 1_000_000
@@ -45,40 +46,67 @@ def _thin(cuts, buckets):
 
 
 def _buckets_for(rows, rows_per_bucket):
-    return min(MAX_BUCKETS, max(1, math.ceil(rows / rows_per_bucket)))
+    return max(1, math.ceil(rows / rows_per_bucket))
+
+
+def _cuts_of_cuts(df, col, rows, buckets):
+    """Cut points for more buckets than one grid has: each part of a grid is cut by its own."""
+    parts = math.ceil(buckets / _GRID)
+    first = sorted(set(sketch_input(df, rows).agg(quantiles(f"`{col}`", min(_GRID, parts * 2))).first()[0] or []))
+    inner = math.ceil(buckets / (len(first) + 1))
+    if inner <= 1:
+        return first
+    grids = sketch_input(df, rows).groupBy(bucket_of(F.col(col), first).alias("part")).agg(
+        quantiles(f"`{col}`", min(inner, 16 * _GRID)).alias("cuts")).collect()
+    return sorted([*first, *(c for r in grids for c in r["cuts"] or [])])
 
 
 def cut_points(df, col, rows_per_bucket=ROWS_PER_BUCKET):
     """(row count, ascending cut points with repeats); none for a table of one bucket."""
-    rows = df.select(col).count()
+    df = df.select(col)
+    rows = df.count()
     buckets = _buckets_for(rows, rows_per_bucket)
     if buckets == 1:
         return rows, []
-    grid = _GRID if buckets <= _GRID else MAX_BUCKETS
-    cuts = sketch_input(df.select(col), rows).agg(quantiles(f"`{col}`", grid)).first()[0]
+    if buckets > _GRID:
+        return rows, _cuts_of_cuts(df, col, rows, buckets)
+    cuts = sketch_input(df, rows).agg(quantiles(f"`{col}`", _GRID)).first()[0]
     return rows, _thin(list(cuts or []), buckets)
 
 
-def _literal(value):
-    if isinstance(value, float):
-        return f"double('{value!r}')"
-    return f"{value}L" if isinstance(value, int) else repr(value)
+def bucket_of(col, cuts):
+    """How many of the ascending ``cuts`` lie below ``col``, by binary search over whole batches.
 
+    Declared nondeterministic, although it is not: the optimizer then infers no filters from it.
+    Inferred on the other side of a join, such a filter would miss the column.
+    """
+    if not len(cuts):
+        return F.lit(0)
+    table = np.asarray(cuts)
 
-def literal_array(values):
-    """A constant array column; one parsed text instead of one call per element."""
-    return F.expr("array(" + ",".join(_literal(v) for v in values) + ")")
+    @F.arrow_udf(T.IntegerType())
+    def count(values: pa.Array) -> pa.Array:
+        found = np.searchsorted(table, values.fill_null(table[0].item()).to_numpy(zero_copy_only=False))
+        return pa.array(np.where(values.is_null(), 0, found).astype(np.int32))
 
+    return count.asNondeterministic()(col)
 
-def bucket_of(col, table, longest):
-    """How many entries of the ascending array ``table`` lie below ``col``, by binary search."""
-    if longest == 0:
-        return F.lit(0)
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(longest.bit_length()))])
-    return F.aggregate(
-        steps, F.lit(0),
-        lambda at, step: F.when(F.get(table, at + step - 1) < col, at + step).otherwise(at),
-    )
+
+def _part_of(value, tie, hot):
+    """For a hot value: 1 + how many of its cuts lie below the tie; null for others."""
+    tables = {v: np.asarray(cuts) for v, cuts in hot.items()}
+
+    @F.arrow_udf(T.IntegerType())
+    def count(values: pa.Array, ties: pa.Array) -> pa.Array:
+        x, t = (c.to_numpy(zero_copy_only=False) for c in (values, ties))
+        out, known = np.zeros(len(x), np.int32), np.zeros(len(x), bool)
+        for v, cuts in tables.items():
+            here = x == v
+            known |= here
+            out[here] = 1 + (np.searchsorted(cuts, t[here]) if len(cuts) else 0)
+        return pa.array(out, mask=~known)
+
+    return count.asNondeterministic()(value, tie)
 
 
 def _hot_value_cuts(df, order, tie, cuts, rows_per_bucket):
@@ -89,30 +117,20 @@ def _hot_value_cuts(df, order, tie, cuts, rows_per_bucket):
     inside = df.where(F.col(order).isin(hot)).select(F.col(order).alias("value"), F.col(tie).alias("tie"))
     counts = {r["value"]: r["n"] for r in inside.groupBy("value").agg(F.count(F.lit(1)).alias("n")).collect()}
     drawn = sketch_input(inside, sum(counts.values()))
+    parts = {v: _buckets_for(n, rows_per_bucket) for v, n in counts.items()}
     grids = {r["value"]: list(r["cuts"]) for r in drawn.groupBy("value").agg(
-        quantiles("tie", _GRID).alias("cuts")).collect()}
-    return {v: _thin(grids.get(v, []), _buckets_for(n, rows_per_bucket)) for v, n in counts.items()}
+        quantiles("tie", max(_GRID, *parts.values())).alias("cuts")).collect()}
+    return {v: _thin(grids.get(v, []), n) for v, n in parts.items()}
 
 
 def bucketed(df, order, tie, ascending=True, rows_per_bucket=ROWS_PER_BUCKET):
     """``df`` with ``_bucket`` and ``_part``: bounded pieces, in the wanted global order."""
     _, cuts = cut_points(df, order, rows_per_bucket)
     hot = _hot_value_cuts(df, order, tie, cuts, rows_per_bucket)
-    c = F.col(order)
-    distinct = sorted(set(cuts))
-    bucket = bucket_of(c, literal_array(distinct), len(distinct)) if distinct else F.lit(0)
-    if not hot:
-        part = F.lit(0)
-    else:
-        values = sorted(hot)
-        tables = F.expr("array(" + ",".join(
-            "array(" + ",".join(_literal(x) for x in hot[v]) + ")" if hot[v] else "array(0L)"
-            for v in values) + ")")
-        longest = max(1, max(len(hot[v]) for v in values))
-        at = F.array_position(literal_array(values), c).cast("int")
-        inside = bucket_of(F.col(tie), F.get(tables, at - 1), longest) + 1
-        # A hot value is the greatest of its bucket: last when ascending, first when descending.
-        part = F.when(at > 0, inside).otherwise(F.lit(0 if ascending else _LAST_PART))
+    bucket = bucket_of(F.col(order), sorted(set(cuts)))
+    # A hot value is the greatest of its bucket: last when ascending, first when descending.
+    part = F.lit(0) if not hot else F.coalesce(
+        _part_of(F.col(order), F.col(tie), hot), F.lit(0 if ascending else _LAST_PART))
     return df.withColumns({"_bucket": bucket if ascending else -bucket, "_part": part})
 
 
@@ -129,7 +147,7 @@ def running_totals(df, order, tie, sums=None, ascending=True, groups=(), rank="r
         F.count(F.lit(1)).alias(f"_before_{rank}"),
         *[F.sum(col).alias(f"_before_{name}") for name, col in sums.items()],
     )
-    # One row per piece and group: a few thousand at most, whatever the table holds.
+    # One row per piece and group, each standing for ``rows_per_bucket`` rows.
     one_group = [F.col("_bucket") * 0]
     earlier = Window.partitionBy(*(groups or one_group)).orderBy("_bucket", "_part").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -137,8 +155,6 @@ def running_totals(df, order, tie, sums=None, ascending=True, groups=(), rank="r
         F.coalesce(F.sum(f"_before_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}")
         for n in [rank, *sums]
     ])
-    if not groups:
-        offsets = F.broadcast(offsets)
     within = Window.partitionBy(*keys).orderBy(
         F.col(order).asc() if ascending else F.col(order).desc(), F.col(tie).asc())
     to_row = within.rowsBetween(Window.unboundedPreceding, 0)

@@ -2,9 +2,10 @@
 
 Groups are anchored: walking upwards, a value at least ``eps`` above the current anchor becomes
 the next one. That chain crosses bucket borders, so three steps keep it exact and parallel:
-each bucket states which anchor it would hand on for the anchors it could receive; the driver
-follows that chain over the buckets (one small row each); each bucket then walks from the
-anchor it really receives.
+each bucket states which anchor it would hand on for the anchors it could receive; one task per
+group of scores follows that chain over the buckets (one row each); each bucket then walks from
+the anchor it really receives. A bucket with a gap of ``eps`` hands on one anchor whatever it
+receives; only without any gap its row lists several, as many as it has values at most.
 """
 
 import numpy as np
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F, types as T
 from riskloom.operators import ranking as R
 
 TIE_EPS = 1e-9
-_MAX_TABLE = 1024
 
 
 def _next_anchor(p, eps):
@@ -37,22 +37,19 @@ def _first_free(p, carry, eps):
 
 
 def _handover(p, eps):
-    """(first anchors, last anchors): entering at the first, a bucket leaves at the last.
-
-    None when the bucket is so dense that the table would be long.
-    """
+    """(first anchors, last anchors): entering at the first, a bucket leaves at the last."""
     nxt = _next_anchor(p, eps)
     gaps = np.flatnonzero(np.diff(p) >= eps)
     if len(gaps):  # behind a gap every chain is the same
         firsts = np.array([gaps[-1] + 1])
     else:
         firsts = np.arange(min(nxt[0] + 1, len(p)))
-    at = firsts
-    while (nxt[at] < len(p)).any():
-        at = np.where(nxt[at] < len(p), nxt[np.minimum(at, len(p) - 1)], at)
+    # Pointer doubling: ``jump`` goes to the last anchor in twice as many steps each round.
+    jump = np.where(nxt < len(p), np.minimum(nxt, len(p) - 1), np.arange(len(p)))
+    while (jump[jump] != jump).any():
+        jump = jump[jump]
+    at = jump[firsts]
     keep = np.append(at[1:] != at[:-1], True)
-    if keep.sum() > _MAX_TABLE:
-        return None
     return p[firsts[keep]], p[at[keep]]
 
 
@@ -62,10 +59,9 @@ def _bucket_summary(groups, p, eps):
         table = _handover(values, eps)
         row = {g: [pdf[g].iloc[0]] for g in groups}
         row.update(
-            _bucket=[pdf["_bucket"].iloc[0]], rows=[int(pdf["n"].sum())],
+            bucket=[pdf["_bucket"].iloc[0]], rows=[int(pdf["n"].sum())],
             first=[values[0]], last=[values[-1]],
-            enter=[None if table is None else table[0].tolist()],
-            leave=[None if table is None else table[1].tolist()],
+            enter=[table[0].tolist()], leave=[table[1].tolist()],
         )
         return pd.DataFrame(row)
 
@@ -91,36 +87,28 @@ def _walk(p, eps):
     return walk
 
 
-def _chain(rows, groups, p, eps, lookup):
-    """Per bucket in order: the anchor it receives and the rows before it."""
-    received, state = [], {}
-    for r in sorted(rows, key=lambda r: (*[str(r[g]) for g in groups], r["_bucket"])):
-        key = tuple(r[g] for g in groups)
-        carry, offset = state.get(key, (float("nan"), 0))
-        received.append((*key, r["_bucket"], carry, offset))
-        if np.isnan(carry):
-            needed = r["first"]
-        elif r["last"] - carry < eps:
-            needed = None  # all of it belongs to the anchor already open
-        elif r["enter"] is not None:
-            enter = np.array(r["enter"])
-            needed = enter[_first_free(enter, carry, eps)]
-        else:
-            needed = lookup(r, carry)
-        if needed is not None:
-            if r["enter"] is not None:
-                enter = np.array(r["enter"])
-                carry = r["leave"][int(np.searchsorted(enter, needed))]
+def _chain(groups, eps):
+    """Per bucket of a group in order: the anchor it receives and the rows before it."""
+    def follow(pdf):
+        pdf = pdf.sort_values("bucket", kind="stable").reset_index(drop=True)
+        carries, offsets, carry, offset = [], [], float("nan"), 0
+        for r in pdf.itertuples(index=False):
+            carries.append(carry)
+            offsets.append(offset)
+            enter = np.asarray(r.enter)
+            if np.isnan(carry):
+                needed = r.first
+            elif r.last - carry < eps:
+                needed = None  # all of it belongs to the anchor already open
             else:
-                carry = _last_of_dense(r, needed, eps, lookup)
-        state[key] = (carry, offset + r["rows"])
-    return received
-
+                needed = enter[_first_free(enter, carry, eps)]
+            if needed is not None:
+                carry = r.leave[int(np.searchsorted(enter, needed))]
+            offset += r.rows
+        return pd.DataFrame({**{g: pdf[g] for g in groups}, "_bucket": pdf["bucket"],
+                             "_carry": carries, "_offset": offsets})
 
-def _last_of_dense(row, anchor, eps, lookup):
-    while row["last"] - anchor >= eps:
-        anchor = lookup(row, anchor)
-    return anchor
+    return follow
 
 
 def tie_members(scores, p="p", groups=(), eps=TIE_EPS, rows_per_bucket=R.ROWS_PER_BUCKET):
@@ -129,38 +117,27 @@ def tie_members(scores, p="p", groups=(), eps=TIE_EPS, rows_per_bucket=R.ROWS_PE
     ``scores``: one row per (groups, p) with the row count ``n``; other columns are kept.
     """
     groups = list(groups)
-    spark = scores.sparkSession
     _, cuts = R.cut_points(scores, p, rows_per_bucket)
     cuts = sorted(set(cuts))
     keys = groups + ["_bucket"]
-    pieces = scores.withColumn(
-        "_bucket", R.bucket_of(F.col(p), R.literal_array(cuts), len(cuts)) if cuts else F.lit(0))
-    if not cuts:
+    pieces = scores.withColumn("_bucket", R.bucket_of(F.col(p), cuts))
+    if not cuts:  # nothing to hand over
         placed = pieces.withColumns({"_carry": F.lit(float("nan")), "_offset": F.lit(0).cast("bigint")})
     else:
         fields = {f.name: f for f in scores.schema.fields}
         doubles = T.ArrayType(T.DoubleType())
         summary_schema = T.StructType([fields[g] for g in groups] + [
-            T.StructField("_bucket", T.IntegerType()), T.StructField("rows", T.LongType()),
+            T.StructField("bucket", T.IntegerType()), T.StructField("rows", T.LongType()),
             T.StructField("first", T.DoubleType()), T.StructField("last", T.DoubleType()),
             T.StructField("enter", doubles), T.StructField("leave", doubles)])
-        rows = (
-            pieces.select(*keys, p, "n").groupBy(*keys)
-            .applyInPandas(_bucket_summary(groups, p, eps), summary_schema).collect()
-        )
-
-        def lookup(row, anchor):
-            here = pieces.where(F.col("_bucket") == row["_bucket"])
-            for g in groups:
-                here = here.where(F.col(g).eqNullSafe(F.lit(row[g])))
-            return here.where(F.col(p) - F.lit(anchor) >= eps).agg(F.min(p)).first()[0]
-
-        received = _chain(rows, groups, p, eps, lookup)
+        summary = pieces.select(*keys, p, "n").groupBy(*keys).applyInPandas(
+            _bucket_summary(groups, p, eps), summary_schema)
         chain_schema = T.StructType([fields[g] for g in groups] + [
             T.StructField("_bucket", T.IntegerType()), T.StructField("_carry", T.DoubleType()),
             T.StructField("_offset", T.LongType())])
-        chain = spark.createDataFrame(received, chain_schema)
-        placed = pieces.join(chain if groups else F.broadcast(chain), keys)
+        whole = [F.lit(0).alias("_all")]
+        chain = summary.groupBy(*(groups or whole)).applyInPandas(_chain(groups, eps), chain_schema)
+        placed = pieces.join(chain, keys)
     out = T.StructType([f for f in scores.schema.fields] + [
         T.StructField("anchor", T.DoubleType()), T.StructField("before", T.LongType())])
     return placed.select(*scores.columns, "_bucket", "_carry", "_offset").groupBy(*keys).applyInPandas(

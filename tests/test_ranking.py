@@ -43,18 +43,47 @@ def test_areas_equal_brute_force(spark, shape, per_bucket):
     assert pr == pytest.approx(brute.average_precision(y, p, ids), abs=1e-12)
 
 
-@pytest.mark.parametrize("shape", ["chained", "within one tie"])
-def test_tables_too_long_to_hand_over(spark, monkeypatch, shape):
-    """With no room for handover tables the driver asks the bucket itself; ranks stay the same."""
-    rows = sample(120, 3, SHAPES[shape])
+@pytest.mark.parametrize("shape", ["chained", "within one tie", "dense then sparse"])
+def test_dense_values_over_many_buckets(spark, shape):
+    """Buckets without a gap hand on many anchors; ranks are those of one bucket."""
+    rows = sample(300, 3, SHAPES[shape])
     df = scored(spark, rows)
     want = {r.p: r.average_rank for r in ties.tie_average_rank(df, rows_per_bucket=10**6).collect()}
-    original = ties._handover
-    monkeypatch.setattr(ties, "_handover", lambda p, eps: original(p, eps) if len(p) < 3 else None)
-    got = {r.p: r.average_rank for r in ties.tie_average_rank(df, rows_per_bucket=30).collect()}
+    got = {r.p: r.average_rank for r in ties.tie_average_rank(df, rows_per_bucket=17).collect()}
     assert got == want
 
 
+def test_more_buckets_than_one_grid(spark, monkeypatch):
+    rows = sample(900, 5, SHAPES["hot value"])
+    df = scored(spark, rows)
+    want = {r.customer_id: r["rank"] for r in R.distributed_rank(df, "p", "customer_id").collect()}
+    monkeypatch.setattr(R, "_GRID", 8)
+    got = {r.customer_id: r["rank"] for r in R.distributed_rank(df, "p", "customer_id", rows_per_bucket=9).collect()}
+    assert got == want
+
+
+def test_persisted_scores_in_a_fresh_session():
+    """The optimizer must not push what it knows of a bucket to the side without the value."""
+    code = """
+from pyspark.sql import functions as F
+from riskloom.session import local_session
+from riskloom.operators import ties
+spark = local_session("4", "3g")
+scores = spark.range(6000).select((F.col("id") * 1e-13 + 0.5).alias("p"), F.lit(1).cast("long").alias("n")).persist()
+scores.count()
+rows = ties.tie_members(scores, rows_per_bucket=2000).collect()
+assert len(rows) == 6000 and {r.anchor for r in rows} == {0.5}, len({r.anchor for r in rows})
+"""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, env={**os.environ, "PYTHONPATH": root},
+                          capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_drawn_cut_points_change_no_result(spark, monkeypatch):
     rows = sample(600, 13, SHAPES["hot value"])
     df = scored(spark, rows)
