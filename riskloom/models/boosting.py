@@ -10,7 +10,7 @@ import numpy as np
 
 from riskloom.functions.probability import LOGIT_LIMIT
 from riskloom.models.trees import (
-    MAX_DISTINCT, CodedTable, Nodes, ResidualWeights, TreeModel, fit_nodes)
+    Nodes, ResidualWeights, TreeModel, ValueTable, fit_nodes)
 from riskloom.schemas import FEATURES, LABEL
 
 ROUNDS, RATE, DEPTH, MIN_SPLIT = 20, 0.1, 4, 15
@@ -36,11 +36,11 @@ class BoostingModel(TreeModel):
 
 
 def fit_boosting(df, rounds=ROUNDS, lr=RATE, depth=DEPTH, min_split=MIN_SPLIT, names=FEATURES,
-                 label=LABEL, key="customer_id", max_distinct=MAX_DISTINCT):
+                 label=LABEL, key="customer_id"):
     nodes, everything = Nodes(), [list(range(len(names)))]
-    with CodedTable(df, names, label, key, max_distinct=max_distinct) as table:
+    with ValueTable(df, names, label, key) as table:
         base = table.prior_log_odds
         for _ in range(rounds):
-            weights = ResidualWeights(nodes.arrays("code"), base, lr)
+            weights = ResidualWeights(nodes.arrays(), base, lr)
             nodes.extend(fit_nodes(table, 1, depth, min_split, everything, weights))
     return BoostingModel(base, lr, nodes, list(names))

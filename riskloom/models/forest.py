@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from riskloom.models.base import shares
-from riskloom.models.trees import MAX_DISTINCT, ClassWeights, CodedTable, Nodes, TreeModel, fit_nodes
+from riskloom.models.trees import ClassWeights, Nodes, TreeModel, ValueTable, fit_nodes
 from riskloom.schemas import FEATURES, LABEL
 
 TREES, DEPTH, MIN_SPLIT = 25, 7, 10
@@ -75,9 +75,9 @@ class ForestModel(TreeModel):
 
 
 def fit_random_forest(df, trees=TREES, depth=DEPTH, min_split=MIN_SPLIT, seed=42, names=FEATURES,
-                      label=LABEL, key="customer_id", max_distinct=MAX_DISTINCT):
+                      label=LABEL, key="customer_id"):
     draws = draw_counts(F.col("id"), trees, seed)
-    with CodedTable(df, names, label, key, draws, max_distinct) as table:
+    with ValueTable(df, names, label, key, draws) as table:
         weights = ClassWeights(table.counts["w_pos"], table.counts["w_neg"])
         subsets = feature_subsets(len(names), trees, seed)
         nodes = fit_nodes(table, trees, depth, min_split, subsets, weights)

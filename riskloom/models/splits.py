@@ -4,9 +4,17 @@
 ``pos`` positive weight; ``feature`` is the position in the order in which features are tried.
 Weighted impurities are mixed by row counts. The text form keeps planning short, because a tree
 asks for these plans once per level.
+
+Where a feature may have more values than one task should sort, each value also has a ``bucket``,
+a range of the feature's values. Values are then numbered and summed within buckets, and the totals
+of the buckets before are added: the candidates are those of one window over the whole feature.
 """
 
-from pyspark.sql import functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F, types as T
+
+from riskloom.operators import ranking as R
 
 TARGET_CANDIDATES = 15
 GAIN_DIGITS = 12
@@ -58,29 +66,86 @@ def split_gains(candidates):
     return candidates.sparkSession.sql(_gains("SELECT * FROM {candidates}"), candidates=candidates)
 
 
-def best_splits(partials, keys=(), target=TARGET_CANDIDATES):
+def _bucketed_candidates(source, keys, target):
+    node = ", ".join([*keys, "feature"])
+    sums = ("cnt", "wgt", "pos")
+    before = ", ".join(f"coalesce(sum({c}) OVER earlier, 0) AS before_{c}" for c in ("n", *sums))
+    whole = ", ".join(f"sum({c}) OVER node AS node_{c}" for c in ("n", *sums))
+    return f"""
+    SELECT * FROM (
+      SELECT {node}, value, rn + before_n AS rn, node_n AS distinct_values, node_cnt, node_wgt, node_pos,
+        {", ".join(f"inner_{c} + before_{c} AS left_{c}" for c in sums)}
+      FROM (
+        SELECT {node}, bucket, value, row_number() OVER up_to AS rn,
+          {", ".join(f"sum({c}) OVER up_to AS inner_{c}" for c in sums)}
+        FROM {source}
+        WINDOW up_to AS (PARTITION BY {node}, bucket ORDER BY value ROWS UNBOUNDED PRECEDING))
+      JOIN (
+        SELECT {node}, bucket, {before}, {whole}
+        FROM (SELECT {node}, bucket, count(*) AS n, {", ".join(f"sum({c}) AS {c}" for c in sums)}
+              FROM {source} GROUP BY {node}, bucket)
+        WINDOW earlier AS (PARTITION BY {node} ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+               node AS (PARTITION BY {node}))
+      USING ({node}, bucket)
+    ) WHERE (rn - 1) % greatest(distinct_values DIV {target}, 1) = 0"""
+
+
+def best_splits(partials, keys=(), target=TARGET_CANDIDATES, bucketed=False):
     """One row per (keys, feature): its best candidate, lowest threshold on equal gain.
 
     ``partials`` may hold several rows per value; they are added up first, on the map side too.
-    The caller takes the first feature with the greatest gain per node.
+    With ``bucketed`` it has the column ``bucket``. The caller takes the first feature with the
+    greatest gain per node.
     """
     node = ", ".join([*keys, "feature"])
-    merged = f"""(SELECT {node}, value, sum(cnt) AS cnt, sum(wgt) AS wgt, sum(pos) AS pos
-      FROM {{partials}} GROUP BY {node}, value)"""
+    place = f"{node}, bucket" if bucketed else node
+    merged = f"""(SELECT {place}, value, sum(cnt) AS cnt, sum(wgt) AS wgt, sum(pos) AS pos
+      FROM {{partials}} GROUP BY {place}, value)"""
+    candidates = (_bucketed_candidates if bucketed else _candidates)(merged, keys, target)
     return partials.sparkSession.sql(f"""
     SELECT {node}, best.* FROM (
       SELECT {node}, max_by(struct({_BEST}), struct(gain, -value)) AS best
-      FROM ({_gains(_candidates(merged, keys, target))}) GROUP BY {node})""", partials=partials)
+      FROM ({_gains(candidates)}) GROUP BY {node})""", partials=partials)
+
+
+def value_cuts(df, columns, rows_per_bucket=R.ROWS_PER_BUCKET):
+    """Per column the ascending cut points of its buckets; none at all for a small table."""
+    if df.count() <= rows_per_bucket:
+        return None
+    return [sorted(set(R.cut_points(df.select(c), c, rows_per_bucket)[1])) for c in columns]
+
+
+def _bucket_by_feature(feature, value, cuts):
+    tables = [np.asarray(c, dtype=float) for c in cuts]
+
+    @F.arrow_udf(T.IntegerType())
+    def bucket(features: pa.Array, values: pa.Array) -> pa.Array:
+        f, v = features.to_numpy(), values.to_numpy(zero_copy_only=False).astype(float)
+        out = np.zeros(len(f), np.int32)
+        for j, table in enumerate(tables):
+            here = f == j
+            out[here] = np.searchsorted(table, v[here])
+        return pa.array(out)
+
+    return bucket.asNondeterministic()(feature, value)
 
 
-def best_split(df, features, label="y", weight=None, target=TARGET_CANDIDATES):
+def best_split(df, features, label="y", weight=None, target=TARGET_CANDIDATES,
+               rows_per_bucket=R.ROWS_PER_BUCKET):
     """The best split of one node: feature name, threshold, gain (no row when nothing splits)."""
     wgt = F.col(weight).cast("double") if weight else F.lit(1.0)
+    values = df.select(*[F.col(f).cast("double").alias(f) for f in features])
+    cuts = value_cuts(values, features, rows_per_bucket)
     long = df.select(
         F.lit(1).alias("cnt"), wgt.alias("wgt"),
         F.when(F.col(label) == 1, wgt).otherwise(F.lit(0.0)).alias("pos"),
         F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("feature", "value"))
-    winner = best_splits(long, (), target).agg(F.max_by(
+    if cuts:
+        # Sums by value first: the function then sees each value of a task once.
+        long = long.groupBy("feature", "value").agg(
+            *[F.sum(c).alias(c) for c in ("cnt", "wgt", "pos")]).withColumn(
+            "bucket", _bucket_by_feature(F.col("feature"), F.col("value"), cuts))
+    winner = best_splits(long, (), target, bool(cuts)).agg(F.max_by(
         F.struct("feature", "value", "gain", "left_cnt", "node_cnt"),
         F.struct(F.col("gain"), -F.col("feature"))).alias("s")).select("s.*")
     names = F.array(*[F.lit(f) for f in features])

@@ -4,9 +4,8 @@ Per level one pass over the kept training rows adds up (rows, weight, positive w
 (node, feature, value); Spark merges these sums, and window and aggregate operators pick the
 best split of every node. The driver only holds nodes.
 
-Values are replaced by their rank among the distinct values of the feature. A feature with more
-than ``max_distinct`` values is cut once at quantiles, so that its thresholds come from at most
-1,024 of its values; below that the search is exact.
+The search is exact whatever the number of values. Large tables cut every feature into ranges of
+values, so that no task sorts a whole feature; where the cuts fall changes nothing.
 """
 
 from dataclasses import dataclass, field
@@ -16,14 +15,11 @@ import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from riskloom.models.base import Model, TrainingTable, shares, unpacked
-from riskloom.models.splits import MIN_GAIN, best_splits
-from riskloom.operators.ranking import quantiles, sketch_input
+from riskloom.models.splits import MIN_GAIN, best_splits, value_cuts
+from riskloom.operators.ranking import ROWS_PER_BUCKET
 from riskloom.schemas import FEATURES, LABEL
 
-MAX_DISTINCT = 10_000
-QUANTILE_CUTS = 1_024
 PURE = 1e-6
-_FLUSH = 2_000_000
 _CHUNK = 100_000
 
 NODE_SCHEMA = T.StructType([
@@ -34,7 +30,8 @@ NODE_SCHEMA = T.StructType([
 ])
 STATS_SCHEMA = T.StructType([
     T.StructField("slot", T.IntegerType()), T.StructField("feature", T.IntegerType()),
-    T.StructField("value", T.IntegerType()), T.StructField("cnt", T.LongType()),
+    T.StructField("bucket", T.IntegerType()), T.StructField("value", T.DoubleType()),
+    T.StructField("cnt", T.LongType()),
     T.StructField("wgt", T.DoubleType()), T.StructField("pos", T.DoubleType()),
 ])
 
@@ -45,7 +42,6 @@ class Nodes:
 
     tree: list = field(default_factory=list)
     feature: list = field(default_factory=list)
-    code: list = field(default_factory=list)
     threshold: list = field(default_factory=list)
     left: list = field(default_factory=list)
     right: list = field(default_factory=list)
@@ -61,7 +57,6 @@ class Nodes:
         self.tree.append(tree)
         self.depth.append(depth)
         self.feature.append(-1)
-        self.code.append(np.iinfo(np.int32).max)
         self.threshold.append(float("inf"))
         self.left.append(at)
         self.right.append(at)
@@ -79,8 +74,8 @@ class Nodes:
         return (self.depth[at] >= max_depth or self.samples[at] < min_split
                 or p <= PURE or p >= 1 - PURE)
 
-    def split(self, at, feature, code, threshold, best):
-        self.feature[at], self.code[at], self.threshold[at] = feature, code, threshold
+    def split(self, at, feature, threshold, best):
+        self.feature[at], self.threshold[at] = feature, threshold
         right = [max(best["node_" + k] - best["left_" + k], 0) for k in ("cnt", "wgt", "pos")]
         left = [best["left_" + k] for k in ("cnt", "wgt", "pos")]
         self.left[at] = self.add(self.tree[at], self.depth[at] + 1, *left)
@@ -90,18 +85,17 @@ class Nodes:
     def extend(self, other):
         """Append the trees of ``other``."""
         shift, trees = len(self.tree), len(self.roots)
-        for name in ("feature", "code", "threshold", "probability", "samples", "depth"):
+        for name in ("feature", "threshold", "probability", "samples", "depth"):
             getattr(self, name).extend(getattr(other, name))
         self.tree.extend(t + trees for t in other.tree)
         self.left.extend(n + shift for n in other.left)
         self.right.extend(n + shift for n in other.right)
         self.roots.extend(n + shift for n in other.roots)
 
-    def arrays(self, by="threshold"):
-        """Compact arrays for the tasks; ``by`` says whether rows are raw values or codes."""
-        limit = np.array(self.threshold) if by == "threshold" else np.array(self.code, dtype=np.int32)
+    def arrays(self):
+        """Compact arrays for the tasks."""
         return WalkArrays(
-            np.maximum(np.array(self.feature, dtype=np.int32), 0), limit,
+            np.maximum(np.array(self.feature, dtype=np.int32), 0), np.array(self.threshold),
             np.array(self.left, dtype=np.int32), np.array(self.right, dtype=np.int32),
             np.array(self.probability), np.array(self.roots, dtype=np.int32),
             max(self.depth, default=0))
@@ -194,7 +188,7 @@ class ClassWeights:
     positive: float = 1.0
     negative: float = 1.0
 
-    def __call__(self, codes, y):
+    def __call__(self, x, y):
         return np.where(y == 1, self.positive, self.negative)
 
 
@@ -207,50 +201,23 @@ class ResidualWeights:
     rate: float
     floor: float = 0.01
 
-    def __call__(self, codes, y):
-        score = self.walk.boosted_score(codes, self.base, self.rate)
+    def __call__(self, x, y):
+        score = self.walk.boosted_score(x, self.base, self.rate)
         return np.maximum(np.abs(y - 1.0 / (1.0 + np.exp(-score))), self.floor)
 
 
-class CodedTable(TrainingTable):
-    """Training rows with values replaced by codes, for repeated level passes.
+class ValueTable(TrainingTable):
+    """Training rows kept as they are, for repeated level passes.
 
     ``draws``: optional array column over ``id``, how often each tree draws the row.
     """
 
     def __init__(self, df, names=FEATURES, label=LABEL, key="customer_id", draws=None,
-                 max_distinct=MAX_DISTINCT):
+                 rows_per_bucket=ROWS_PER_BUCKET):
         super().__init__(df, names, label, key)
-        self.levels = _levels(self.rows, self.counts["samples"], len(self.names), max_distinct)
-        self.keep(_encoder(self.levels), draws)
-
-
-def _encoder(levels):
-    def encode(x):
-        return np.column_stack([np.searchsorted(v, x[:, j]) for j, v in enumerate(levels)]).astype(np.int32)
-
-    return encode
-
-
-def _levels(rows, samples, width, max_distinct):
-    """Per feature the ascending thresholds: all its values, or quantiles if they are too many."""
-    estimates = rows.agg(*[F.approx_count_distinct(F.get("x", F.lit(j))) for j in range(width)]).first()
-    few = [j for j in range(width) if estimates[j] <= max_distinct]
-    many = [j for j in range(width) if estimates[j] > max_distinct]
-    levels = [None] * width
-    values = (
-        rows.select(F.posexplode("x").alias("feature", "value"))
-        .where(F.col("feature").isin(few)).distinct().toPandas()  # at most width * max_distinct
-    )
-    for j in few:
-        levels[j] = np.sort(values["value"][values["feature"] == j].to_numpy())
-    if many:
-        cuts = sketch_input(rows, samples).agg(*[
-            quantiles(f"x[{j}]", QUANTILE_CUTS, top=True).alias(f"q{j}") for j in many]).first()
-        tops = rows.agg(*[F.max(F.get("x", F.lit(j))).alias(f"m{j}") for j in many]).first()
-        for j in many:
-            levels[j] = np.unique(np.append(cuts[f"q{j}"], tops[f"m{j}"]))
-    return levels
+        small = self.counts["samples"] <= rows_per_bucket
+        self.cuts = None if small else value_cuts(self.columns(), self.names, rows_per_bucket)
+        self.keep(np.asarray, draws)
 
 
 def _sum_by_key(keys, columns, size):
@@ -263,27 +230,23 @@ def _sum_by_key(keys, columns, size):
     return found, [np.bincount(inverse, c, len(found)) for c in columns]
 
 
-def _level_pass(walk, slot_of, subsets, sizes, weigh):
-    """Task function: sums by (slot, feature position, code) for the nodes that have a slot."""
-    width = len(sizes)
-    trees = sorted({int(t) for t in slot_of.tree_of_slot})
+def _level_pass(walk, tree_of_slot, by_node, subsets, cuts, width, weigh):
+    """Task function: sums by (slot, feature position, value) for the nodes that have a slot.
 
-    def emit(buffer):
-        keys = np.concatenate([k for k, _ in buffer])
-        sums = [np.concatenate([s[i] for _, s in buffer]) for i in range(3)]
-        keys, sums = _sum_by_key(keys, sums, slot_of.cells)
-        slot, position, code = slot_of.decode(keys)
-        return pa.RecordBatch.from_arrays([
-            pa.array(slot, pa.int32()), pa.array(position, pa.int32()), pa.array(code, pa.int32()),
-            pa.array(np.rint(sums[0]).astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]),
-        ], STATS_SCHEMA.names)
+    Within a chunk of rows values are replaced by their rank among the chunk's own values.
+    """
+    trees = sorted(set(tree_of_slot))
+    used = sorted({f for t in trees for f in subsets[t]})
 
     def run(batches):
-        buffer, held = [], 0
-        for codes, y, draws in unpacked(batches, np.int32, width, _CHUNK):
-            weight = weigh(codes, y)
+        for x, y, draws in unpacked(batches, np.float64, width, _CHUNK):
+            levels, codes = [np.zeros(1)] * width, np.zeros(x.shape, np.int32)
+            for f in used:
+                levels[f], codes[:, f] = np.unique(x[:, f], return_inverse=True)
+            slots = _Slots(tree_of_slot, by_node, subsets, [len(v) for v in levels])
+            weight, found, sums = weigh(x, y), [], []
             for t in trees:
-                slot = slot_of.by_node[walk.node_of(codes, t)]
+                slot = slots.by_node[walk.node_of(x, t)]
                 times = np.ones(len(y)) if draws is None else draws[:, t].astype(float)
                 rows = np.flatnonzero((slot >= 0) & (times > 0))
                 if not len(rows):
@@ -291,16 +254,26 @@ def _level_pass(walk, slot_of, subsets, sizes, weigh):
                 n, w = times[rows], times[rows] * weight[rows]
                 columns = [n, w, w * y[rows]]
                 for position, feature in enumerate(subsets[t]):
-                    keys = slot_of.start[slot[rows], position] + codes[rows, feature]
-                    low, high = slot_of.span(t, position)
-                    found, sums = _sum_by_key(keys - low, columns, high - low)
-                    buffer.append((found + low, sums))
-                    held += len(found)
-            if held > _FLUSH:
-                yield emit(buffer)
-                buffer, held = [], 0
-        if buffer:
-            yield emit(buffer)
+                    keys = slots.start[slot[rows], position] + codes[rows, feature]
+                    low, high = slots.span(t, position)
+                    hit, total = _sum_by_key(keys - low, columns, high - low)
+                    found.append(hit + low)
+                    sums.append(total)
+            if not found:
+                continue
+            slot, position, code = slots.decode(np.concatenate(found))
+            feature = slots.feature_at[np.asarray(tree_of_slot)[slot], position]
+            edges = np.concatenate([[0], np.cumsum([len(v) for v in levels])])
+            value = np.concatenate(levels)[edges[feature] + code]
+            bucket = np.zeros(len(value), np.int32)
+            if cuts:
+                ranges = np.concatenate([np.searchsorted(c, v) for c, v in zip(cuts, levels)])
+                bucket = ranges[edges[feature] + code].astype(np.int32)
+            cnt, wgt, pos = (np.concatenate([s[i] for s in sums]) for i in range(3))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(slot, pa.int32()), pa.array(position, pa.int32()), pa.array(bucket),
+                pa.array(value), pa.array(np.rint(cnt).astype(np.int64)), pa.array(wgt), pa.array(pos),
+            ], STATS_SCHEMA.names)
 
     return run
 
@@ -308,12 +281,11 @@ def _level_pass(walk, slot_of, subsets, sizes, weigh):
 class _Slots:
     """Dense numbering of (open node, feature position, code), grouped by tree and position."""
 
-    def __init__(self, nodes, open_nodes, subsets, sizes):
-        self.tree_of_slot = [nodes.tree[n] for n in open_nodes]
-        self.by_node = np.full(len(nodes.tree), -1, dtype=np.int64)
-        self.by_node[open_nodes] = np.arange(len(open_nodes))
+    def __init__(self, tree_of_slot, by_node, subsets, sizes):
+        self.tree_of_slot, self.by_node = tree_of_slot, by_node
         positions = max(len(s) for s in subsets)
-        self.start = np.full((len(open_nodes), positions), -1, dtype=np.int64)
+        self.feature_at = np.array([[*s, *[0] * (positions - len(s))] for s in subsets])
+        self.start = np.full((len(tree_of_slot), positions), -1, dtype=np.int64)
         self._spans, blocks, at = {}, [], 0
         for t in sorted(set(self.tree_of_slot)):
             mine = [s for s, owner in enumerate(self.tree_of_slot) if owner == t]
@@ -324,7 +296,6 @@ class _Slots:
                     blocks.append((at, s, position))
                     at += sizes[feature]
                 self._spans[(t, position)] = (low, at)
-        self.cells = at
         self._first = np.array([b[0] for b in blocks])
         self._slot = np.array([b[1] for b in blocks])
         self._position = np.array([b[2] for b in blocks])
@@ -342,14 +313,15 @@ def fit_nodes(table, trees, max_depth, min_split, subsets, weigh):
     nodes = Nodes()
     for t in range(trees):
         nodes.add(t, 0)
-    sizes = [max(1, len(v)) for v in table.levels]
     open_nodes = list(nodes.roots)
     while open_nodes:
-        slots = _Slots(nodes, open_nodes, subsets, sizes)
-        level = _level_pass(nodes.arrays("code"), slots, subsets, sizes, weigh)
+        by_node = np.full(len(nodes.tree), -1, dtype=np.int64)
+        by_node[open_nodes] = np.arange(len(open_nodes))
+        level = _level_pass(nodes.arrays(), [nodes.tree[n] for n in open_nodes], by_node, subsets,
+                            table.cuts, len(table.names), weigh)
         partials = table.blocks.mapInArrow(level, STATS_SCHEMA)
         best = {}
-        for r in best_splits(partials, ["slot"]).collect():  # one row per open node and feature
+        for r in best_splits(partials, ["slot"], bucketed=bool(table.cuts)).collect():  # one row per open node and feature
             kept = best.get(r["slot"])
             if kept is None or (r["gain"], -r["feature"]) > (kept["gain"], -kept["feature"]):
                 best[r["slot"]] = r
@@ -362,16 +334,15 @@ def fit_nodes(table, trees, max_depth, min_split, subsets, weigh):
             if nodes.is_final(at, max_depth, min_split) or found["gain"] <= MIN_GAIN:
                 continue
             feature = subsets[nodes.tree[at]][found["feature"]]
-            code = found["value"]
-            children = nodes.split(at, feature, code, float(table.levels[feature][code]), found)
+            children = nodes.split(at, feature, float(found["value"]), found)
             opened += [c for c in children if not nodes.is_final(c, max_depth, min_split)]
         open_nodes = opened
     return nodes
 
 
 def fit_tree(df, max_depth=7, min_split=10, weight=None, names=FEATURES, label=LABEL,
-             max_distinct=MAX_DISTINCT):
+             rows_per_bucket=ROWS_PER_BUCKET):
     """A single tree on all features; ``weight`` is an optional :class:`ClassWeights`."""
-    with CodedTable(df, names, label, max_distinct=max_distinct) as table:
+    with ValueTable(df, names, label, rows_per_bucket=rows_per_bucket) as table:
         nodes = fit_nodes(table, 1, max_depth, min_split, [list(range(len(names)))], weight or ClassWeights())
     return DecisionTreeModel(nodes, list(names))

@@ -98,10 +98,25 @@ def test_results_do_not_depend_on_partitioning(spark, dataset, monkeypatch):
         monkeypatch.setattr("riskloom.models.base.ROWS_PER_TASK", 20)
 
 
-def test_wide_features_are_cut_at_quantiles(dataset):
-    model = trees.fit_tree(dataset, 3, 10, names=LEAKAGE_FREE_FEATURES, max_distinct=20)
-    exact = trees.fit_tree(dataset, 3, 10, names=LEAKAGE_FREE_FEATURES)
-    assert nested(model.nodes)[0] == nested(exact.nodes)[0]
+def test_buckets_change_no_tree(dataset):
+    one = trees.fit_tree(dataset, 3, 10, names=LEAKAGE_FREE_FEATURES)
+    many = trees.fit_tree(dataset, 3, 10, names=LEAKAGE_FREE_FEATURES, rows_per_bucket=20)
+    assert nested(many.nodes) == nested(one.nodes)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10**6, 4_000])
+def test_many_distinct_values_are_searched_exactly(spark, rows_per_bucket):
+    rows = 40_000
+    df = spark.range(rows).select(
+        F.col("id").alias("customer_id"), (F.xxhash64("id") / 2.0**40).alias("a"), (F.col("id") % 7).cast("double").alias("b"),
+    ).withColumn("is_default", ((F.sin(F.col("a") / 1e6) + F.col("b") / 9 + F.rand(3)) > 1).cast("int"))
+    model = trees.fit_tree(df, 3, 10, names=["a", "b"], rows_per_bucket=rows_per_bucket)
+    data = df.toPandas()
+    x, y = data[["a", "b"]].to_numpy(), data["is_default"].to_numpy().astype(float)
+    ones = np.ones(len(y))
+    assert nested(model.nodes) == brute.tree(x, y, ones, ones, 0, 3, 10, [0, 1])
+    best = splits.best_split(df.withColumnRenamed("is_default", "y"), ["a", "b"], rows_per_bucket=rows_per_bucket).first()
+    assert (["a", "b"].index(best.feature), best.threshold) == nested(model.nodes)[:2]
 
 
 @pytest.mark.parametrize("distinct,expected", [(1, 0), (15, 14), (29, 28), (30, 15), (31, 15)])
