@@ -64,9 +64,8 @@ def _roots():
 
 def _children():
     """Paths that continue the path of a bucket at places sampled for it."""
-    return F.array(*[
-        F.xxhash64("path", F.lit(j), _token(f"pmod(xxhash64(path, {j}), {PLACES})"))
-        for j in range(SAMPLED)])
+    return [F.xxhash64("path", F.lit(j), _token(f"pmod(xxhash64(path, {j}), {PLACES})"))
+            for j in range(SAMPLED)]
 
 
 def _sized(rows):
@@ -152,20 +151,23 @@ def candidate_links(sets):
         if not large.take(1):
             found.append(kept_once(_candidates(small), "links"))
             break
-        split = large.select(
-            F.col("path").alias("parent"), "size", "key", "tokens", F.explode(_children()).alias("child"))
-        sizes = split.groupBy("parent", "child").agg(
-            F.count(F.lit(1)).cast("double").alias("n"), F.first("size").cast("double").alias("size"))
-        work = sizes.groupBy("parent").agg(
+        # Comparisons left after a split, from counts by each sampled token.
+        sizes = None
+        for child in _children():
+            counted = large.groupBy("path", child.alias("child")).agg(
+                F.count(F.lit(1)).cast("double").alias("n"), F.first("size").cast("double").alias("size"))
+            sizes = counted if sizes is None else sizes.unionByName(counted)
+        work = sizes.groupBy("path").agg(
             F.sum(F.col("n") * F.col("n")).alias("after"), F.first("size").alias("size"))
         alike = F.lit(True) if depth == DEEPEST else F.col("after") >= F.col("size") * F.col("size")
-        work = kept_once(work.select("parent", alike.alias("alike")), "work")
-        dense = large.join(work.filter("alike").select(F.col("parent").alias("path")), "path", "left_semi")
+        work = kept_once(work.select("path", alike.alias("alike")), "work")
+        dense = large.join(work.filter("alike"), "path", "left_semi")
         found.append(kept_once(_candidates(small.unionByName(_blocked(dense))), "links"))
-        open_ = work.filter("not alike").select("parent")
+        open_ = work.filter("not alike")
         if not open_.take(1):
             break
-        rows = split.join(open_, "parent", "left_semi").select(F.col("child").alias("path"), "key", "tokens")
+        rows = large.join(open_, "path", "left_semi").select(
+            F.explode(F.array(*_children())).alias("path"), "key", "tokens")
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
@@ -347,6 +349,8 @@ def one_of_each(docs):
     on = hashed["doc_id"].eqNullSafe(chosen["_id"]) & (hashed["_text_hash"] == chosen["_hash"])
     kept = hashed.join(chosen.filter("_rows = 1"), on, "left_semi").select(*docs.columns)
     # Rows that repeat id and text: few, and only these are compared whole.
-    repeated = hashed.join(chosen.filter("_rows > 1"), on).dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    repeated = hashed.join(chosen.filter("_rows > 1"), on).select(
+        F.struct(*[hashed[c] for c in docs.columns]).alias("row"), chosen["_id"].alias("id"),
+        chosen["_hash"].alias("hash")).dropDuplicates(["id", "hash"]).select("row.*")
     wordless = docs.filter(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     return kept.unionByName(repeated).unionByName(wordless)
