@@ -38,6 +38,11 @@ class NaiveBayesModel(Model):
         negative = self._log_joint(self.prior_neg, self.means_neg, self.vars_neg)
         return positive - negative
 
+    def feature_means(self):
+        """Mean of each feature over both classes."""
+        return {n: self.prior_pos * p + self.prior_neg * q
+                for n, p, q in zip(self.features, self.means_pos, self.means_neg)}
+
     def importances(self):
         distances = [
             abs(mp - mn) / max(math.sqrt((vp + vn) / 2.0), MIN_POOLED_DEVIATION)

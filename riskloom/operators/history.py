@@ -7,6 +7,7 @@ shuffle and a customer with a third of all months costs one row per map task.
 from pyspark.sql import functions as F
 
 from riskloom.functions import status as S
+from riskloom.functions.rounding import round_ratio
 
 
 def dedupe_keep_last(df, key="customer_id", order="file_order"):
@@ -22,11 +23,13 @@ def _count_if(condition):
     return F.count(F.when(condition, 1))
 
 
-def recent_rate(month, late):
+def recent_rate(month, late, digits=None):
     """Aggregate: share of late rows among recent ones, 0 without recent rows."""
     recent = S.is_recent(month)
     rows = _count_if(recent)
-    return F.when(rows > 0, _count_if(recent & late) / rows).otherwise(F.lit(0.0))
+    share = _count_if(recent & late) / rows if digits is None else round_ratio(
+        _count_if(recent & late), rows, digits)
+    return F.when(rows > 0, share).otherwise(F.lit(0.0))
 
 
 def summarize_history(records, variant="strict"):
@@ -44,9 +47,9 @@ def summarize_history(records, variant="strict"):
             rows.alias("total_months_observed"),
             _count_if(late).alias("delinquent_months_count"),
             _count_if(severe).alias("severe_delinquency_count"),
-            F.bround(_count_if(late) / rows, 4).alias("historical_delinquency_rate"),
+            round_ratio(_count_if(late), rows).alias("historical_delinquency_rate"),
             F.max(S.severity(code, "mart")).alias("max_past_due_severity"),
-            F.bround(recent_rate(month, late), 4).alias("delinquency_rate_last_6m"),
+            recent_rate(month, late, 4).alias("delinquency_rate_last_6m"),
             F.when(_count_if(severe) > 0, 1).otherwise(0).alias("is_default"),
         )
     code = F.col("status")

@@ -5,10 +5,11 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from riskloom.functions import demographics as D, status as S
+from riskloom.operators import ranking as R
 from riskloom.operators.features import with_history
 from riskloom.operators.history import summarize_history
 from riskloom.schemas import (
-    MART_APPLICATIONS, MART_BUREAU, MART_SCORES, MART_SUMMARY)
+    MART_APPLICATIONS, MART_BUREAU, MART_SCORES, MART_SUMMARY, TEXT_LENGTHS)
 from riskloom.sources.tables import null_violations, rows_absent, typed
 
 PROFILE_APPLICATION = [
@@ -48,11 +49,14 @@ def mart_credit_summary(apps, records):
     return typed(summary.join(apps.select("customer_id"), "customer_id", "left_semi"), MART_SUMMARY)
 
 
-def mart_bureau_records(records):
-    """Every bureau month with its severity. Record ids are unique, not dense."""
+def mart_bureau_records(records, start=0):
+    """Every bureau month with its severity. Record ids go on from ``start`` by customer, and within
+    one by a hash of the row: the same records always get the same ids."""
     code = F.col("status")
-    return typed(records.select(
-        (F.monotonically_increasing_id() + 1).alias("record_id"),
+    months = records.withColumn("_tie", F.xxhash64(*records.columns))
+    ranked = R.distributed_rank(months, "customer_id", "_tie", rank="_rank")
+    return typed(ranked.select(
+        (F.col("_rank") + start).alias("record_id"),
         "customer_id", "months_balance",
         code.alias("status_code"),
         S.severity(code).alias("severity_level"),
@@ -143,8 +147,21 @@ def _nulls(name, df, schema):
     return counts.select(F.inline(pairs))
 
 
-def check_constraints(apps, summary, scores):
-    """(rule, violations): keys that repeat, orphans, missing values, scores out of range."""
+def _too_long(name, df):
+    """Texts longer than their column allows."""
+    lengths = {c: n for c, n in TEXT_LENGTHS[name].items() if c in df.columns}
+    if not lengths:
+        return None
+    counts = df.agg(*[F.count(F.when(F.length(c) > n, 1)).alias(c) for c, n in lengths.items()])
+    pairs = F.array(*[
+        F.struct(F.lit(f"{name}.{c} has at most {n} characters").alias("rule"), F.col(c).alias("violations"))
+        for c, n in lengths.items()])
+    return counts.select(F.inline(pairs))
+
+
+def check_constraints(apps, summary, scores, bureau=None):
+    """(rule, violations): keys that repeat, orphans, missing values, long texts, scores out of
+    range; with ``bureau`` its keys and values too."""
     checks = [
         _duplicates("applications.customer_id is unique", apps, "customer_id"),
         _duplicates("customer_credit_summary.customer_id is unique", summary, "customer_id"),
@@ -157,4 +174,11 @@ def check_constraints(apps, summary, scores):
         _nulls("customer_credit_summary", summary, MART_SUMMARY),
         _nulls("credit_scores", scores, MART_SCORES),
     ]
+    tables = {"applications": apps, "credit_scores": scores}
+    if bureau is not None:
+        tables["credit_bureau_records"] = bureau
+        checks += [
+            _duplicates("credit_bureau_records.record_id is unique", bureau, "record_id"),
+            _nulls("credit_bureau_records", bureau, MART_BUREAU)]
+    checks += [found for name, df in tables.items() if (found := _too_long(name, df)) is not None]
     return reduce(lambda a, b: a.unionByName(b), checks)

@@ -3,7 +3,7 @@
 from riskloom.functions.scorecard import BASE_ODDS, BASE_SCORE, PDO
 from riskloom.operators.scoring import ACTIVE_MODEL
 from riskloom.plans import proxies as X, queries as Q
-from riskloom.schemas import FEATURES, LABEL, LEAKAGE_FREE_FEATURES
+from riskloom.schemas import FEATURES, LABEL, LEAKAGE_FREE_FEATURES, TEXT_LENGTHS
 
 INT = r"regexp_full_match({0}, '[+-]?[0-9]+')"
 REAL = r"regexp_full_match(lower({0}), '[+-]?(inf|infinity|nan|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)')"
@@ -327,6 +327,9 @@ def _violations():
                  "WHERE credit_score NOT BETWEEN 300 AND 850")
     for table, (source, columns) in not_null.items():
         parts += [f"SELECT '{table}.{c} is not null', count(*) FROM {source} WHERE {c} IS NULL" for c in columns]
+    sources = {"applications": "mart_apps", "credit_scores": "log"}
+    parts += [f"SELECT '{t}.{c} has at most {n} characters', count(*) FROM {sources[t]} WHERE length({c}) > {n}"
+              for t in sources for c, n in TEXT_LENGTHS[t].items()]
     return " UNION ALL ".join(parts)
 
 

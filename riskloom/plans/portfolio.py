@@ -1,14 +1,15 @@
 """From the two raw files to features, models and the reporting tables."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from riskloom.operators.features import build_dataset
 from riskloom.operators.history import dedupe_keep_last, summarize_history
 from riskloom.operators.scoring import RULE_MODEL_VERSION, rule_scores
 from riskloom.plans import marts
-from riskloom.schemas import MART_APPLICATIONS, MART_SCORES, MART_SUMMARY
+from riskloom.schemas import MART_APPLICATIONS, MART_BUREAU, MART_SCORES, MART_SUMMARY, TEXT_LENGTHS
 from riskloom.sources.csv import read_applications, read_credit_records
-from riskloom.sources.tables import append_scores, insert_if_absent, write_mart
+from riskloom.sources.tables import new_scores, rows_absent, typed, write_mart
 
 
 def load(spark, applications_path, credit_path):
@@ -25,30 +26,52 @@ def empty_table(spark, schema):
     return spark.createDataFrame([], schema)
 
 
-def refresh_marts(spark, apps, records, target, version, previous=None, scored_at=None):
-    """Write the next version of the three mart tables under ``target``.
+TABLES = {
+    "applications": MART_APPLICATIONS, "credit_bureau_records": MART_BUREAU,
+    "customer_credit_summary": MART_SUMMARY, "credit_scores": MART_SCORES,
+}
 
-    ``previous`` holds the paths of the version before; its rows are kept and its log appended.
-    A table is never overwritten while it is read, so a failed run leaves the old version whole.
+
+def read_mart(spark, target, name, but=None):
+    """All loads of a mart table, or all but one; an empty table before the first."""
+    try:
+        loads = spark.read.parquet(f"{target.rstrip('/')}/{name}")
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return empty_table(spark, TABLES[name])
+    if but is not None:
+        loads = loads.where(F.col("load") != but)
+    return typed(loads, TABLES[name])
+
+
+def refresh_marts(spark, apps, records, target, load, scored_at=None):
+    """Append a load to the four mart tables under ``target``; returns their paths.
+
+    Customers that a table already has keep their rows, and only new rows are written: a load is one
+    partition. Bureau records and scores are logs, each load adds its own with ids that go on.
+    Repeating a load replaces its partition.
     """
-    def old(name, schema):
-        return spark.read.parquet(previous[name]) if previous else empty_table(spark, schema)
-
-    paths = {name: f"{target.rstrip('/')}/{name}/version={version}" for name in (
-        "applications", "customer_credit_summary", "credit_scores")}
-    applications = write_mart(
-        insert_if_absent(old("applications", MART_APPLICATIONS), marts.mart_applications(apps, records)),
-        paths["applications"], MART_APPLICATIONS)
+    root = target.rstrip("/")
+
+    def old(name):
+        return read_mart(spark, root, name, load)
+
+    def put(name, rows):
+        write_mart(rows, f"{root}/{name}/load={load}", TABLES[name], lengths=TEXT_LENGTHS[name])
+
+    def last(name, key):
+        return old(name).agg(F.coalesce(F.max(key), F.lit(0))).scalar()
+
+    put("applications", rows_absent(marts.mart_applications(apps, records), old("applications")))
+    put("credit_bureau_records", marts.mart_bureau_records(records, last("credit_bureau_records", "record_id")))
     matched = marts.mart_credit_summary(apps, records)
-    summary = write_mart(
-        insert_if_absent(old("customer_credit_summary", MART_SUMMARY), matched),
-        paths["customer_credit_summary"], MART_SUMMARY)
-    log = write_mart(
-        append_scores(old("credit_scores", MART_SCORES), rule_scores(matched), RULE_MODEL_VERSION,
-                      scored_at=scored_at),
-        paths["credit_scores"], MART_SCORES)
-    marts.create_views(applications, summary, log)
-    return paths
+    put("customer_credit_summary", rows_absent(matched, old("customer_credit_summary")))
+    put("credit_scores", new_scores(
+        rule_scores(matched), RULE_MODEL_VERSION, last("credit_scores", "score_id"), scored_at))
+    marts.create_views(*[read_mart(spark, root, n) for n in (
+        "applications", "customer_credit_summary", "credit_scores")])
+    return {name: f"{root}/{name}" for name in TABLES}
 
 
 def flagship(apps, records):

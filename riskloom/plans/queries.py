@@ -19,6 +19,8 @@ SCORED_AT = "2024-06-30 12:00:00"
 MODEL_VERSION = "rules-v1"
 SAMPLE_CUSTOMER = 77
 SEARCH, PAGE, LIMIT = " 017 ", 2, 15
+# Rows per rank bucket here: few, so that small tables take the way of large ones too.
+BUCKET = 2_500
 
 # A fixed logistic model, so that prediction alone can be compared.
 FIXED_WEIGHTS = [round((j - 7) / 10, 1) for j in range(len(FEATURES))]
@@ -60,8 +62,9 @@ def _bayes(spark, sf):
     return data, naive_bayes.fit_naive_bayes(data)
 
 
-def _means(data):
-    return scoring.means_of(A.feature_means(data))
+def _means(model):
+    """Portfolio means from the class means of the fit: the input is not read again."""
+    return model.feature_means()
 
 
 # --- output helpers ---------------------------------------------------------------------------
@@ -94,12 +97,23 @@ def _importance_table(spark, model):
 
 # --- sources and sinks ------------------------------------------------------------------------
 
+def _add_lines(spark, path, lines):
+    """A further text file in the folder."""
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("append").text(path)
+
+
 def scan_applications(spark, sf):
+    """With line breaks inside quotes, a short row and one without an id in the files."""
     path = scratch_path(spark, "applications")
-    X.application_raw(spark, sf).select(APPLICATION_COLUMNS).write.option("header", True).option(
-        "escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+    job = F.when(F.col("ID").try_cast("bigint") % 3 == 0, F.replace(
+        F.col("OCCUPATION_TYPE"), F.lit(" "), F.lit("\n"))).otherwise(F.col("OCCUPATION_TYPE"))
+    X.application_raw(spark, sf).select(APPLICATION_COLUMNS).withColumn("OCCUPATION_TYPE", job).write.option(
+        "header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(path)
-    return _rounded(csv.read_applications(spark, path).drop("file_order"))
+    _add_lines(spark, path, [",".join(APPLICATION_COLUMNS), "4,M,Y", "x" + "," * (len(APPLICATION_COLUMNS) - 1)])
+    read = csv.read_applications(spark, path).drop("file_order")
+    return _rounded(read.withColumn(
+        "occupation_type", F.replace(F.col("occupation_type"), F.lit("\n"), F.lit(" "))))
 
 
 def scan_credit_records(spark, sf):
@@ -110,13 +124,15 @@ def scan_credit_records(spark, sf):
 
 
 def _request_files(spark, sf):
+    """Requests, among them a malformed one and one without its required numbers."""
     path = scratch_path(spark, "requests")
     X.score_requests(spark, sf).write.json(path)
+    _add_lines(spark, path, ['{"age_years": 41', '{"customer_id": 3, "age_years": 30.0}'])
     return path
 
 
 def scan_requests(spark, sf):
-    return _rounded(requests.read_score_requests(spark, _request_files(spark, sf)))
+    return _rounded(requests.read_score_requests(spark, _request_files(spark, sf), "skip"))
 
 
 def insert_if_absent(spark, sf):
@@ -214,7 +230,7 @@ def search_customers(spark, sf):
 
 def get_customer(spark, sf):
     data, model = _bayes(spark, sf)
-    return _score_columns(scoring.customer_scorecard(data, SAMPLE_CUSTOMER, model, _means(data)))
+    return _score_columns(scoring.customer_scorecard(data, SAMPLE_CUSTOMER, model, _means(model)))
 
 
 def feature_array(spark, sf):
@@ -308,24 +324,24 @@ def dedupe_keep_last(spark, sf):
 
 
 def score_rank(spark, sf):
-    return R.distributed_rank(X.scored(spark, sf), "p", "customer_id").select("customer_id", "rank")
+    return R.distributed_rank(X.scored(spark, sf), "p", "customer_id", rows_per_bucket=BUCKET).select("customer_id", "rank")
 
 
 def tie_average_rank(spark, sf):
-    return _rounded(ties.tie_average_rank(X.scored(spark, sf)), 9)
+    return _rounded(ties.tie_average_rank(X.scored(spark, sf), rows_per_bucket=BUCKET), 9)
 
 
 def cumulative_pr(spark, sf):
-    return _rounded(M.cumulative_pr(X.scored(spark, sf)).select(
+    return _rounded(M.cumulative_pr(X.scored(spark, sf), rows_per_bucket=BUCKET).select(
         "customer_id", "rank", "hits", "precision_at_row"))
 
 
 def roc_auc(spark, sf):
-    return _rounded(M.roc_auc(X.scored(spark, sf)))
+    return _rounded(M.roc_auc(X.scored(spark, sf), rows_per_bucket=BUCKET))
 
 
 def pr_auc(spark, sf):
-    return _rounded(M.pr_auc(X.scored(spark, sf)))
+    return _rounded(M.pr_auc(X.scored(spark, sf), rows_per_bucket=BUCKET))
 
 
 def stratified_split(spark, sf):
@@ -333,7 +349,8 @@ def stratified_split(spark, sf):
 
 
 def list_customers(spark, sf):
-    data, model = _bayes(spark, sf)
+    data = _dataset(spark, sf).persist()  # read by the fit, the page search and the page
+    model = naive_bayes.fit_naive_bayes(data)
     return _rounded(scoring.list_customers(data, model, PAGE, LIMIT, SEARCH))
 
 
@@ -346,7 +363,7 @@ def total_count(spark, sf):
 
 
 def best_split(spark, sf):
-    return _rounded(splits.best_split(_dataset(spark, sf), LEAKAGE_FREE_FEATURES, LABEL))
+    return _rounded(splits.best_split(_dataset(spark, sf), LEAKAGE_FREE_FEATURES, LABEL, rows_per_bucket=BUCKET))
 
 
 # --- models -----------------------------------------------------------------------------------
@@ -481,17 +498,17 @@ def risk_band(spark, sf):
 
 def score_customers(spark, sf):
     data, model = _bayes(spark, sf)
-    return _score_columns(scoring.score_customers(data, model, _means(data)))
+    return _score_columns(scoring.score_customers(data, model, _means(model)))
 
 
 def factor_impacts(spark, sf):
     data, model = _bayes(spark, sf)
-    return _exploded_factors(scoring.score_customers(data, model, _means(data)))
+    return _exploded_factors(scoring.score_customers(data, model, _means(model)))
 
 
 def top_factors(spark, sf):
     data, model = _bayes(spark, sf)
-    cards = scoring.score_customers(data, model, _means(data))
+    cards = scoring.score_customers(data, model, _means(model))
     return _exploded_factors(cards.select(
         "customer_id", explain.top_factors(F.col("factor_contributions")).alias("factor_contributions")))
 
@@ -502,14 +519,14 @@ def rule_scores(spark, sf):
 
 def score_requests(spark, sf):
     data, model = _bayes(spark, sf)
-    return _score_columns(scoring.score_requests(X.score_requests(spark, sf), model, _means(data)))
+    return _score_columns(scoring.score_requests(X.score_requests(spark, sf), model, _means(model)))
 
 
 def score_stream(spark, sf):
     data, model = _bayes(spark, sf)
     source = streaming.request_stream(spark, _request_files(spark, sf))
     sink, checkpoint = scratch_path(spark, "scorecards"), scratch_path(spark, "stream-state")
-    streaming.score_stream(source, model, _means(data), sink, checkpoint).awaitTermination()
+    streaming.score_stream(source, model, _means(model), sink, checkpoint, "skip").awaitTermination()
     return _score_columns(spark.read.parquet(sink))
 
 

@@ -49,6 +49,16 @@ def _mart(*fields):
     return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in fields])
 
 
+# Column names, types and text lengths of the reporting tables.
+TEXT_LENGTHS = {
+    "applications": {
+        "gender": 2, "income_type": 64, "education_type": 64, "family_status": 64, "housing_type": 64,
+        "occupation_type": 64},
+    "credit_bureau_records": {"status_code": 2},
+    "customer_credit_summary": {},
+    "credit_scores": {"risk_band": 32, "decision": 32, "model_version": 64},
+}
+
 MART_APPLICATIONS = _mart(
     ("customer_id", T.LongType(), False),
     ("gender", T.StringType(), False),

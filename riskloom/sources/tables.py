@@ -25,24 +25,30 @@ def insert_if_absent(target, new, key="customer_id", order=None):
     return target.unionByName(rows_absent(new, target, key).select(*target.columns))
 
 
-def append_scores(log, new, model_version, scored_at=None, order="customer_id", tie=None,
-                  rows_per_bucket=R.ROWS_PER_BUCKET):
-    """The log with ``new`` added: surrogate ids go on from the greatest one, without gaps.
+def new_scores(new, model_version, start=0, scored_at=None, order="customer_id", tie=None,
+               rows_per_bucket=R.ROWS_PER_BUCKET):
+    """Rows for the score log: surrogate ids go on from ``start``, without gaps.
 
     Rows of one customer are numbered by ``tie``, by default a hash of the whole row, which also
     splits a customer with very many new scores over several tasks.
     """
     if tie is None:
         new, tie = new.withColumn("_tie", F.xxhash64(*new.columns)), "_tie"
-    start = log.agg(F.coalesce(F.max("score_id"), F.lit(0))).scalar()
     numbered = R.distributed_rank(new, order, tie, rank="_rank", rows_per_bucket=rows_per_bucket)
     when = F.current_timestamp() if scored_at is None else F.lit(scored_at).cast("timestamp")
-    stamped = numbered.withColumns({
+    return typed(numbered.withColumns({
         "score_id": F.col("_rank") + start,
         "model_version": F.lit(model_version),
         "scored_at": when,
-    })
-    return log.unionByName(typed(stamped, MART_SCORES).select(*log.columns))
+    }), MART_SCORES)
+
+
+def append_scores(log, new, model_version, scored_at=None, order="customer_id", tie=None,
+                  rows_per_bucket=R.ROWS_PER_BUCKET):
+    """The log with ``new`` added; see :func:`new_scores`."""
+    start = log.agg(F.coalesce(F.max("score_id"), F.lit(0))).scalar()
+    added = new_scores(new, model_version, start, scored_at, order, tie, rows_per_bucket)
+    return log.unionByName(added.select(*log.columns))
 
 
 def typed(df, schema):
@@ -56,13 +62,20 @@ def null_violations(df, schema):
     return df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in required])
 
 
-def write_mart(df, path, schema, partition_cols=(), mode="overwrite"):
-    """Write ``df`` as a typed Parquet table; a NULL in a required column fails the write."""
+def _checked(field, length):
+    column = F.col(field.name)
+    if length is not None:
+        column = F.when(F.length(column) > length, F.raise_error(F.lit(
+            f"{field.name} is longer than {length}")).cast(field.dataType)).otherwise(column)
+    if not field.nullable:
+        column = F.coalesce(column, F.raise_error(F.lit(f"{field.name} is NULL")).cast(field.dataType))
+    return column.alias(field.name)
+
+
+def write_mart(df, path, schema, partition_cols=(), mode="overwrite", lengths=None):
+    """Write ``df`` as a typed Parquet table. A NULL in a required column fails the write, and so
+    does a text longer than ``lengths`` allows its column."""
     table = typed(df, schema)
-    checked = table.select(*[
-        (F.coalesce(F.col(f.name), F.raise_error(F.lit(f"{f.name} is NULL")).cast(f.dataType))
-         if not f.nullable else F.col(f.name)).alias(f.name)
-        for f in schema.fields
-    ])
+    checked = table.select(*[_checked(f, (lengths or {}).get(f.name)) for f in schema.fields])
     checked.write.mode(mode).partitionBy(*partition_cols).parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -78,3 +78,14 @@ def test_sigmoid_and_threshold(spark):
     assert column(spark, p, "double", hard_predict) == [1, 0, 0, 0]
     with pytest.raises(Exception):
         spark.sql("select 1/0").collect()  # ANSI mode is on: guards above must not rely on it being off
+
+
+def test_ratios_are_rounded_as_doubles(spark):
+    """Ties of a decimal that the double misses, and those it hits: 1/160, 3/160, 1/32."""
+    from riskloom.functions.rounding import round_ratio
+
+    pairs = [(k, n) for n in [*range(1, 90), 160, 320, 480, 800, 1600, 3200] for k in range(0, n + 1, 1 if n < 400 else 7)]
+    df = spark.createDataFrame(pairs, "k long, n long")
+    found = {(r.k, r.n): r.v for r in df.select("k", "n", round_ratio(F.col("k"), F.col("n")).alias("v")).collect()}
+    assert found == {(k, n): round(k / n, 4) for k, n in pairs}
+    assert found[1, 160] == 0.0063 and found[1, 32] == 0.0312

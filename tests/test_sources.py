@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators.history import dedupe_keep_last, summarize_history
-from riskloom.plans import portfolio
+from riskloom.plans import marts, portfolio
 from riskloom.schemas import MART_SCORES
 from riskloom.sources import csv, requests, tables
 from riskloom.schemas import APPLICATION_COLUMNS
@@ -177,10 +177,21 @@ def test_refresh_marts_twice(spark, apps_path, tmp_path):
     credit.write_text("ID,MONTHS_BALANCE,STATUS\n1,0,2\n3,-1,C\n3,-2,0\n99,0,C\n")
     apps, records = portfolio.load(spark, apps_path, str(credit))
     target = str(tmp_path / "marts")
-    first = portfolio.refresh_marts(spark, apps, records, target, 1, scored_at="2024-01-01 00:00:00")
-    second = portfolio.refresh_marts(spark, apps, records, target, 2, first, "2024-02-01 00:00:00")
-    assert spark.read.parquet(second["applications"]).count() == 2
-    log = spark.read.parquet(second["credit_scores"])
+    portfolio.refresh_marts(spark, apps, records, target, 1, scored_at="2024-01-01 00:00:00")
+    for _ in range(2):  # the second load, and the same load once more
+        paths = portfolio.refresh_marts(spark, apps, records, target, 2, "2024-02-01 00:00:00")
+    assert {r["load"] for r in spark.read.parquet(paths["applications"]).collect()} == {1}  # only new rows
+    assert portfolio.read_mart(spark, target, "customer_credit_summary").count() == 2
+    bureau = portfolio.read_mart(spark, target, "credit_bureau_records")
+    assert sorted(r.record_id for r in bureau.collect()) == list(range(1, 9))
+    log = portfolio.read_mart(spark, target, "credit_scores")
+    broken = {r.rule: r.violations for r in marts.check_constraints(
+        portfolio.read_mart(spark, target, "applications").withColumn("gender", F.lit("long")),
+        portfolio.read_mart(spark, target, "customer_credit_summary"), log, bureau).collect() if r.violations}
+    assert broken == {"applications.gender has at most 2 characters": 2}
+    with pytest.raises(Exception, match="longer than 2"):
+        tables.write_mart(bureau.withColumn("status_code", F.lit("abc")), str(tmp_path / "long"),
+                          portfolio.MART_BUREAU, lengths={"status_code": 2})
     assert sorted(r.score_id for r in log.collect()) == [1, 2, 3, 4]
     kpis = spark.table("v_portfolio_risk_kpis").collect()
     assert sum(r.total_customers for r in kpis) == 4  # a rerun doubles the counts
