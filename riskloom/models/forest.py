@@ -1,6 +1,6 @@
 """Random forest: one feature subset per tree, row draws with replacement, class weights.
 
-Draws are Poisson(1) counts from a hash of (seed, tree, row): each row decides on its own, so no
+Draws are Poisson(1) counts from an md5 of (seed, tree, row): each row decides on its own, so no
 task needs the row count or another task's rows. They replace the multinomial draw.
 """
 
@@ -19,8 +19,8 @@ TREES, DEPTH, MIN_SPLIT = 25, 7, 10
 
 
 def _poisson_steps():
-    """Distribution function of Poisson(1) at 0, 1, ... until what is left is below 2 ** -53, the
-    grain of the uniform numbers."""
+    """Distribution function of Poisson(1) at 0, 1, ... until what is left is below 2 ** -53, beyond
+    the grain of the uniform numbers."""
     steps, k = [], 0
     while not steps or 1.0 - steps[-1] >= 2.0**-53:
         steps.append(math.fsum(math.exp(-1.0) / math.factorial(i) for i in range(k + 1)))
@@ -38,10 +38,15 @@ def _poisson(u):
 
 
 def draw_counts(key, trees, seed):
-    """Array with the number of times each tree draws the row."""
-    uniform = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.shiftrightunsigned(F.xxhash64(F.lit(seed), t, key), 11) * F.lit(2.0**-53))
+    """Array with the number of times each tree draws the row.
+
+    The uniform number of (seed, tree, row) is the first 52 bits of an md5, the same everywhere.
+    """
+    def bits(t):
+        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), t.cast("string"), key.cast("string")))
+        return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
+
+    uniform = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: bits(t) * F.lit(2.0**-52))
     return F.transform(uniform, _poisson)
 
 

@@ -1,5 +1,6 @@
 """DuckDB statements for the registered queries, built from shared common table expressions."""
 
+from riskloom.models import forest, logistic
 from riskloom.functions.scorecard import BASE_ODDS, BASE_SCORE, PDO
 from riskloom.operators.scoring import ACTIVE_MODEL
 from riskloom.plans import proxies as X, queries as Q
@@ -265,8 +266,8 @@ def _all(columns, source, digits=6, **renamed):
     return f"SELECT {', '.join(_r(c, digits=digits) for c in columns)} FROM {source}"
 
 
-def _with(body, *needs):
-    """The statement with every common table expression it needs, in order."""
+def _head(needs):
+    """Every common table expression that is needed, in order."""
     order = []
 
     def visit(name):
@@ -277,8 +278,17 @@ def _with(body, *needs):
 
     for name in needs:
         visit(name)
-    head = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order)
-    return f"WITH {head}\n{body}" if order else body
+    return ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order)
+
+
+def _with(body, *needs):
+    """The statement behind the expressions it needs."""
+    return f"WITH {_head(needs)}\n{body}" if needs else body
+
+
+def _with_recursive(body, *needs):
+    """The same for a body that goes on with expressions of its own, a recursive one among them."""
+    return f"WITH RECURSIVE {_head(needs)},\n{body}"
 
 
 _APP_COLUMNS = ("customer_id, gender, own_car, own_realty, children_count, round(total_income, 6) AS total_income, "
@@ -333,6 +343,46 @@ def _violations():
     return " UNION ALL ".join(parts)
 
 
+def _bootstrap():
+    steps = forest._poisson_steps()
+    cases = " ".join(f"WHEN u < {t!r} THEN {k}" for k, t in enumerate(steps[:-1]))
+    return f"""SELECT customer_id, CAST(tree AS INTEGER) AS tree, CAST(draws AS INTEGER) AS draws FROM (
+    SELECT customer_id, tree, CASE {cases} ELSE {len(steps) - 1} END AS draws FROM (
+      SELECT customer_id, t.tree, CAST('0x' || substr(md5(concat_ws(':', '{Q.SEED}', t.tree, customer_id)), 1, 13) AS bigint)
+        * {2.0**-52!r} AS u
+      FROM dataset, range({forest.TREES}) AS t(tree)) q) q WHERE draws > 0"""
+
+
+def _logistic(result):
+    """Gradient descent as a recursion over the epochs; ``result`` reads the row ``fitted``."""
+    k = range(len(FEATURES))
+    moments = ", ".join(f"avg({f}) AS m{j}, CASE WHEN stddev_pop({f}) < 1e-7 THEN 1e0 ELSE stddev_pop({f}) END AS s{j}"
+                        for j, f in enumerate(FEATURES))
+    rows = ", ".join(f"({f} - m{j}) / CASE WHEN s{j} > 1e-8 THEN s{j} ELSE 1e0 END AS x{j}"
+                     for j, f in enumerate(FEATURES))
+    z = " + ".join(["b", *[f"w{j} * x{j}" for j in k]])
+    return f"""lr_moments AS (SELECT {moments} FROM dataset),
+    lr_rows AS MATERIALIZED (SELECT cast(is_default = 1 AS int) AS y, {rows} FROM dataset, lr_moments),
+    lr_counts AS (SELECT count(*)::double AS n, greatest(sum(y), 1)::double AS n_pos,
+      greatest(count(*) - greatest(sum(y), 1), 1)::double AS n_neg FROM lr_rows),
+    lr_fit AS (
+      SELECT 0 AS epoch, ln(n_pos / n_neg) AS b, {", ".join(f"0e0 AS w{j}" for j in k)} FROM lr_counts
+      UNION ALL
+      SELECT epoch + 1, b - rate * gb / n, {", ".join(f"w{j} - rate * (g{j} / n + {logistic.L2!r} * w{j})" for j in k)}
+      FROM (
+        SELECT epoch, b, {", ".join(f"w{j}" for j in k)}, any_value(n) AS n,
+          {logistic.LEARNING_RATE!r} / (1e0 + {logistic.DECAY!r} * epoch) AS rate,
+          sum(e) AS gb, {", ".join(f"sum(e * x{j}) AS g{j}" for j in k)}
+        FROM (
+          SELECT *, (CASE WHEN z >= {logistic.LOGIT_LIMIT!r} THEN 1e0 WHEN z <= -{logistic.LOGIT_LIMIT!r} THEN 0e0
+            ELSE 1e0 / (1e0 + exp(-z)) END - y) * n / (2e0 * CASE WHEN y = 1 THEN n_pos ELSE n_neg END) AS e
+          FROM (SELECT *, {z} AS z FROM lr_fit, lr_rows, lr_counts WHERE epoch < {logistic.EPOCHS}) q) q
+        GROUP BY epoch, b, {", ".join(f"w{j}" for j in k)}) q),
+    fitted AS (SELECT * FROM lr_fit WHERE epoch = {logistic.EPOCHS})
+    {result}"""
+
+
+_LR_WEIGHTS = " UNION ALL ".join(f"SELECT '{f}' AS feature, w{j} AS weight FROM fitted" for j, f in enumerate(FEATURES))
 _LR = " + ".join([f"{Q.FIXED_BIAS}e0"] + [
     f"({w}e0) * (({f} - {m}e0) / {s}e0)"
     for w, f, m, s in zip(Q.FIXED_WEIGHTS, FEATURES, Q.FIXED_MEANS, Q.FIXED_DEVIATIONS)])
@@ -487,5 +537,10 @@ SELECT a.customer_id, gender, age_years, employment_years, round(annual_income,
  l.probability_of_default, l.risk_band, l.decision
 FROM mart_apps a JOIN mart_summary s ON a.customer_id = s.customer_id LEFT JOIN latest l ON l.customer_id = a.customer_id""",
                                    "mart_apps", "mart_summary", "latest"),
+    "bootstrap": _with(_bootstrap(), "dataset"),
+    "lr_fit": _with_recursive(_logistic(
+        f"SELECT feature, {_r('weight')} FROM (SELECT 'bias' AS feature, b AS weight FROM fitted UNION ALL {_LR_WEIGHTS}) q"), "dataset"),
+    "lr_importance": _with_recursive(_logistic(
+        f"SELECT feature, {_r('abs(weight) / sum(abs(weight)) OVER ()', 'importance')} FROM ({_LR_WEIGHTS}) q"), "dataset"),
     "check_constraints": _with(_violations(), "mart_apps", "msummary", "log"),
 }

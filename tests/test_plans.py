@@ -16,7 +16,7 @@ from riskloom.plans.oracles import ORACLES
 from riskloom.plans.queries import REGISTRY
 
 ROWS_ONLY = {
-    "lr_fit", "lr_importance", "dt_fit", "dt_predict", "bootstrap", "rf_fit", "rf_predict",
+    "dt_fit", "dt_predict", "rf_fit", "rf_predict",
     "rf_importance", "gb_fit", "gb_predict", "compare_models",
 }
 
@@ -35,7 +35,7 @@ def test_every_query_is_covered():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"gb_importance"}))  # fits 20 rounds: see check.py
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"gb_importance", "lr_fit", "lr_importance"}))  # long fits: see check.py
 def test_query_equals_sql(spark, sf, con, name):
     df = entry.queries()[name](spark, sf)
     cursor = con.execute(ORACLES[name])
