@@ -65,11 +65,11 @@ def blocks(batch, column, size=BLOCK_BYTES):
         first = last
 
 
-def with_text_columns(df, ddl, start, text="text", drop=()):
+def with_text_columns(df, ddl, start, text="text", drop=(), size=BLOCK_BYTES):
     """``df`` with the columns of ``ddl``, computed from the texts.
 
     ``start()`` runs once per task and returns a function from an Arrow column of texts (no nulls)
-    to the new columns, as lists or arrays. Columns of ``df`` that have the name of a new column
+    to the new columns, as lists or arrays; it gets blocks of ``size`` bytes. Columns of ``df`` that have the name of a new column
     (in any case) give way to it, those in ``drop`` are left out.
     """
     added = T.StructType.fromDDL(ddl)
@@ -83,7 +83,7 @@ def with_text_columns(df, ddl, start, text="text", drop=()):
     def run(batches):
         compute = start()
         for batch in batches:
-            for part in blocks(batch, len(kept)):
+            for part in blocks(batch, len(kept), size):
                 made = compute(filled(part.column(len(kept))))
                 columns = [part.column(i) for i in range(len(kept))]
                 columns += [pa.array(c, type=k) for c, k in zip(made, kinds)]

@@ -21,7 +21,9 @@ WORDS = regex.compile(
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 #: Words kept between blocks of a task; beyond this the store starts again.
-STORE_WORDS = 500_000
+STORE_WORDS = 150_000
+#: Bytes of text at a time: a word object and its places take tens of times its bytes.
+BLOCK = 1 << 19
 _NONE = np.iinfo(np.int64).max
 
 
@@ -224,7 +226,7 @@ def encode(df, text="text", path=None, ids="ids", intact=None):
         return block
 
     ddl = f"`{ids}` array<int>" + (f", `{intact}` boolean" if intact else "")
-    return with_text_columns(df, ddl, start, text)
+    return with_text_columns(df, ddl, start, text, size=BLOCK)
 
 
 def decode(df, ids="ids", path=None, text="decoded"):
@@ -264,4 +266,4 @@ def digests(df, text="text", path=None):
         return block
 
     return with_text_columns(
-        df, "n_tokens long, ids_sha256 string, decoded_sha256 string", start, text, drop=[text])
+        df, "n_tokens long, ids_sha256 string, decoded_sha256 string", start, text, drop=[text], size=BLOCK)
