@@ -23,6 +23,8 @@ SHARDS, WORDS_PER_SHARD, MOST_SHARDS = 16, 5_000_000, 4_096
 WORD = r"[^\x20\x09-\x0D]+"
 #: More sources than this are refused: their table is held on the driver.
 MAX_SOURCES = 100_000
+#: Rows of the block plan up to which it goes to every task instead of shuffling the documents.
+BROADCAST_BLOCKS = 200_000
 
 
 def targets(sizes, weights=(5, 2, 1), share=Fraction(3, 2), most=2):
@@ -132,7 +134,7 @@ def plan(narrow, shards=SHARDS, seed=17):
     shards_of = placed.groupBy("_key", "_block").agg(
         F.first("copies").alias("copies"), F.first("part").alias("part"), F.first("words").alias("words"),
         F.transform(F.array_sort(F.collect_list(F.struct("copy", "shard"))), lambda s: s["shard"]).alias("shards"))
-    return shards_of, known
+    return kept_once(shards_of, "plan"), known
 
 
 def takes(rows, block_plan):
@@ -142,6 +144,8 @@ def takes(rows, block_plan):
     In a block that is taken whole or not at all a row decides for itself; only the border block of
     a source is ordered by hash, to find the document at which the words run out.
     """
+    if block_plan.count() <= BROADCAST_BLOCKS:
+        block_plan = F.broadcast(block_plan)
     joined = rows.join(block_plan, ["_key", "_block"], "left").withColumns({
         "_copies": F.coalesce("copies", F.lit(0)), "part": F.coalesce("part", F.lit(0))})
     border = (F.col("part") > 0) & (F.col("part") < F.col("words"))
