@@ -29,6 +29,8 @@ REACH = 24
 WINDOW, STRIDE = 64, 32
 #: Bounds of what the tagger learns from.
 SAMPLE_TEXTS, SAMPLE_WINDOWS = 1_500, 2_500
+#: Of all texts so many times the bound are looked at; those with a digit or @ are the sample.
+DRAWN = 16
 BATCH = 1_024
 
 
@@ -163,8 +165,13 @@ def train(df, text="text", texts=SAMPLE_TEXTS, windows_=SAMPLE_WINDOWS):
     One task learns from the bounded sample; only the weights come to the driver. None if no text
     has a labelled span.
     """
-    column = F.col(text)
-    sample = df.filter(column.rlike("[0-9@]")).select(column.alias("t")).orderBy(
+    # Thinned by hash first: the task that picks the least hashes sees a few times ``texts`` rows,
+    # however many tasks the table has.
+    rows = df.count()
+    share = 1.0 if not rows else min(1.0, DRAWN * texts / rows)
+    hashed = F.xxhash64(F.col(text))
+    sample = df.filter(F.shiftrightunsigned(hashed, 32) < F.lit(int(share * 2**32))).filter(
+        F.col(text).rlike("[0-9@]")).select(F.col(text).alias("t")).orderBy(
         F.xxhash64("t"), "t").limit(texts)
 
     def fit(frames):
