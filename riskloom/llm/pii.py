@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from riskloom.llm.blocks import with_text_columns
+from riskloom.llm.scratch import kept_once
 from riskloom.llm.tagger import PAD, Tagger, symbols
 
 KINDS = ("email", "ip", "card", "phone")
@@ -29,8 +30,8 @@ REACH = 24
 WINDOW, STRIDE = 64, 32
 #: Bounds of what the tagger learns from.
 SAMPLE_TEXTS, SAMPLE_WINDOWS = 1_500, 2_500
-#: Of all texts so many times the bound are looked at; those with a digit or @ are the sample.
-DRAWN = 16
+#: Of the sampled texts one in so many may have no labelled span.
+PLAIN = 4
 BATCH = 1_024
 
 
@@ -159,25 +160,44 @@ def examples(texts, limit=SAMPLE_WINDOWS, seed=3):
     return np.array(xs).reshape(-1, WINDOW), np.array(ys).reshape(-1, WINDOW)
 
 
+def sampled(df, text="text", texts=SAMPLE_TEXTS):
+    """At most ``texts`` different texts, as column t: those with a pattern's span, and up to one in
+    ``PLAIN`` that has a digit or @ but no span; of each sort the ones with the least hashes.
+
+    Every text of the table is looked at before any is drawn.
+    """
+    def start():
+        return lambda values: [[bool(base_spans(v)) for v in values.to_pylist()]]
+
+    rows = df.filter(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("t"), F.xxhash64(text).alias("h"))
+    keys = kept_once(with_text_columns(rows, "labelled boolean", start, "t", ["t"]).groupBy("h").agg(
+        F.max("labelled").alias("labelled")), "pii")
+    counts = {r["labelled"]: r["n"] for r in keys.groupBy("labelled").agg(F.count(F.lit(1)).alias("n")).collect()}
+    plain = min(texts // PLAIN, counts.get(False, 0))
+    chosen = []
+    for labelled, most in ((True, texts - plain), (False, plain)):
+        # Thinned by hash to about twice the bound, so that the task that picks the least hashes sees
+        # a few times ``texts`` rows, however many tasks the table has.
+        share = min(1.0, 2 * texts / max(1, counts.get(labelled, 0)))
+        thin = F.shiftrightunsigned("h", 32) < F.lit(int(share * 2**32))
+        order = F.shiftrightunsigned("h", 1), "h"
+        chosen += keys.filter((F.col("labelled") == labelled) & thin).orderBy(*order).limit(most).collect()
+    # ``texts`` hashes at most.
+    wanted = df.sparkSession.createDataFrame([(r["h"],) for r in chosen], "h long")
+    return rows.join(F.broadcast(wanted), "h", "left_semi").groupBy("h").agg(F.min("t").alias("t")).select("t")
+
+
 def train(df, text="text", texts=SAMPLE_TEXTS, windows_=SAMPLE_WINDOWS):
-    """A tagger from at most ``texts`` texts that have a digit or @, drawn by the hash of the text.
+    """A tagger from ``sampled`` texts; None if no text has a labelled span.
 
-    One task learns from the bounded sample; only the weights come to the driver. None if no text
-    has a labelled span.
+    One task learns from the bounded sample; only the weights come to the driver.
     """
-    # Thinned by hash first: the task that picks the least hashes sees a few times ``texts`` rows,
-    # however many tasks the table has.
-    rows = df.count()
-    share = 1.0 if not rows else min(1.0, DRAWN * texts / rows)
-    hashed = F.xxhash64(F.col(text))
-    sample = df.filter(F.shiftrightunsigned(hashed, 32) < F.lit(int(share * 2**32))).filter(
-        F.col(text).rlike("[0-9@]")).select(F.col(text).alias("t")).orderBy(
-        F.xxhash64("t"), "t").limit(texts)
+    sample = sampled(df, text, texts)
 
     def fit(frames):
         import pandas as pd
 
-        rows = [t for frame in frames for t in frame["t"]]
+        rows = sorted(t for frame in frames for t in frame["t"])
         x, y = examples(rows, windows_)
         if not len(y) or not y.any():
             return
