@@ -8,6 +8,7 @@ spans are read from that one sequence, tested and added where they touch no patt
 """
 
 import re
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ WINDOW, STRIDE = 64, 32
 SAMPLE_TEXTS, SAMPLE_WINDOWS = 1_500, 2_500
 #: Of the sampled texts one in so many may have no labelled span.
 PLAIN = 4
+#: The part of the windows that is for labelled spans where there are enough of both sorts.
+LABELLED = 2 / 3
 BATCH = 1_024
 
 
@@ -118,46 +121,73 @@ def spellings(kind, span, draw):
     return span.replace(".", draw.choice(["[.]", " . ", "(.)"]))
 
 
+def _text_windows(text, draw):
+    """(symbols, tags) of every window over the regions of a text, once as it is and once with its
+    labelled spans in other spellings."""
+    spans = base_spans(text)
+    for a, b in regions(text):
+        inside = [s for s in spans if a <= s[1] and s[2] <= b]
+        chosen, at = [], a
+        for kind, start, end in inside:
+            if start >= at:
+                chosen += [(None, text[at:start]), (kind, text[start:end])]
+                at = end
+        chosen.append((None, text[at:b]))
+        variants = [chosen]
+        if inside:
+            variants.append([
+                (k, str(spellings(k, s, draw)) if k else s) for k, s in chosen])
+        for parts in variants:
+            x, y = [], []
+            for kind, part in parts:
+                codes = symbols(part)
+                x.append(codes)
+                tags = np.zeros(len(codes), np.int64)
+                if kind and len(codes):
+                    tags[:] = _tag(kind, False)
+                    tags[0] = _tag(kind, True)
+                y.append(tags)
+            x, y = np.concatenate(x), np.concatenate(y)
+            for start in windows(len(x)):
+                piece = slice(start, start + WINDOW)
+                row, tags = np.full(WINDOW, PAD, np.uint8), np.zeros(WINDOW, np.uint8)
+                row[:len(x[piece])] = x[piece]
+                tags[:len(y[piece])] = y[piece]
+                yield row, tags
+
+
 def examples(texts, limit=SAMPLE_WINDOWS, seed=3):
-    """Windows and tags around the labelled spans of ``texts``, half of them in other spellings."""
+    """At most ``limit`` windows and tags from all ``texts``, labelled ones in two spellings.
+
+    Windows with labelled spans come first, each kind with an equal part of ``LABELLED`` of the
+    bound, then those without; what one sort leaves free the others fill. Within a sort every text
+    gives one window before any gives two; which ones, a hash tells.
+    """
     draw = np.random.default_rng(seed)
-    xs, ys = [], []
-    for text in texts:
-        spans = base_spans(text)
-        for a, b in regions(text):
-            inside = [s for s in spans if a <= s[1] and s[2] <= b]
-            chosen, at = [], a
-            for kind, start, end in inside:
-                if start >= at:
-                    chosen += [(None, text[at:start]), (kind, text[start:end])]
-                    at = end
-            chosen.append((None, text[at:b]))
-            variants = [chosen]
-            if inside:
-                variants.append([
-                    (k, str(spellings(k, s, draw)) if k else s) for k, s in chosen])
-            for parts in variants:
-                x, y = [], []
-                for kind, part in parts:
-                    codes = symbols(part)
-                    x.append(codes)
-                    tags = np.zeros(len(codes), np.int64)
-                    if kind and len(codes):
-                        tags[:] = _tag(kind, False)
-                        tags[0] = _tag(kind, True)
-                    y.append(tags)
-                x, y = np.concatenate(x), np.concatenate(y)
-                for start in windows(len(x)):
-                    piece = slice(start, start + WINDOW)
-                    row = np.full(WINDOW, PAD)
-                    row[:len(x[piece])] = x[piece]
-                    tags = np.zeros(WINDOW, np.int64)
-                    tags[:len(y[piece])] = y[piece]
-                    xs.append(row)
-                    ys.append(tags)
-            if len(xs) >= limit:
-                return np.array(xs), np.array(ys)
-    return np.array(xs).reshape(-1, WINDOW), np.array(ys).reshape(-1, WINDOW)
+    pools = [[] for _ in range(1 + len(KINDS))]  # by kind, those without a span first
+    for number, text in enumerate(texts):
+        mine, base = [[] for _ in pools], zlib.crc32(text.encode("utf-8", "replace"))
+        for place, (x, y) in enumerate(_text_windows(text, draw)):
+            tagged = y[y > 0]
+            pool = mine[1 + (int(tagged[0]) - 1) // 2 if len(tagged) else 0]
+            pool.append((zlib.crc32(b"%d" % place, base), number, place, x, y))
+            if len(pool) >= 4 * limit:
+                pool[:] = sorted(pool, key=lambda w: w[:3])[:limit]
+        for pool, found in zip(pools, mine):
+            found.sort(key=lambda w: w[:3])
+            pool += [(turn, *w) for turn, w in enumerate(found[:limit])]
+            if len(pool) >= 4 * limit:
+                pool[:] = sorted(pool, key=lambda w: w[:4])[:limit]
+    pools = [sorted(pool, key=lambda w: w[:4])[:limit] for pool in pools]
+    plain, kinds = pools[0], pools[1:]
+    room = max(limit - len(plain), int(limit * LABELLED))
+    each = room // len(KINDS)
+    chosen = [w for pool in kinds for w in pool[:each]]
+    more = sorted((w for pool in kinds for w in pool[each:]), key=lambda w: w[:4])
+    chosen += more[:room - len(chosen)]
+    chosen += plain[:limit - len(chosen)]
+    xs, ys = [w[4] for w in chosen], [w[5] for w in chosen]
+    return (np.array(xs, np.int64).reshape(-1, WINDOW), np.array(ys, np.int64).reshape(-1, WINDOW))
 
 
 def sampled(df, text="text", texts=SAMPLE_TEXTS):
