@@ -1,10 +1,11 @@
 """Personal data in texts: fixed patterns, and a tagger for spellings that these miss.
 
 A character-level bidirectional LSTM with CRF transitions learns from labelled spans: what the
-patterns find in a bounded sample, and rewritten spellings of it. Every kind has a digit or an @,
-so windows cover all surroundings of such characters, wherever in the text they are; overlapping
-windows are decoded, each character takes the tag of the window in which it lies most central, and
-spans are read from that one sequence, tested and added where they touch no pattern's match.
+patterns find in a bounded sample, and rewritten spellings of it. Every kind has a digit, an @ or an
+'at' in brackets, so windows cover all surroundings of these, wherever in the text they are, to the
+end of the address; overlapping windows are decoded, each character takes the tag of the window in
+which it lies most central, and spans are read from that one sequence, tested and added where they
+touch no pattern's match.
 """
 
 import re
@@ -26,7 +27,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
-TRIGGER = re.compile(r"[0-9@]+")
+#: What every span has somewhere: a digit, an @, or an 'at' or 'dot' in brackets.
+TRIGGER = re.compile(r"[0-9@]+|[(\[{]\x20?(?i:at|dot)\x20?[)\]}]")
 REACH = 24
 WINDOW, STRIDE = 64, 32
 #: Bounds of what the tagger learns from.
@@ -87,11 +89,21 @@ def base_spans(text):
 
 
 def regions(text):
-    """Ranges within ``REACH`` characters of a digit or @; near ones are joined."""
+    """Ranges within ``REACH`` characters of a ``TRIGGER``; near ones are joined.
+
+    An edge inside a run of address characters moves to the end of the run, so that no address is cut.
+    """
     out = []
     for m in TRIGGER.finditer(text):
+        free = out[-1][1] if out else 0
         a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if out and a <= out[-1][1]:
+        # What the range before covers is not gone through again: long runs stay linear.
+        while a > free and text[a - 1] in LOCAL and text[a] in LOCAL:
+            a -= 1
+        b = max(b, free)
+        while free < b < len(text) and text[b - 1] in LOCAL and text[b] in LOCAL:
+            b += 1
+        if out and a <= free:
             out[-1][1] = b
         else:
             out.append([a, b])
@@ -117,7 +129,10 @@ def spellings(kind, span, draw):
         groups = [digits[i:i + 4] for i in range(0, len(digits), 4)]
         return draw.choice([".", "/", "  ", "_"]).join(groups)
     if kind == "email":
-        return span.replace("@", draw.choice([" @ ", "@ ", " @", "(@)"]))
+        name, domain = span.split("@", 1)
+        at = str(draw.choice([" @ ", "@ ", " @", "(@)", " (at) ", "(at)", " [at] ", "[at]"]))
+        dot = str(draw.choice([".", " (dot) ", "(dot)", " [dot] ", "[dot]"])) if "a" in at else "."
+        return name + at + domain.replace(".", dot)
     return span.replace(".", draw.choice(["[.]", " . ", "(.)"]))
 
 
@@ -126,20 +141,23 @@ def _text_windows(text, draw):
     labelled spans in other spellings."""
     spans = base_spans(text)
     for a, b in regions(text):
-        inside = [s for s in spans if a <= s[1] and s[2] <= b]
+        # A span that crosses an edge is labelled as far as it is inside; it gets no other spelling.
+        inside = [(k, max(a, start), min(b, end)) for k, start, end in spans if start < b and a < end]
+        crossing = {s for s in inside if s not in spans}
         chosen, at = [], a
         for kind, start, end in inside:
             if start >= at:
-                chosen += [(None, text[at:start]), (kind, text[start:end])]
+                whole = (kind, start, end) not in crossing
+                chosen += [(None, text[at:start], False), (kind, text[start:end], whole)]
                 at = end
-        chosen.append((None, text[at:b]))
+        chosen.append((None, text[at:b], False))
         variants = [chosen]
-        if inside:
+        if any(whole for _, _, whole in chosen):
             variants.append([
-                (k, str(spellings(k, s, draw)) if k else s) for k, s in chosen])
+                (k, str(spellings(k, s, draw)) if whole else s, whole) for k, s, whole in chosen])
         for parts in variants:
             x, y = [], []
-            for kind, part in parts:
+            for kind, part, _ in parts:
                 codes = symbols(part)
                 x.append(codes)
                 tags = np.zeros(len(codes), np.int64)
@@ -192,14 +210,14 @@ def examples(texts, limit=SAMPLE_WINDOWS, seed=3):
 
 def sampled(df, text="text", texts=SAMPLE_TEXTS):
     """At most ``texts`` different texts, as column t: those with a pattern's span, and up to one in
-    ``PLAIN`` that has a digit or @ but no span; of each sort the ones with the least hashes.
+    ``PLAIN`` that has a ``TRIGGER`` but no span; of each sort the ones with the least hashes.
 
     Every text of the table is looked at before any is drawn.
     """
     def start():
         return lambda values: [[bool(base_spans(v)) for v in values.to_pylist()]]
 
-    rows = df.filter(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("t"), F.xxhash64(text).alias("h"))
+    rows = df.filter(F.col(text).rlike(TRIGGER.pattern)).select(F.col(text).alias("t"), F.xxhash64(text).alias("h"))
     keys = kept_once(with_text_columns(rows, "labelled boolean", start, "t", ["t"]).groupBy("h").agg(
         F.max("labelled").alias("labelled")), "pii")
     counts = {r["labelled"]: r["n"] for r in keys.groupBy("labelled").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -241,8 +259,13 @@ def train(df, text="text", texts=SAMPLE_TEXTS, windows_=SAMPLE_WINDOWS):
     return weights or None
 
 
+DOT = r"(?:\.|\x20?[(\[{]\x20?(?i:dot)\x20?[)\]}]\x20?)"
+#: What may follow the end of an address that a tagger's span cuts.
+TAIL = re.compile(rf"[A-Za-z0-9-]*(?:{DOT}[A-Za-z0-9-]+)*")
 TESTS = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+ ?\(?@\)? ?[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+").fullmatch,
+    "email": re.compile(
+        r"[A-Za-z0-9._%+-]+(?:\x20?\(?@\)?\x20?|\x20?[(\[{]\x20?(?i:at)\x20?[)\]}]\x20?)"
+        rf"[A-Za-z0-9-]+(?:{DOT}[A-Za-z0-9-]+)+").fullmatch,
     "ip": lambda s: re.fullmatch(r"[0-9]+( ?[\[(]?\.[\])]? ?[0-9]+){3}", s) and _is_ip(s),
     "card": lambda s: re.fullmatch(r"[0-9](?:[ ./_-]{0,2}[0-9])+", s) and _is_card(s),
     "phone": lambda s: re.fullmatch(r"\+?\(?[0-9][ ()./0-9-]+[0-9]", s) and _is_phone(s)
@@ -303,7 +326,12 @@ def added_spans(text, tagged, base):
             start += 1
         while end > start and text[end - 1] in " .,;:(":
             end -= 1
-        if any(a < end and start < b for _, a, b in base):
+        if kind == "email" and start < end and TESTS[kind](text[start:end]):
+            # All of the address, as the patterns take it.
+            while start > 0 and text[start - 1] in LOCAL:
+                start -= 1
+            end = TAIL.match(text, end).end()
+        if any(a < end and start < b for _, a, b in base) or out and start < out[-1][2]:
             continue
         if TESTS[kind](text[start:end]):
             out.append((kind, start, end))
