@@ -75,6 +75,17 @@ def best(places):
     return sorted(kept, key=lambda x: (x[0][1], x[0]))
 
 
+def matches(pattern, words, start, end):
+    """The best match of the stretch, then those of the stretches on its left and on its right."""
+    stretches = [(start, end)]
+    while stretches:
+        a, b = stretches.pop()
+        match = pattern.search(words, a, b)
+        if match:
+            yield match
+            stretches += [(match.end(), b), (a, match.start())]
+
+
 class Search:
     """All phrases and notices, made once per task."""
 
@@ -120,7 +131,7 @@ class Search:
         for number, places in windows.items():
             pattern, label, _, _ = self.notices[number]
             for a, b in places:
-                for match in pattern.finditer(words, a, b):
+                for match in matches(pattern, words, a, b):
                     first = words.count(" ", 0, match.start()) - 1
                     last = first + match.group().strip().count(" ")
                     yield label, first, last, sum(match.fuzzy_counts)
