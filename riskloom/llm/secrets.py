@@ -6,6 +6,8 @@ it and a dictionary of common identifiers. Names, repeated placeholders and word
 cost few bytes; random keys cost about as many as they have, and these are reported.
 """
 
+import bisect
+import itertools
 import re
 
 import zstandard
@@ -20,11 +22,16 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGNED, MIN_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "novel")
 
-#: A sensitive word, a little text of the same line, and a long string.
-CANDIDATE = re.compile(
-    r"(?ai:\b(?:auth(?:orization)?|bearer|credentials?|private|access|api|signing|master|account|"
-    r"client|session|cookie|salt|pwd|passphrase|password|passwd|secret|token|key)(?![a-z]))"
-    r"[^\n]{0,40}?(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{16,})")
+#: A sensitive word: no letter or digit before it and no letter behind it, or a change of case.
+SENSITIVE = re.compile(
+    r"(?:(?<![A-Za-z0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z0-9])(?=[A-Z][a-z]))"
+    r"(?ai:auth(?:orization)?|bearer|credentials?|private|access|api|signing|master|account|"
+    r"client|session|cookie|salt|pwd|passphrase|password|passwd|secret|token|key)"
+    r"(?:(?![A-Za-z])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z]))")
+SHORTEST = 16
+LONG = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
+#: Characters of the same line between a sensitive word and a long string, at most.
+NEAR = 40
 
 IDENTIFIERS = (
     "password passwd secret token api_key apikey access_key_id secret_access_key client_secret "
@@ -78,11 +85,39 @@ def base_spans(text):
     return found
 
 
+def candidates(text):
+    """(start, end) of every long string near behind a sensitive word, in order.
+
+    Where the word is in the string itself (a name and its value without a blank between) the
+    candidate is what stands behind the equals sign.
+    """
+    runs = [m.span() for m in LONG.finditer(text)]
+    if not runs:
+        return []
+    found = {}
+    ends = [b for _, b in runs]
+    for m in SENSITIVE.finditer(text):
+        word = m.end()
+        stop = min(len(text), word + NEAR)
+        line = text.find("\n", word, stop)
+        stop = line if line >= 0 else stop
+        for start, end in itertools.islice(runs, bisect.bisect_right(ends, word), None):
+            if start > stop:
+                break
+            if start < word:
+                start = text.find("=", word, min(end, stop)) + 1
+                while 0 < start < end and text[start] == "=":
+                    start += 1
+                if not start or end - start < SHORTEST:
+                    continue
+            found[end] = max(start, found.get(end, 0))
+    return sorted((start, end) for end, start in found.items())
+
+
 def novel_spans(text, taken, threshold=NOVELTY):
     """(kind, start, end, novelty) of candidates outside ``taken`` that stay incompressible."""
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span(1)
-        if any(a < end and start < b for _, a, b in taken) or not _mixed(m.group(1)):
+    for start, end in candidates(text):
+        if any(a < end and start < b for _, a, b in taken) or not _mixed(text[start:end]):
             continue
         measured = novelty(text, start, end)
         if measured >= threshold:
