@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, fingerprints, jaccard, licenses, mixing, pii, quality, rules, sampling, secrets, spans, toxicity
+from riskloom.llm import bpe, fingerprints, jaccard, licenses, mixing, negatives, pii, quality, rules, sampling, secrets, spans, toxicity
 
 
 def _documents(spark, sf_dir, *columns):
@@ -102,6 +102,14 @@ def op10_jaccard_join(spark, sf_dir):
     return jaccard.join(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Labels of ids divisible by 7 move on by one; anchors are the ids divisible by 100."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    id_, label = F.col("vec_id"), F.col("label")
+    moved = rows.select("vec_id", "embedding", F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return negatives.mine(moved, moved["vec_id"] % 100 == 0)
+
+
 REGISTRY = {
     "op1_fingerprints": op1_fingerprints,
     "op2_license_scan": op2_license_scan,
@@ -113,4 +121,5 @@ REGISTRY = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_hard_negatives": op11_hard_negatives,
 }
