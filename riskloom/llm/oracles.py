@@ -62,7 +62,41 @@ WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * p
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 5
 """
 
+OP12 = r"""
+WITH crc AS (
+  SELECT list(c ORDER BY n) AS steps FROM (
+    SELECT n, list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+             lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(0, 256)) AS n))),
+d AS (
+  SELECT doc_id, strlen(t) + 16 AS size, CAST('0x' || substr(md5(t), 1, 15) AS BIGINT) AS h,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS k,
+         xor(list_reduce(list_prepend(4294967295, list_transform(
+             regexp_extract_all(hex(encode(t)), '..'), lambda p: CAST('0x' || p AS BIGINT))),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents), crc),
+o AS (
+  SELECT *, row_number() OVER w AS place, CAST(sum(size) OVER w AS BIGINT) AS upto,
+         lead(h) OVER w IS DISTINCT FROM h AS ends_group, sum(size) OVER () AS total
+  FROM d WINDOW w AS (ORDER BY h, k ROWS UNBOUNDED PRECEDING)),
+ends AS (
+  SELECT place, upto, ends_group, total FROM o
+  UNION ALL SELECT 0, 0, true, max(total) FROM o),
+e AS (
+  SELECT s, place, ends_group, total, abs(40 * upto - total * s) AS error
+  FROM ends, (SELECT unnest(range(1, 40)) AS s)),
+bounds AS (
+  SELECT s, CASE WHEN min(error) FILTER (WHERE ends_group) <= 0.01 * max(total)
+                 THEN arg_min(place, error * 1000000000 + place) FILTER (WHERE ends_group)
+                 ELSE arg_min(place, error * 1000000000 + place) END AS bound
+  FROM e GROUP BY s)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY h, k) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM (SELECT *, CAST((SELECT count(*) FROM bounds WHERE bound < place) AS INTEGER) AS shard FROM o)
+"""
+
 ORACLES = {
     "op8_quality_rules": OP8,
     "op11_hard_negatives": OP11,
+    "op12_sharding": OP12,
 }

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, fingerprints, jaccard, licenses, mixing, negatives, pii, quality, rules, sampling, secrets, spans, toxicity
+from riskloom.llm import bpe, fingerprints, jaccard, licenses, mixing, negatives, pii, quality, rules, sampling, secrets, sharding, spans, toxicity
 
 
 def _documents(spark, sf_dir, *columns):
@@ -110,6 +110,13 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.mine(moved, moved["vec_id"] % 100 == 0)
 
 
+def op12_sharding(spark, sf_dir):
+    """Forty shards of near equal bytes; adding a shard moves rows anywhere, so ``grown_shard`` is null."""
+    placed = sharding.place(_documents(spark, sf_dir, "doc_id", "text"), 40, keep=["doc_id"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 REGISTRY = {
     "op1_fingerprints": op1_fingerprints,
     "op2_license_scan": op2_license_scan,
@@ -122,4 +129,5 @@ REGISTRY = {
     "op9_pii": op9_pii,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_sharding": op12_sharding,
 }
