@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, fingerprints, jaccard, licenses, mixing, negatives, pii, quality, rules, sampling, secrets, sharding, spans, toxicity
+from riskloom.llm import alignment, bpe, fingerprints, jaccard, licenses, mixing, negatives, pii, quality, rules, sampling, secrets, sharding, spans, toxicity
 
 
 def _documents(spark, sf_dir, *columns):
@@ -117,6 +117,11 @@ def op12_sharding(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_token_alignment(spark, sf_dir):
+    """Alignment of the byte-level and the piece tokenizer, with link counts of the whole table."""
+    return alignment.align(_documents(spark, sf_dir, "doc_id", "text"), keep=["doc_id"])
+
+
 REGISTRY = {
     "op1_fingerprints": op1_fingerprints,
     "op2_license_scan": op2_license_scan,
@@ -130,4 +135,5 @@ REGISTRY = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_sharding": op12_sharding,
+    "op13_token_alignment": op13_token_alignment,
 }
