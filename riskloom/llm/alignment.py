@@ -224,7 +224,7 @@ def _in_blocks(df, path_a, path_b):
     """Rows of texts and, for each block of them, a row with its links; ``df`` has row and text."""
     counts = list(T.StructType.fromDDL(_COUNTS))
     schema = T.StructType([
-        T.StructField("block", T.LongType()), df.schema["row"], *counts,
+        T.StructField("block", T.LongType()), T.StructField("row", df.schema["row"].dataType), *counts,
         T.StructField("links", T.BinaryType()), T.StructField("width", T.IntegerType()),
         T.StructField("codes", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.LongType()))])
     kinds = [to_arrow_type(f.dataType) for f in schema]
