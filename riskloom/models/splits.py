@@ -10,14 +10,19 @@ a range of the feature's values. Values are then numbered and summed within buck
 of the buckets before are added: the candidates are those of one window over the whole feature.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import functions as F, types as T
 
 from riskloom.operators import ranking as R
 
 TARGET_CANDIDATES = 15
 GAIN_DIGITS = 12
+# Cut points that one sketch of a feature gives.
+GRID = 1024
 MIN_GAIN = 1e-7
 
 
@@ -108,11 +113,35 @@ def best_splits(partials, keys=(), target=TARGET_CANDIDATES, bucketed=False):
       FROM ({_gains(candidates)}) GROUP BY {node})""", partials=partials)
 
 
-def value_cuts(df, columns, rows_per_bucket=R.ROWS_PER_BUCKET):
-    """Per column the ascending cut points of its buckets; none at all for a small table."""
-    if df.count() <= rows_per_bucket:
+def value_cuts(long, width, rows_per_bucket=R.ROWS_PER_BUCKET):
+    """Per feature the ascending cut points of its buckets; None if every feature fits one.
+
+    ``long`` has a row per (feature, value). All features are sketched in the same aggregation: a
+    task's sketches merge feature by feature, each feature in a task of its own. More buckets than a
+    grid has points come from a second aggregation that sketches every part of the first grid.
+    """
+    rows = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    buckets = {f: math.ceil(n / rows_per_bucket) for f, n in rows.items()}
+    most = max(buckets.values(), default=1)
+    if most <= 1:
         return None
-    return [sorted(set(R.cut_points(df.select(c), c, rows_per_bucket)[1])) for c in columns]
+    drawn = R.sketch_input(long, max(rows.values()))
+    first = _grids(drawn, ["feature"], GRID)
+    if most <= GRID:
+        return [sorted(set(R.thinned(first.get((f,), []), buckets.get(f, 1)))) for f in range(width)]
+    coarse = [sorted(set(first.get((f,), []))) for f in range(width)]
+    parts = drawn.withColumn("part", _bucket_by_feature(F.col("feature"), F.col("value"), coarse))
+    inner = _grids(parts, ["feature", "part"], math.ceil(most / GRID))
+    finer = [[] for _ in range(width)]
+    for (feature, _), cuts in inner.items():
+        finer[feature] += cuts
+    return [sorted({*c, *f}) for c, f in zip(coarse, finer)]
+
+
+def _grids(long, keys, size):
+    """Inner quantiles of the values of each key."""
+    found = long.groupBy(*keys).agg(R.quantiles("value", size).alias("cuts")).collect()
+    return {tuple(r[k] for k in keys): list(r["cuts"] or []) for r in found}
 
 
 def _bucket_by_feature(feature, value, cuts):
@@ -134,22 +163,28 @@ def best_split(df, features, label="y", weight=None, target=TARGET_CANDIDATES,
                rows_per_bucket=R.ROWS_PER_BUCKET):
     """The best split of one node: feature name, threshold, gain (no row when nothing splits)."""
     wgt = F.col(weight).cast("double") if weight else F.lit(1.0)
-    values = df.select(*[F.col(f).cast("double").alias(f) for f in features])
-    cuts = value_cuts(values, features, rows_per_bucket)
+    # Summed by value before anything else: the input is read once, and what is sketched, bucketed
+    # and sorted is one row per value.
     long = df.select(
         F.lit(1).alias("cnt"), wgt.alias("wgt"),
         F.when(F.col(label) == 1, wgt).otherwise(F.lit(0.0)).alias("pos"),
-        F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("feature", "value"))
-    if cuts:
-        # Sums by value first: the function then sees each value of a task once.
-        long = long.groupBy("feature", "value").agg(
-            *[F.sum(c).alias(c) for c in ("cnt", "wgt", "pos")]).withColumn(
-            "bucket", _bucket_by_feature(F.col("feature"), F.col("value"), cuts))
-    winner = best_splits(long, (), target, bool(cuts)).agg(F.max_by(
-        F.struct("feature", "value", "gain", "left_cnt", "node_cnt"),
-        F.struct(F.col("gain"), -F.col("feature"))).alias("s")).select("s.*")
-    names = F.array(*[F.lit(f) for f in features])
-    return winner.where(F.col("gain") > MIN_GAIN).select(
-        F.element_at(names, F.col("feature") + 1).alias("feature"),
-        F.col("value").alias("threshold"), "gain",
-        F.col("left_cnt").alias("left_rows"), F.col("node_cnt").alias("node_rows"))
+        F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("feature", "value"),
+    ).groupBy("feature", "value").agg(*[F.sum(c).alias(c) for c in ("cnt", "wgt", "pos")]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        cuts = value_cuts(long, len(features), rows_per_bucket)
+        if cuts:
+            long = long.withColumn("bucket", _bucket_by_feature(F.col("feature"), F.col("value"), cuts))
+        best = best_splits(long, (), target, bool(cuts)).collect()  # one row per feature
+    finally:
+        long.unpersist()
+    return _winner(df.sparkSession, best, features)
+
+
+def _winner(spark, best, features):
+    """The first feature with the greatest gain, as a table of one row or none."""
+    fit = [r for r in best if r["gain"] is not None and r["gain"] > MIN_GAIN]
+    top = sorted(fit, key=lambda r: (-r["gain"], r["feature"]))[:1]
+    return spark.createDataFrame(
+        [(features[r["feature"]], r["value"], r["gain"], r["left_cnt"], r["node_cnt"]) for r in top],
+        "feature string, threshold double, gain double, left_rows long, node_rows long")

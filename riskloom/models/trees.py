@@ -216,7 +216,8 @@ class ValueTable(TrainingTable):
                  rows_per_bucket=ROWS_PER_BUCKET):
         super().__init__(df, names, label, key)
         small = self.counts["samples"] <= rows_per_bucket
-        self.cuts = None if small else value_cuts(self.columns(), self.names, rows_per_bucket)
+        self.cuts = None if small else value_cuts(
+            self.rows.select(F.posexplode("x").alias("feature", "value")), len(self.names), rows_per_bucket)
         self.keep(np.asarray, draws)
 
 

@@ -37,7 +37,7 @@ def sketch_input(df, rows):
     return df if rows <= SKETCH_ROWS else df.sample(SKETCH_ROWS / rows, seed=7)
 
 
-def _thin(cuts, buckets):
+def thinned(cuts, buckets):
     """Of a fine grid of cut points, those that leave ``buckets`` even buckets."""
     if buckets <= 1:
         return []
@@ -71,7 +71,7 @@ def cut_points(df, col, rows_per_bucket=ROWS_PER_BUCKET):
     if buckets > _GRID:
         return rows, _cuts_of_cuts(df, col, rows, buckets)
     cuts = sketch_input(df, rows).agg(quantiles(f"`{col}`", _GRID)).first()[0]
-    return rows, _thin(list(cuts or []), buckets)
+    return rows, thinned(list(cuts or []), buckets)
 
 
 def bucket_of(col, cuts):
@@ -120,7 +120,7 @@ def _hot_value_cuts(df, order, tie, cuts, rows_per_bucket):
     parts = {v: _buckets_for(n, rows_per_bucket) for v, n in counts.items()}
     grids = {r["value"]: list(r["cuts"]) for r in drawn.groupBy("value").agg(
         quantiles("tie", max(_GRID, *parts.values())).alias("cuts")).collect()}
-    return {v: _thin(grids.get(v, []), n) for v, n in parts.items()}
+    return {v: thinned(grids.get(v, []), n) for v, n in parts.items()}
 
 
 def bucketed(df, order, tie, ascending=True, rows_per_bucket=ROWS_PER_BUCKET):

@@ -202,3 +202,17 @@ def test_forest_is_as_good_as_the_library(dataset):
     ours = forest.fit_random_forest(dataset, 10, 5, names=LEAKAGE_FREE_FEATURES).transform(dataset, "p").select(
         F.col(LABEL).alias("y"), "p")
     assert roc_auc(ours).first()[0] > roc_auc(theirs).first()[0] - 0.08
+
+
+def test_cuts_of_all_features_at_once(spark, monkeypatch):
+    """More buckets than a grid has points come from its parts; few values or rows need no cuts."""
+    df = spark.range(3_000).select(F.posexplode(F.array(
+        F.col("id").cast("double"), (F.col("id") % 4).cast("double"), (F.col("id") / 7))).alias("feature", "value"))
+    assert splits.value_cuts(df, 3, 3_000) is None
+    plain = splits.value_cuts(df, 3, 300)
+    assert [len(c) for c in plain][::2] == [9, 9] and set(plain[1]) <= {0.0, 1.0, 2.0, 3.0}
+    monkeypatch.setattr(splits, "GRID", 8)
+    finer = splits.value_cuts(df, 3, 100)
+    for cuts in (finer[0], finer[2]):
+        places = np.searchsorted(cuts, np.arange(3_000.0) / (7 if cuts is finer[2] else 1))
+        assert cuts == sorted(cuts) and np.bincount(places).max() <= 250
