@@ -4,8 +4,8 @@ Draws are Poisson(1) counts from an md5 of (seed, tree, row): each row decides o
 task needs the row count or another task's rows. They replace the multinomial draw.
 """
 
+import hashlib
 import math
-import random
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,11 +56,33 @@ def bootstrap_weights(df, trees=TREES, seed=42, key="customer_id"):
         F.col("draws") > 0)
 
 
+def subset_size(width):
+    """``round(sqrt(width))`` features, at least 2."""
+    return min(max(math.floor(math.sqrt(width) + 0.5), 2), width)
+
+
 def feature_subsets(width, trees=TREES, seed=42):
-    """Per tree ``round(sqrt(width))`` features (at least 2), in the order they are tried."""
-    size = min(max(math.floor(math.sqrt(width) + 0.5), 2), width)
-    rng = random.Random(seed)
-    return [rng.sample(range(width), size) for _ in range(trees)]
+    """Per tree its features in the order they are tried: those with the least md5 of (seed, tree, feature)."""
+    def place(tree, feature):
+        return hashlib.md5(f"{seed}:feature:{tree}:{feature}".encode()).hexdigest()
+
+    return [sorted(range(width), key=lambda f: place(t, f))[:subset_size(width)] for t in range(trees)]
+
+
+def drawn_features(df, trees=TREES, seed=42, names=FEATURES, key="customer_id"):
+    """Per tree and feature of its subset: position, number of drawn rows, mean over these rows.
+
+    Every row adds its values once per tree that draws it; sums are formed per task first.
+    """
+    subsets = feature_subsets(len(names), trees, seed)
+    tried = F.array(*[F.array(*[F.struct(F.lit(p).alias("position"), F.lit(names[f]).alias("feature"), F.col(
+        names[f]).cast("double").alias("value")) for p, f in enumerate(s)]) for s in subsets])
+    per_tree = df.select(F.posexplode(F.arrays_zip(
+        draw_counts(F.col(key), trees, seed).alias("draws"), tried.alias("tried"))).alias("tree", "drawn"))
+    rows = per_tree.where("drawn.draws > 0").select("tree", "drawn.draws", F.inline("drawn.tried"))
+    return rows.groupBy("tree", "position", "feature").agg(
+        F.sum("draws").cast("long").alias("draws"),
+        (F.sum(F.col("draws") * F.col("value")) / F.sum("draws")).alias("mean"))
 
 
 @dataclass

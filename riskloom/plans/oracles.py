@@ -3,7 +3,7 @@
 from riskloom.models import forest, logistic
 from riskloom.functions.scorecard import BASE_ODDS, BASE_SCORE, PDO
 from riskloom.operators.scoring import ACTIVE_MODEL
-from riskloom.plans import proxies as X, queries as Q
+from riskloom.plans import proxies as X, queries as Q, tree_sql as TS
 from riskloom.schemas import FEATURES, LABEL, LEAKAGE_FREE_FEATURES, TEXT_LENGTHS
 
 INT = r"regexp_full_match({0}, '[+-]?[0-9]+')"
@@ -387,6 +387,10 @@ _LR = " + ".join([f"{Q.FIXED_BIAS}e0"] + [
     f"({w}e0) * (({f} - {m}e0) / {s}e0)"
     for w, f, m, s in zip(Q.FIXED_WEIGHTS, FEATURES, Q.FIXED_MEANS, Q.FIXED_DEVIATIONS)])
 
+_PREDICTED = f"SELECT customer_id, {_r('p', 'probability_of_default')} FROM predicted"
+_FEATURE_VALUES = " UNION ALL ".join(
+    f"SELECT customer_id, {j} AS j, '{f}' AS feature, {f} AS value FROM dataset" for j, f in enumerate(FEATURES))
+_FOREST = TS.random_forest(FEATURES, _bootstrap(), Q.SEED)
 _MART_APPS = ("customer_id, gender, own_car, own_realty, children_count, round(annual_income, 2) AS annual_income, income_type, "
               "education_type, family_status, housing_type, age_years, employment_years, is_unemployed_or_retired, has_mobile, "
               "has_work_phone, has_phone, has_email, occupation_type, family_members_count, income_per_family_member")
@@ -542,5 +546,17 @@ FROM mart_apps a JOIN mart_summary s ON a.customer_id = s.customer_id LEFT JOIN
         f"SELECT feature, {_r('weight')} FROM (SELECT 'bias' AS feature, b AS weight FROM fitted UNION ALL {_LR_WEIGHTS}) q"), "dataset"),
     "lr_importance": _with_recursive(_logistic(
         f"SELECT feature, {_r('abs(weight) / sum(abs(weight)) OVER ()', 'importance')} FROM ({_LR_WEIGHTS}) q"), "dataset"),
+    "dt_fit": _with_recursive(f"{TS.single_tree(LEAKAGE_FREE_FEATURES)} {TS.node_table(LEAKAGE_FREE_FEATURES)}", "dataset"),
+    "dt_predict": _with_recursive(f"{TS.single_tree(LEAKAGE_FREE_FEATURES)}, {TS.predicted('tree')} {_PREDICTED}", "dataset"),
+    "feature_subsets": _with(f"""
+SELECT CAST(tree AS INTEGER) AS tree, CAST(s.position AS INTEGER) AS position, f.feature, CAST(sum(draws) AS BIGINT) AS draws,
+ round(sum(draws * value) / sum(draws), 4) AS mean
+FROM ({TS.subsets(len(FEATURES), forest.TREES, Q.SEED)}) s JOIN ({_bootstrap()}) b USING (tree) JOIN ({_FEATURE_VALUES}) f
+ ON f.customer_id = b.customer_id AND f.j = s.feature GROUP BY ALL""", "dataset"),
+    "rf_fit": _with_recursive(f"{_FOREST} {TS.node_table(FEATURES)}", "dataset"),
+    "rf_predict": _with_recursive(f"{_FOREST}, {TS.predicted('forest')} {_PREDICTED}", "dataset"),
+    "rf_importance": _with_recursive(f"{_FOREST} {TS.importance(FEATURES)}", "dataset"),
+    "gb_fit": _with_recursive(f"{TS.boosted(FEATURES)} {TS.node_table(FEATURES)}", "dataset"),
+    "gb_predict": _with_recursive(f"{TS.boosted(FEATURES)}, {TS.predicted('boosting')} {_PREDICTED}", "dataset"),
     "check_constraints": _with(_violations(), "mart_apps", "msummary", "log"),
 }

@@ -421,6 +421,12 @@ def bootstrap(spark, sf):
     return forest.bootstrap_weights(_dataset(spark, sf), seed=SEED)
 
 
+def feature_subsets(spark, sf):
+    """Each tree's features in the order it tries them, with the rows it draws and their mean."""
+    data = _dataset(spark, sf)
+    return _rounded(forest.drawn_features(data, seed=SEED), 4)
+
+
 def _forest(spark, sf):
     data = _dataset(spark, sf)
     return data, forest.fit_random_forest(data, seed=SEED)
@@ -573,7 +579,7 @@ REGISTRY = {f.__name__: f for f in [
     credit_summary, mart_summary, target_stats, feature_means, zscore_fit, nb_fit, class_weights,
     confusion, service_summary, dedupe_keep_last, score_rank, tie_average_rank, cumulative_pr,
     roc_auc, pr_auc, stratified_split, list_customers, list_recent, total_count, best_split, zscore,
-    lr_fit, lr_predict, lr_importance, nb_predict, nb_importance, dt_fit, dt_predict, bootstrap,
+    lr_fit, lr_predict, lr_importance, nb_predict, nb_importance, dt_fit, dt_predict, bootstrap, feature_subsets,
     rf_fit, rf_predict, rf_importance, gb_fit, gb_predict, gb_importance, compare_models,
     classification_metrics, evaluate, auc_by_model, evaluate_by_model, pdo_score, risk_band,
     score_customers, factor_impacts, top_factors, rule_scores, score_requests, score_stream,
