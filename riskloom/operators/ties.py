@@ -2,10 +2,11 @@
 
 Groups are anchored: walking upwards, a value at least ``eps`` above the current anchor becomes
 the next one. That chain crosses bucket borders, so three steps keep it exact and parallel:
-each bucket states which anchor it would hand on for the anchors it could receive; one task per
-group of scores follows that chain over the buckets (one row each); each bucket then walks from
-the anchor it really receives. A bucket with a gap of ``eps`` hands on one anchor whatever it
-receives; only without any gap its row lists several, as many as it has values at most.
+each bucket states which anchor it would hand on for the anchors it could receive; these step
+functions are put together ``FAN`` at a time, up a tree and down again, which tells every bucket the
+anchor it really receives; each bucket then walks from there. No task of the tree reads more than
+``FAN`` rows. A bucket with a gap of ``eps`` hands on one anchor whatever it receives; only without
+any gap its row lists several, as many as it has values at most.
 """
 
 import numpy as np
@@ -13,8 +14,11 @@ import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 from riskloom.operators import ranking as R
+from riskloom.session import scratch_path
 
 TIE_EPS = 1e-9
+#: Step functions that one task puts together.
+FAN = 64
 
 
 def _next_anchor(p, eps):
@@ -87,23 +91,47 @@ def _walk(p, eps):
     return walk
 
 
+def _received(row, carry, eps):
+    """The anchor that a bucket, or a run of them, hands on when it receives ``carry``."""
+    enter = np.asarray(row.enter)
+    if np.isnan(carry):
+        needed = row.first
+    elif row.last - carry < eps:
+        return carry  # all of it belongs to the anchor already open
+    else:
+        needed = enter[_first_free(enter, carry, eps)]
+    return row.leave[int(np.searchsorted(enter, needed))]
+
+
+def _compose(groups, eps):
+    """One step function of the neighbouring ones of a part: same columns, same meaning."""
+    def compose(pdf):
+        rows = list(pdf.sort_values("bucket", kind="stable").itertuples(index=False))
+        enter, leave = list(rows[0].enter), list(rows[0].leave)
+        for before, row in zip(rows, rows[1:]):
+            leave = [_received(row, x, eps) for x in leave]
+            if before.last - rows[0].first < eps:  # an anchor may cover all so far and enter here
+                enter, leave = [*enter, *row.enter], [*leave, *row.leave]
+            keep = [i for i in range(len(enter)) if i + 1 == len(enter) or leave[i + 1] != leave[i]]
+            enter, leave = [enter[i] for i in keep], [leave[i] for i in keep]
+        out = {g: [pdf[g].iloc[0]] for g in groups}
+        out.update(bucket=[int(pdf["parent"].iloc[0])], rows=[int(pdf["rows"].sum())],
+                   first=[rows[0].first], last=[rows[-1].last], enter=[enter], leave=[leave])
+        return pd.DataFrame(out)
+
+    return compose
+
+
 def _chain(groups, eps):
-    """Per bucket of a group in order: the anchor it receives and the rows before it."""
+    """Per bucket of a part in order: the anchor it receives and the rows before it."""
     def follow(pdf):
         pdf = pdf.sort_values("bucket", kind="stable").reset_index(drop=True)
-        carries, offsets, carry, offset = [], [], float("nan"), 0
+        carries, offsets = [], []
+        carry, offset = float(pdf["_carry"].iloc[0]), int(pdf["_offset"].iloc[0])
         for r in pdf.itertuples(index=False):
             carries.append(carry)
             offsets.append(offset)
-            enter = np.asarray(r.enter)
-            if np.isnan(carry):
-                needed = r.first
-            elif r.last - carry < eps:
-                needed = None  # all of it belongs to the anchor already open
-            else:
-                needed = enter[_first_free(enter, carry, eps)]
-            if needed is not None:
-                carry = r.leave[int(np.searchsorted(enter, needed))]
+            carry = _received(r, carry, eps)
             offset += r.rows
         return pd.DataFrame({**{g: pdf[g] for g in groups}, "_bucket": pdf["bucket"],
                              "_carry": carries, "_offset": offsets})
@@ -111,6 +139,35 @@ def _chain(groups, eps):
     return follow
 
 
+def _carries(summary, groups, eps, buckets):
+    """What every bucket receives, for one summary row per group and bucket.
+
+    Up: step functions of ``FAN`` neighbours become one, until ``FAN`` are left of a group. Down:
+    each part follows the chain from the anchor its parent received.
+    """
+    fields = {f.name: f for f in summary.schema.fields}
+    chained = T.StructType([fields[g] for g in groups] + [
+        T.StructField("_bucket", T.IntegerType()), T.StructField("_carry", T.DoubleType()),
+        T.StructField("_offset", T.LongType())])
+    parent = (F.col("bucket") / FAN).cast("int")
+    if buckets > FAN:  # read on every floor: computed once
+        path = scratch_path(summary.sparkSession, "handovers")
+        summary.write.parquet(path)
+        summary = summary.sparkSession.read.schema(summary.schema).parquet(path)
+    floors = [summary]
+    while buckets > FAN:
+        floors.append(floors[-1].withColumn("parent", parent).groupBy(*groups, "parent").applyInPandas(
+            _compose(groups, eps), summary.schema))
+        buckets = -(-buckets // FAN)
+    top = floors[-1].withColumns({"_carry": F.lit(float("nan")), "_offset": F.lit(0).cast("bigint")})
+    chain = top.groupBy(*(groups or [F.lit(0).alias("_all")])).applyInPandas(_chain(groups, eps), chained)
+    for floor in reversed(floors[:-1]):
+        above = chain.withColumnRenamed("_bucket", "parent")
+        chain = floor.withColumn("parent", parent).join(above, [*groups, "parent"]).groupBy(
+            *groups, "parent").applyInPandas(_chain(groups, eps), chained)
+    return chain
+
+
 def tie_members(scores, p="p", groups=(), eps=TIE_EPS, rows_per_bucket=R.ROWS_PER_BUCKET):
     """Distinct values with their ``anchor`` and the number of rows ``before`` them.
 
@@ -132,11 +189,7 @@ def tie_members(scores, p="p", groups=(), eps=TIE_EPS, rows_per_bucket=R.ROWS_PE
             T.StructField("enter", doubles), T.StructField("leave", doubles)])
         summary = pieces.select(*keys, p, "n").groupBy(*keys).applyInPandas(
             _bucket_summary(groups, p, eps), summary_schema)
-        chain_schema = T.StructType([fields[g] for g in groups] + [
-            T.StructField("_bucket", T.IntegerType()), T.StructField("_carry", T.DoubleType()),
-            T.StructField("_offset", T.LongType())])
-        whole = [F.lit(0).alias("_all")]
-        chain = summary.groupBy(*(groups or whole)).applyInPandas(_chain(groups, eps), chain_schema)
+        chain = _carries(summary, groups, eps, len(cuts) + 1)
         placed = pieces.join(chain, keys)
     out = T.StructType([f for f in scores.schema.fields] + [
         T.StructField("anchor", T.DoubleType()), T.StructField("before", T.LongType())])

@@ -1,8 +1,11 @@
 """DuckDB statements for the registered queries, built from shared common table expressions."""
 
-from riskloom.models import forest, logistic
+import re
+
+from riskloom.models import compare, forest, logistic
 from riskloom.functions.scorecard import BASE_ODDS, BASE_SCORE, PDO
 from riskloom.operators.scoring import ACTIVE_MODEL
+from riskloom.operators.ties import TIE_EPS
 from riskloom.plans import proxies as X, queries as Q, tree_sql as TS
 from riskloom.schemas import FEATURES, LABEL, LEAKAGE_FREE_FEATURES, TEXT_LENGTHS
 
@@ -129,11 +132,27 @@ _DEMOGRAPHIC = f"""
  cast(is_bad_customer AS double) AS is_default
 """
 
+
+def _confusion(source, limit):
+    return f"""
+SELECT model_name, count(*) FILTER (y = 1 AND p >= {limit!r}) AS true_positives,
+ count(*) FILTER (y = 0 AND p >= {limit!r}) AS false_positives, count(*) FILTER (y = 0 AND p < {limit!r}) AS true_negatives,
+ count(*) FILTER (y = 1 AND p < {limit!r}) AS false_negatives, count(*) AS total_samples FROM {source} GROUP BY ALL"""
+
+
+def _split(source):
+    return f"""
+SELECT customer_id, is_default, rn <= round(0.8e0 * n) AS is_train FROM (SELECT customer_id, is_default,
+ row_number() OVER (PARTITION BY is_default ORDER BY md5(concat('{Q.SEED}:', customer_id))) AS rn,
+ count(*) OVER (PARTITION BY is_default) AS n FROM {source}) t"""
+
+
 # name: (names it builds on, body)
 CTES = {
     "app_raw": ([], X.duckdb_text(X.APPLICATION_RAW)),
     "credit_raw": ([], X.duckdb_text(X.CREDIT_RAW)),
     "scored": ([], X.duckdb_text(X.SCORED)),
+    "close": ([], X.duckdb_text(X.CLOSE)),
     "score_log": ([], X.duckdb_text(X.SCORE_LOG)),
     "reqs": ([], X.duckdb_text(X.SCORE_REQUESTS)),
     "apps_typed": (["app_raw"], f"""
@@ -215,21 +234,36 @@ SELECT coalesce(customer_id, 9999999) AS customer_id, age_years, employment_year
  own_car, own_realty, has_work_phone, has_email, credit_history_length_months, historical_delinquency_rate,
  max_past_due_severity, delinquency_rate_last_6m FROM reqs"""),
     "by_model": (["scored"], "SELECT *, concat('m', customer_id % 3) AS model_name FROM scored"),
-    "conf": (["by_model"], """
-SELECT model_name, count(*) FILTER (y = 1 AND p >= 0.2e0) AS true_positives,
- count(*) FILTER (y = 0 AND p >= 0.2e0) AS false_positives, count(*) FILTER (y = 0 AND p < 0.2e0) AS true_negatives,
- count(*) FILTER (y = 1 AND p < 0.2e0) AS false_negatives, count(*) AS total_samples FROM by_model GROUP BY ALL"""),
+    "conf": (["by_model"], _confusion("by_model", 0.2)),
     "conf_all": (["conf"], "SELECT cast(sum(true_positives) AS bigint) AS true_positives, cast(sum(false_positives) AS bigint) "
                  "AS false_positives, cast(sum(true_negatives) AS bigint) AS true_negatives, cast(sum(false_negatives) AS bigint) "
                  "AS false_negatives, cast(sum(total_samples) AS bigint) AS total_samples FROM conf"),
 }
 
 
+def _anchors(source, part):
+    """Anchors of the tie groups: upwards from the least score, the first at least eps above the last one.
+
+    Scores are first parted where neighbours are that far apart; within such a run the walk recurses.
+    """
+    part = part or "0"
+    return {
+        f"runs_{source}": ([source], f"""
+SELECT part, p, sum(gap) OVER (PARTITION BY part ORDER BY p) AS run FROM (
+ SELECT part, p, CASE WHEN p - lag(p) OVER (PARTITION BY part ORDER BY p) < {TIE_EPS!r} THEN 0 ELSE 1 END AS gap
+ FROM (SELECT DISTINCT {part} AS part, p FROM {source}) v) g"""),
+        f"anchors_{source}": ([f"runs_{source}"], f"""
+SELECT part, run, min(p) AS anchor FROM runs_{source} GROUP BY ALL UNION ALL
+SELECT a.part, a.run, min(r.p) FROM anchors_{source} a JOIN runs_{source} r
+ ON r.part = a.part AND r.run = a.run AND r.p - a.anchor >= {TIE_EPS!r} GROUP BY a.part, a.run"""),
+    }
+
+
 def _ranked(source, part):
     over = f"PARTITION BY {part} " if part else ""
-    group = f"{part}, p" if part else "p"
-    return (f"SELECT *, rank() OVER ({over}ORDER BY p) + (count(*) OVER (PARTITION BY {group}) - 1) / 2.0e0 AS ar "
-            f"FROM {source}")
+    group = f"{part}, anchor" if part else "anchor"
+    return (f"SELECT *, rank() OVER ({over}ORDER BY anchor) + (count(*) OVER (PARTITION BY {group}) - 1) / 2.0e0 AS ar "
+            f"FROM (SELECT s.*, a.anchor FROM {source} s ASOF JOIN anchors_{source} a ON {part or '0'} = a.part AND s.p >= a.anchor) s")
 
 
 def _roc(source, part=None):
@@ -249,9 +283,12 @@ def _pr(source, part=None):
     return f"SELECT {head}avg(hits / rank) FILTER (y = 1) AS pr_auc FROM ({_curve(source, part)}) c{tail}"
 
 
-CTES["roc_all"] = (["scored"], _roc("scored"))
+for _source, _part in (("scored", None), ("close", None), ("by_model", "model_name")):
+    CTES.update(_anchors(_source, _part))
+CTES["roc_all"] = (["scored", "anchors_scored"], _roc("scored"))
+CTES["roc_close"] = (["close", "anchors_close"], _roc("close"))
 CTES["pr_all"] = (["scored"], _pr("scored"))
-CTES["roc_by"] = (["by_model"], _roc("by_model", "model_name"))
+CTES["roc_by"] = (["by_model", "anchors_by_model"], _roc("by_model", "model_name"))
 CTES["pr_by"] = (["by_model"], _pr("by_model", "model_name"))
 
 
@@ -283,7 +320,7 @@ def _head(needs):
 
 def _with(body, *needs):
     """The statement behind the expressions it needs."""
-    return f"WITH {_head(needs)}\n{body}" if needs else body
+    return f"WITH RECURSIVE {_head(needs)}\n{body}" if needs else body
 
 
 def _with_recursive(body, *needs):
@@ -379,7 +416,7 @@ def _logistic(result):
           FROM (SELECT *, {z} AS z FROM lr_fit, lr_rows, lr_counts WHERE epoch < {logistic.EPOCHS}) q) q
         GROUP BY epoch, b, {", ".join(f"w{j}" for j in k)}) q),
     fitted AS (SELECT * FROM lr_fit WHERE epoch = {logistic.EPOCHS})
-    {result}"""
+    {result}""".rstrip()
 
 
 _LR_WEIGHTS = " UNION ALL ".join(f"SELECT '{f}' AS feature, w{j} AS weight FROM fitted" for j, f in enumerate(FEATURES))
@@ -395,6 +432,46 @@ _MART_APPS = ("customer_id, gender, own_car, own_realty, children_count, round(a
               "education_type, family_status, housing_type, age_years, employment_years, is_unemployed_or_retired, has_mobile, "
               "has_work_phone, has_phone, has_email, occupation_type, family_members_count, income_per_family_member")
 
+_OWN_NAMES = ("train_values|tree_rows|tree_features|grown|tree_nodes|splits|asked|walk|leaves|predicted|"
+              "all_features|prior|boosted")
+
+
+def _own(prefix, text):
+    """The expressions of a model under names of their own."""
+    return re.sub(rf"\b({_OWN_NAMES})\b", rf"{prefix}_\1", text)
+
+
+def _compare():
+    """Split, fit four models on the training part, measure them on the rest."""
+    held = "SELECT * FROM held_rows"
+    z = " + ".join(["b", *[f"w{j} * (({f} - m{j}) / CASE WHEN s{j} > 1e-8 THEN s{j} ELSE 1e0 END)" for j, f in enumerate(FEATURES)]])
+    tree = lambda prefix, kind, text: _own(prefix, f"{text}, {TS.predicted(kind, held, 'held_values')}")
+    per_model = {
+        compare.LOGISTIC: f"SELECT customer_id, {_sigmoid('z')} AS p FROM (SELECT customer_id, {z} AS z FROM held_rows, fitted, lr_moments) q",
+        compare.BAYES: f"SELECT customer_id, p FROM ({_bayes_p('held_rows')}) q",
+        compare.FOREST: "SELECT customer_id, p FROM rf_predicted",
+        compare.BOOSTING: "SELECT customer_id, p FROM gb_predicted",
+    }
+    scored = " UNION ALL ".join(f"SELECT '{m}' AS model_name, * FROM ({t}) m" for m, t in per_model.items())
+    anchors = "".join(f"{n} AS ({text}),\n" for n, (_, text) in _anchors("held_out", "model_name").items())
+    whole = _head(["dataset"]).replace("dataset AS (", "whole AS (", 1)
+    return f"""WITH RECURSIVE {whole},
+    marked AS ({_split('whole')}),
+    dataset AS MATERIALIZED (SELECT w.* FROM whole w JOIN marked m USING (customer_id) WHERE is_train),
+    held_rows AS MATERIALIZED (SELECT w.* FROM whole w JOIN marked m USING (customer_id) WHERE NOT is_train),
+    held_values AS MATERIALIZED ({TS.long_rows(FEATURES, "held_rows")}),
+    moments AS ({CTES["moments"][1]}), nb AS ({CTES["nb"][1]}),
+    {tree("rf", "forest", _FOREST)},
+    {tree("gb", "boosting", TS.boosted(FEATURES))},
+    {_logistic("")},
+    held_out AS (SELECT s.*, CAST({LABEL} = 1 AS INTEGER) AS y FROM ({scored}) s JOIN held_rows USING (customer_id)),
+    {anchors}
+    conf AS ({_confusion("held_out", 0.5)}),
+    roc_by AS ({_roc("held_out", "model_name")}), pr_by AS ({_pr("held_out", "model_name")})
+    SELECT c.*, {_rates()}, {_r('roc_auc')}, {_r('pr_auc')} FROM conf c JOIN roc_by r ON c.model_name = r.model_name
+      JOIN pr_by q ON c.model_name = q.model_name"""
+
+
 ORACLES = {
     "flagship": _with(f"""
 SELECT d.customer_id, round(age_years, 4) AS age_years, annual_income, credit_history_length_months,
@@ -484,15 +561,12 @@ SELECT samples, n_pos, n_neg, {_r('samples / (2.0e0 * n_pos)', 'w_pos')}, {_r('s
     "service_summary": _with(f"SELECT 'ok' AS status, count(*) AS total_customers, '{ACTIVE_MODEL}' AS active_model FROM dataset", "dataset"),
     "dedupe_keep_last": _with(f"SELECT {_APP_COLUMNS} FROM apps", "apps"),
     "score_rank": _with("SELECT customer_id, row_number() OVER (ORDER BY p, customer_id) AS rank FROM scored", "scored"),
-    "tie_average_rank": _with(f"SELECT round(p, 9) AS p, count(*) AS n, any_value(ar) AS average_rank FROM ({_ranked('scored', None)}) r "
-                              "GROUP BY r.p", "scored"),
+    "tie_average_rank": _with(f"SELECT round(p, 9) AS p, count(*) AS n, any_value(ar) AS average_rank FROM ({_ranked('close', None)}) r "
+                              "GROUP BY r.p", "close", "anchors_close"),
     "cumulative_pr": _with(f"SELECT customer_id, rank, hits, {_r('hits / rank', 'precision_at_row')} FROM ({_curve('scored')}) c", "scored"),
-    "roc_auc": _with(f"SELECT {_r('roc_auc')} FROM roc_all", "roc_all"),
+    "roc_auc": _with(f"SELECT {_r('roc_auc')} FROM roc_close", "roc_close"),
     "pr_auc": _with(f"SELECT {_r('pr_auc')} FROM pr_all", "pr_all"),
-    "stratified_split": _with(f"""
-SELECT customer_id, is_default, rn <= round(0.8e0 * n) AS is_train FROM (SELECT customer_id, is_default,
- row_number() OVER (PARTITION BY is_default ORDER BY md5(concat('{Q.SEED}:', customer_id))) AS rn,
- count(*) OVER (PARTITION BY is_default) AS n FROM dataset) t""", "dataset"),
+    "stratified_split": _with(_split("dataset"), "dataset"),
     "list_customers": _with(f"""
 SELECT customer_id, round(age_years, 6) AS age, round(annual_income, 6) AS annual_income,
  {_r('historical_delinquency_rate', 'delinquency_rate')}, credit_score, {_band_label('risk_band')} AS risk_band,
@@ -558,5 +632,6 @@ FROM ({TS.subsets(len(FEATURES), forest.TREES, Q.SEED)}) s JOIN ({_bootstrap()})
     "rf_importance": _with_recursive(f"{_FOREST} {TS.importance(FEATURES)}", "dataset"),
     "gb_fit": _with_recursive(f"{TS.boosted(FEATURES)} {TS.node_table(FEATURES)}", "dataset"),
     "gb_predict": _with_recursive(f"{TS.boosted(FEATURES)}, {TS.predicted('boosting')} {_PREDICTED}", "dataset"),
+    "compare_models": _compare(),
     "check_constraints": _with(_violations(), "mart_apps", "msummary", "log"),
 }

@@ -40,6 +40,12 @@ SELECT event_id AS customer_id, CASE WHEN event_type IN ('error','signup') THEN
  value/(value+100.0e0) AS p FROM {events}
 """
 
+# Scores in clusters whose members are closer than the tie rule's 1e-9, so that it chains.
+CLOSE = """
+SELECT event_id AS customer_id, CASE WHEN event_type IN ('error','signup') THEN 1 ELSE 0 END AS y,
+ floor(value)/(value+100.0e0-(value-floor(value)))+(event_id%7)*0.0000000004e0 AS p FROM {events}
+"""
+
 SCORE_LOG = """
 SELECT event_id AS score_id, user_id AS customer_id, cast(300+event_id%551 AS int) AS credit_score,
  value/(value+100.0e0) AS probability_of_default, CASE WHEN event_id%97=0 THEN NULL ELSE ts END AS scored_at
@@ -81,6 +87,10 @@ def scored(spark, sf_dir):
     return _run(spark, SCORED, "events", sf_dir)
 
 
+def close(spark, sf_dir):
+    return _run(spark, CLOSE, "events", sf_dir)
+
+
 def score_log(spark, sf_dir):
     return _run(spark, SCORE_LOG, "events", sf_dir)
 

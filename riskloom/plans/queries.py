@@ -328,7 +328,7 @@ def score_rank(spark, sf):
 
 
 def tie_average_rank(spark, sf):
-    return _rounded(ties.tie_average_rank(X.scored(spark, sf), rows_per_bucket=BUCKET), 9)
+    return _rounded(ties.tie_average_rank(X.close(spark, sf), rows_per_bucket=BUCKET), 9)
 
 
 def cumulative_pr(spark, sf):
@@ -337,7 +337,7 @@ def cumulative_pr(spark, sf):
 
 
 def roc_auc(spark, sf):
-    return _rounded(M.roc_auc(X.scored(spark, sf), rows_per_bucket=BUCKET))
+    return _rounded(M.roc_auc(X.close(spark, sf), rows_per_bucket=BUCKET))
 
 
 def pr_auc(spark, sf):

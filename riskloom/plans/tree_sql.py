@@ -15,10 +15,10 @@ def _impurity(pos, wgt):
     return f"CASE WHEN {wgt} > 0 THEN 1 - (pow({pos} / {wgt}, 2) + pow(1 - {pos} / {wgt}, 2)) ELSE 0e0 END"
 
 
-def _long(names):
-    """(id, feature, v) of the rows in ``dataset``."""
+def long_rows(names, source="dataset"):
+    """(id, feature, v) of the rows in ``source``."""
     return " UNION ALL ".join(
-        f"SELECT customer_id AS id, {j} AS feature, {name} AS v FROM dataset" for j, name in enumerate(names))
+        f"SELECT customer_id AS id, {j} AS feature, {name} AS v FROM {source}" for j, name in enumerate(names))
 
 
 def _best(rows, keys, min_split, subsets):
@@ -108,7 +108,7 @@ def single_tree(names, depth=7, min_split=10):
 def _finished(rows, features, names, depth, min_split):
     nodes = _NODES.format(order="", rows="SELECT g.*, n, wn, wp FROM grown g JOIN tree_rows USING (tree, id)")
     return f"""
-  train_values AS MATERIALIZED ({_long(names)}),
+  train_values AS MATERIALIZED ({long_rows(names)}),
   tree_rows AS MATERIALIZED ({rows}),
   tree_features AS MATERIALIZED ({features}),
   {_grown(depth, min_split)},
@@ -144,7 +144,7 @@ def boosted(names, rounds=boosting.ROUNDS, rate=boosting.RATE, depth=boosting.DE
       SELECT level, tree, path, feature, threshold, 1 AS n, {weight} AS wn, {weight} * y AS wp
       FROM boosted WHERE length(path) = level AND tree < {rounds}""").replace("GROUP BY tree, level, tree, path", "GROUP BY level, tree, path")
     return f"""
-  train_values AS MATERIALIZED ({_long(names)}),
+  train_values AS MATERIALIZED ({long_rows(names)}),
   all_features AS MATERIALIZED (SELECT feature AS position, feature FROM range({len(names)}) AS f(feature)),
   prior AS (SELECT ln(greatest(sum(y), 1) / greatest(count(*) - greatest(sum(y), 1), 1)::double) AS base
     FROM (SELECT CAST({LABEL} = 1 AS INTEGER) AS y FROM dataset) l),

@@ -193,3 +193,18 @@ def test_handover_equals_walk():
         enter, leave = table
         k = ties._first_free(enter, carry, 1e-9)
         assert (leave[k] if k < len(enter) else carry) == anchor
+
+
+@pytest.mark.parametrize("fan", [2, 3, 64])
+@pytest.mark.parametrize("step", [1e-10, 4e-10, 1.3e-9])
+def test_handovers_in_a_tree_of_any_width(spark, monkeypatch, fan, step):
+    """Chains that cross many buckets, with and without gaps, in two groups."""
+    monkeypatch.setattr(ties, "FAN", fan)
+    rng = np.random.default_rng(int(step * 1e12))
+    p = np.cumsum(rng.choice([step, step * 1.7, 3e-9], 240, p=[0.6, 0.38, 0.02]))
+    rows = [(g, float(v)) for g in ("a", "b") for v in (p if g == "a" else p[::2])]
+    df = spark.createDataFrame(rows, "g string, p double")
+    got = {(r.g, r.p): r.anchor for r in ties.tie_members(
+        df.groupBy("g", "p").agg(F.count(F.lit(1)).alias("n")), groups=["g"], rows_per_bucket=9).collect()}
+    for g, values in (("a", p), ("b", p[::2])):
+        assert {v: a for (h, v), a in got.items() if h == g} == brute.anchored_groups(values)
