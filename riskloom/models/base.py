@@ -83,13 +83,19 @@ class TrainingTable:
             remove_scratch(spark, path)
             raise ValueError("no training rows")
         # Small tables in few tasks save scheduling; large ones keep the partitions of the scan.
-        self.rows = stored.coalesce(math.ceil(self.counts["samples"] / ROWS_PER_TASK))
+        self.tasks = math.ceil(self.counts["samples"] / ROWS_PER_TASK)
+        self.rows = stored.coalesce(self.tasks)
         self.blocks = None
 
     @property
     def prior_log_odds(self):
         return math.log(self.counts["n_pos"] / self.counts["n_neg"])
 
+    def deal(self, tasks):
+        """Deal the rows evenly to ``tasks`` tasks."""
+        self.tasks = tasks
+        self.rows = self.rows.repartition(tasks)
+
     def columns(self):
         """The features as columns again."""
         return self.rows.select(*[F.get("x", F.lit(j)).alias(n) for j, n in enumerate(self.names)])
@@ -99,11 +105,14 @@ class TrainingTable:
 
         ``transform``: (rows, features) matrix to the matrix kept. ``draws``: optional array column.
         """
-        rows = self.rows if draws is None else self.rows.withColumn("draws", draws)
-        self.blocks = rows.drop("id").mapInArrow(
-            _pack(transform, len(self.names), draws is not None), BLOCKS).persist(StorageLevel.MEMORY_AND_DISK)
+        self.blocks = self.packed(transform, draws).persist(StorageLevel.MEMORY_AND_DISK)
         return self.blocks
 
+    def packed(self, transform, draws=None):
+        """The blocks, not kept."""
+        rows = self.rows if draws is None else self.rows.withColumn("draws", draws)
+        return rows.drop("id").mapInArrow(_pack(transform, len(self.names), draws is not None), BLOCKS)
+
     def __enter__(self):
         return self
 

@@ -1,7 +1,9 @@
 """Logistic regression by full-batch gradient descent with a fixed schedule.
 
-The result is the state after a fixed number of steps, not the optimum, so each step is one
-pass over the kept training table that sends one partial gradient per task.
+The result is the state after a fixed number of steps, not the optimum. Every step adds up one
+partial gradient per task and is a job over the kept training table. Rows that one task can hold take
+all steps in it, without a job for each. (A barrier stage whose tasks gather each other's sums does
+the same for more tasks, but Spark lets a gather wait for a second: ten times a job here.)
 """
 
 from dataclasses import dataclass
@@ -18,6 +20,8 @@ from riskloom.schemas import FEATURES, LABEL
 LEARNING_RATE, EPOCHS, L2 = 0.05, 150, 0.001
 DECAY = 0.01
 MAX_PARTIALS = 1_000
+#: Rows that one task may hold for all steps.
+HELD_ROWS = 200_000
 
 
 @dataclass
@@ -51,43 +55,90 @@ def _standardize(means, deviations):
     return lambda x: (x - means) / deviations
 
 
-def _partial_gradient(weights, bias, w_pos, w_neg):
+def _partial_gradient(blocks, weights, bias, w_pos, w_neg):
+    """Sum over the rows of the gradient by weight, the bias last."""
     width = len(weights)
+    total = np.zeros(width + 1)
+    for x, y in blocks:
+        z = x @ weights + bias
+        with np.errstate(over="ignore"):
+            p = np.where(z >= LOGIT_LIMIT, 1.0, np.where(z <= -LOGIT_LIMIT, 0.0, 1.0 / (1.0 + np.exp(-z))))
+        error = (p - y) * np.where(y == 1, w_pos, w_neg)
+        total[:width] += error @ x
+        total[width] += error.sum()
+    return total
 
+
+@dataclass
+class _Steps:
+    """The schedule; a state is the weights with the bias behind them."""
+
+    rate: float
+    epochs: int
+    l2: float
+    samples: int
+    w_pos: float
+    w_neg: float
+
+    def partial(self, blocks, state):
+        return _partial_gradient(blocks, state[:-1], state[-1], self.w_pos, self.w_neg)
+
+    def step(self, state, partials, epoch):
+        gradient = np.array(partials).sum(axis=0) / self.samples
+        gradient[:-1] += self.l2 * state[:-1]
+        return state - self.rate / (1.0 + DECAY * epoch) * gradient
+
+
+def _row(values):
+    return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], [f"g{j}" for j in range(len(values))])
+
+
+def _blocks(batches, width):
+    return ((x, y) for x, y, _ in unpacked(batches, np.float64, width))
+
+
+def _in_one_task(rows, schema, steps, state):
+    """All steps in the one task that holds the rows."""
     def run(batches):
-        total = np.zeros(width + 1)
-        for x, y, _ in unpacked(batches, np.float64, width):
-            z = x @ weights + bias
-            with np.errstate(over="ignore"):
-                p = np.where(z >= LOGIT_LIMIT, 1.0, np.where(z <= -LOGIT_LIMIT, 0.0, 1.0 / (1.0 + np.exp(-z))))
-            error = (p - y) * np.where(y == 1, w_pos, w_neg)
-            total[:width] += error @ x
-            total[width] += error.sum()
-        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], [f"g{j}" for j in range(width + 1)])
+        here, now = list(_blocks(batches, len(state) - 1)), state
+        for epoch in range(steps.epochs):
+            now = steps.step(now, [steps.partial(here, now)], epoch)
+        yield _row(now)
+
+    return np.array(rows.mapInArrow(run, schema).collect()[0])
+
 
-    return run
+def _job_by_job(rows, schema, steps, state, tasks):
+    """A job per step over the kept rows."""
+    merged = [F.sum(f.name).alias(f.name) for f in schema.fields]
+    for epoch in range(steps.epochs):
+        now = state
+
+        def run(batches, now=now):
+            yield _row(steps.partial(_blocks(batches, len(now) - 1), now))
 
+        partials = rows.mapInArrow(run, schema)
+        if tasks > MAX_PARTIALS:
+            partials = partials.agg(*merged)
+        state = steps.step(state, partials.collect(), epoch)  # one row per task, MAX_PARTIALS at most
+    return state
 
-def fit_logistic(df, lr=LEARNING_RATE, epochs=EPOCHS, l2=L2, names=FEATURES, label=LABEL):
+
+def fit_logistic(df, lr=LEARNING_RATE, epochs=EPOCHS, l2=L2, names=FEATURES, label=LABEL, held_rows=HELD_ROWS):
     names = list(names)
     width = len(names)
     schema = T.StructType([T.StructField(f"g{j}", T.DoubleType()) for j in range(width + 1)])
-    merged = [F.sum(f.name).alias(f.name) for f in schema.fields]
     with TrainingTable(df, names, label) as table:
         moments = feature_moments(table.columns(), names).first()
         means = np.array([moments[f"mean_{n}"] for n in names])
         deviations = np.array([moments[f"sd_{n}"] for n in names])
         c = table.counts
-        weights, bias = np.zeros(width), table.prior_log_odds
-        rows = table.keep(_standardize(means, deviations))
-        few_tasks = rows.rdd.getNumPartitions() <= MAX_PARTIALS
-        for epoch in range(epochs):
-            step = _partial_gradient(weights, bias, c["w_pos"], c["w_neg"])
-            partials = rows.mapInArrow(step, schema)
-            if not few_tasks:
-                partials = partials.agg(*merged)
-            gradient = np.array(partials.collect()).sum(axis=0)  # one row per task
-            rate = lr / (1.0 + DECAY * epoch)
-            weights = weights - rate * (gradient[:width] / c["samples"] + l2 * weights)
-            bias -= rate * gradient[width] / c["samples"]
-    return LogisticModel(weights.tolist(), float(bias), means.tolist(), deviations.tolist(), names)
+        steps = _Steps(lr, epochs, l2, c["samples"], c["w_pos"], c["w_neg"])
+        state = np.append(np.zeros(width), table.prior_log_odds)
+        if c["samples"] <= held_rows:
+            table.deal(1)
+            state = _in_one_task(table.packed(_standardize(means, deviations)), schema, steps, state)
+        else:
+            rows = table.keep(_standardize(means, deviations))
+            state = _job_by_job(rows, schema, steps, state, table.tasks)
+    return LogisticModel(state[:-1].tolist(), float(state[-1]), means.tolist(), deviations.tolist(), names)

@@ -216,3 +216,14 @@ def test_cuts_of_all_features_at_once(spark, monkeypatch):
     for cuts in (finer[0], finer[2]):
         places = np.searchsorted(cuts, np.arange(3_000.0) / (7 if cuts is finer[2] else 1))
         assert cuts == sorted(cuts) and np.bincount(places).max() <= 250
+
+
+def test_one_task_and_jobs_take_the_same_steps(dataset, monkeypatch):
+    monkeypatch.setattr("riskloom.models.base.ROWS_PER_TASK", 20)
+    spread = dataset.repartition(5, "customer_id")
+    fit = lambda held: logistic.fit_logistic(spread, epochs=7, names=LEAKAGE_FREE_FEATURES, held_rows=held)
+    together, by_jobs = fit(10**6), fit(0)
+    assert together.weights == pytest.approx(by_jobs.weights, abs=1e-12)
+    assert together.bias == pytest.approx(by_jobs.bias, abs=1e-12)
+    monkeypatch.setattr(logistic, "MAX_PARTIALS", 1)
+    assert fit(0).weights == pytest.approx(by_jobs.weights, abs=1e-12)
