@@ -58,9 +58,13 @@ def marginal_bytes(candidate, context, identifiers=IDENTIFIERS):
 
 
 def novelty(text, start, end, context=CONTEXT, identifiers=IDENTIFIERS):
-    """Marginal compressed bytes per byte of ``text[start:end]``, 0 to 1."""
+    """Marginal compressed bytes per byte of ``text[start:end]``, 0 to 1.
+
+    Further copies of the string are no context: a key that is set and then used stays a key.
+    """
     candidate = text[start:end].encode()
     around = (text[max(0, start - context):start] + "\n" + text[end:end + context]).encode()
+    around = around.replace(candidate, b"")
     return min(1.0, max(0.0, marginal_bytes(candidate, around, identifiers) / len(candidate)))
 
 
