@@ -1,8 +1,8 @@
 """Mixing sources to target weights, over the whole corpus.
 
 Targets are words per source. Every source is dealt by hash into blocks; whole copies and, for the
-rest of a target, a random run of blocks make its exact block quota, cut to the word at one
-document. A multivariate-hypergeometric splitting tree divides the quotas of all sources among the
+rest of a target, a random run of blocks make its exact block quota, which ends at the document
+nearest to the target. A multivariate-hypergeometric splitting tree divides the quotas of all sources among the
 output shards: at each node it draws how many blocks of each source go to the left half, so that
 every shard gets its share of blocks and any split is as likely as when all blocks are shuffled.
 A shard then takes the next blocks of each source's permutation, and shuffles its rows on its own.
@@ -138,11 +138,12 @@ def plan(narrow, shards=SHARDS, seed=17):
 
 
 def takes(rows, block_plan):
-    """``rows`` with ``_shards`` (one per copy the mix takes) and ``_taken``, the words of the last
-    copy beyond ``_copies`` whole ones.
+    """``rows`` with ``_shards`` (one per copy the mix takes) and ``_taken``, the words of a copy
+    beyond ``_copies`` whole ones: all of the document's or none.
 
     In a block that is taken whole or not at all a row decides for itself; only the border block of
-    a source is ordered by hash, to find the document at which the words run out.
+    a source is ordered by hash, to find the document at which the words run out. That document is
+    taken if this comes nearer to the target than leaving it out.
     """
     if block_plan.count() <= BROADCAST_BLOCKS:
         block_plan = F.broadcast(block_plan)
@@ -152,8 +153,9 @@ def takes(rows, block_plan):
     plain = joined.filter(~F.coalesce(border, F.lit(False))).withColumn(
         "_taken", F.when(F.col("part") > 0, F.col("_size")).otherwise(F.lit(0)).cast("long"))
     order = Window.partitionBy("_key", "_block").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
-    cut = joined.filter(border).withColumn("_taken", F.least(F.col("_size"), F.greatest(
-        F.lit(0).cast("long"), F.col("part") - F.coalesce(F.sum("_size").over(order), F.lit(0)))))
+    left = F.col("part") - F.coalesce(F.sum("_size").over(order), F.lit(0))
+    cut = joined.filter(border).withColumn("_taken", F.when(
+        (left > 0) & (2 * left >= F.col("_size")), F.col("_size")).otherwise(F.lit(0)).cast("long"))
     return plain.unionByName(cut).withColumn("_shards", F.coalesce(
         F.slice("shards", F.lit(1), F.col("_copies") + F.when(F.col("_taken") > 0, 1).otherwise(0)),
         F.expr("cast(array() as array<int>)"))).drop("copies", "part", "words", "shards")
@@ -163,7 +165,7 @@ def amounts(docs, shards=SHARDS, seed=17):
     """Per document of (doc_id, source, text): size, source_size, target, taken, shards.
 
     ``taken`` counts the words the mix takes with repeats; a null text has no words, a null source
-    is a source of its own. Sums per source are the targets, rounded down.
+    is a source of its own. Sums per source come within half a document of the targets.
     """
     narrow = kept_once(sized(docs, seed).select("doc_id", "_key", "_size", "_hash", "_block"), "sized")
     block_plan, known = plan(narrow, shards, seed)
@@ -175,18 +177,10 @@ def amounts(docs, shards=SHARDS, seed=17):
         F.array_join(F.transform("_shards", lambda s: s.cast("string")), ",").alias("shards"))
 
 
-def first_words(text, count):
-    """The text up to its word number ``count`` and the space behind it."""
-    words = F.regexp_extract_all(
-        text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    return F.array_join(F.slice(words, F.lit(1), count.cast("int")), "")
-
-
 def mix(docs, shards=SHARDS, seed=17):
     """The mixed corpus: a row for each copy of a document, with its ``shard`` and ``place``.
 
-    Keeps all columns of ``docs`` (with doc_id, source and text). The document at which a source's
-    target ends is cut behind its last taken word. Rows of a shard are shuffled by ``place``, a hash
+    Keeps all columns of ``docs`` (with doc_id, source and text); texts are whole. Rows of a shard are shuffled by ``place``, a hash
     of the row and the copy. Columns named shard and place are replaced. Repeated rows are mixed as
     rows of their own.
     """
@@ -196,9 +190,7 @@ def mix(docs, shards=SHARDS, seed=17):
     narrow = kept_once(full.select("_key", "_size", "_hash", "_block"), "sized")
     block_plan, _ = plan(narrow, shards, seed)
     rows = takes(full, block_plan).select("*", F.posexplode("_shards").alias("_copy", "shard"))
-    partial = (F.col("_copy") == F.col("_copies")) & (F.col("_taken") < F.col("_size"))
-    text = F.when(partial, first_words(F.col("text"), F.col("_taken"))).otherwise(F.col("text"))
-    return rows.select(F.col("_row").withField("text", text).alias("_row"), "_hash", "_copy", "shard").select(
+    return rows.select(
         "_row.*", "shard", F.xxhash64(F.lit(seed + 4), "_hash", "_copy").alias("place"))
 
 

@@ -39,17 +39,20 @@ def test_amounts_and_mix(spark, sf):
     assert abs(rows.drop_duplicates("source")["target"].sum() - 1.5 * sizes.sum()) < 1e-6
     for _, group in rows.groupby("source", dropna=False):
         assert group["source_size"].iloc[0] == group["size"].sum()
-        assert 0 <= group["target"].iloc[0] - group["taken"].sum() < 1
+        # Within half of the document at the border, and the part of a word that targets may have.
+        border = group["size"].max() / 2
+        assert abs(group["target"].iloc[0] - group["taken"].sum()) <= border + 1
+        assert (group["taken"] % group["size"].clip(lower=1) == 0).all()
     again = mixing.amounts(docs).toPandas().sort_values("doc_id").reset_index(drop=True)
     assert again.equals(rows[again.columns].sort_values("doc_id").reset_index(drop=True))
-    # The mixed rows have just these words, each copy starts its document.
+    # The mixed rows have just these words, each copy is its document.
     mixed = mixing.mix(docs).select("doc_id", "text", "shard", "place").toPandas()
     mixed["words"] = mixed["text"].map(lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t)))
     words = mixed.groupby("doc_id")["words"].sum()
     taken = rows.set_index("doc_id")["taken"]
     assert words.reindex(taken.index, fill_value=0).equals(taken.rename("words"))
     whole = rows.set_index("doc_id")["text"]
-    assert all(whole[i].startswith(t) for i, t in zip(mixed["doc_id"], mixed["text"]))
+    assert all((whole[i] or "") == (t or "") for i, t in zip(mixed["doc_id"], mixed["text"]))
     assert mixed["shard"].between(0, mixing.SHARDS - 1).all() and mixed["shard"].nunique() > 4
     assert mixed.groupby(["doc_id", "place"]).ngroups == len(mixed)
 
