@@ -10,12 +10,14 @@ a range of the feature's values. Values are then numbered and summed within buck
 of the buckets before are added: the candidates are those of one window over the whole feature.
 """
 
+import itertools
 import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from riskloom.operators import ranking as R
 
@@ -113,6 +115,141 @@ def best_splits(partials, keys=(), target=TARGET_CANDIDATES, bucketed=False):
       FROM ({_gains(candidates)}) GROUP BY {node})""", partials=partials)
 
 
+# --- runs of values ------------------------------------------------------------------------------
+
+RUNS = T.StructType([
+    T.StructField("slot", T.IntegerType()), T.StructField("feature", T.IntegerType()),
+    T.StructField("bucket", T.IntegerType()), T.StructField("data", T.BinaryType()),
+])
+_SUMS = ("cnt", "wgt", "pos")
+_MERGED = T.StructType([*RUNS, T.StructField("n", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in _SUMS]])
+_BEST_ROW = T.StructType([
+    T.StructField("slot", T.IntegerType()), T.StructField("feature", T.IntegerType()),
+    *[T.StructField(c, T.DoubleType()) for c in _BEST.split(", ")]])
+
+
+def packed_run(value, cnt, wgt, pos):
+    """Ascending values with their sums as one binary value."""
+    return np.stack([value, cnt, wgt, pos]).astype(np.float64).tobytes()
+
+
+def _merge(parts):
+    """One run of the runs of several tasks: (4, values)."""
+    runs = [np.frombuffer(p).reshape(4, -1) for p in parts]
+    if len(runs) == 1:
+        return runs[0]
+    together = np.concatenate(runs, axis=1)
+    together = together[:, np.argsort(together[0], kind="stable")]
+    first = np.flatnonzero(np.r_[True, together[0, 1:] != together[0, :-1]])
+    return np.vstack([together[:1, first], np.add.reduceat(together[1:], first, axis=1)])
+
+
+def _gini(pos, wgt):
+    share = np.divide(pos, wgt, out=np.zeros_like(pos), where=wgt > 0)
+    return np.where(wgt > 0, 1 - (share ** 2 + (1 - share) ** 2), 0.0)
+
+
+def _best_in_run(run, before, node, target):
+    """The best candidate of a run: the values in ``_BEST``, or None without a candidate.
+
+    ``before`` and ``node`` are (values, cnt, wgt, pos) ahead of the run and of the whole node.
+    """
+    step = max(int(node[0]) // target, 1)
+    at = np.arange(-int(before[0]) % step, run.shape[1], step)
+    if not len(at):
+        return None
+    cnt, wgt, pos = (np.cumsum(run[i])[at] + before[i] for i in (1, 2, 3))
+    _, node_cnt, node_wgt, node_pos = (np.array([float(x)]) for x in node)
+    mixed = (cnt * _gini(pos, wgt) + (node_cnt - cnt) * _gini(node_pos - pos, node_wgt - wgt)) / node_cnt
+    gain = np.where(cnt < node_cnt, np.round(_gini(node_pos, node_wgt) - mixed, GAIN_DIGITS), -1.0)
+    top = int(np.argmax(gain))
+    return [run[0, at[top]], gain[top], cnt[top], wgt[top], pos[top], node_cnt[0], node_wgt[0], node_pos[0]]
+
+
+def _keyed(batches, keys):
+    """(key, row dictionaries) of consecutive rows with equal keys."""
+    held, key = [], None
+    for batch in batches:
+        for row in batch.to_pylist():
+            here = tuple(row[k] for k in keys)
+            if here != key:
+                if held:
+                    yield key, held
+                held, key = [], here
+            held.append(row)
+    if held:
+        yield key, held
+
+
+def _batched(rows, schema, size=2_000):
+    """Record batches of the given rows."""
+    kinds = [to_arrow_type(f.dataType) for f in schema]
+    for part in iter(lambda: list(itertools.islice(rows, size)), []):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, type=k) for c, k in zip(zip(*part), kinds)], names=schema.fieldNames())
+
+
+def _best_of_nodes(target):
+    def run(batches):
+        def rows():
+            for key, held in _keyed(batches, ("slot", "feature")):
+                merged = _merge([r["data"] for r in held])
+                node = (merged.shape[1], *merged[1:].sum(axis=1))
+                yield (*key, *_best_in_run(merged, (0, 0.0, 0.0, 0.0), node, target))
+
+        yield from _batched(rows(), _BEST_ROW)
+
+    return run
+
+
+def _merged_buckets(batches):
+    def rows():
+        for key, held in _keyed(batches, ("slot", "feature", "bucket")):
+            merged = _merge([r["data"] for r in held])
+            yield (*key, merged.tobytes(), merged.shape[1], *merged[1:].sum(axis=1))
+
+    yield from _batched(rows(), _MERGED)
+
+
+def _best_of_buckets(target):
+    def run(batches):
+        def rows():
+            for r in (r for batch in batches for r in batch.to_pylist()):
+                merged = np.frombuffer(r["data"]).reshape(4, -1)
+                before, node = ([r[f"{side}_{c}"] for c in ("n", *_SUMS)] for side in ("before", "node"))
+                best = _best_in_run(merged, before, node, target)
+                if best is not None:
+                    yield (r["slot"], r["feature"], *best)
+
+        yield from _batched(rows(), _BEST_ROW)
+
+    return run
+
+
+def best_of_runs(runs, target=TARGET_CANDIDATES, bucketed=False):
+    """One row per (slot, feature) as ``best_splits`` has, from rows of RUNS: the same candidates.
+
+    A task's values of a node and feature travel as one binary run, so that Spark shuffles and sorts
+    runs and numpy merges them. With buckets (each a bounded part of a feature's values) runs merge
+    per bucket, totals of the buckets before are added, and the best of all buckets is taken.
+    """
+    node = ["slot", "feature"]
+    if not bucketed:
+        return runs.repartition(*node).sortWithinPartitions(*node).mapInArrow(_best_of_nodes(target), _BEST_ROW)
+    place = [*node, "bucket"]
+    merged = runs.repartition(*place).sortWithinPartitions(*place).mapInArrow(_merged_buckets, _MERGED)
+    whole = Window.partitionBy(*node)
+    earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = merged.select(*place, "n", *_SUMS)
+    offsets = totals.select(
+        *place, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"before_{c}") for c in ("n", *_SUMS)],
+        *[F.sum(c).over(whole).alias(f"node_{c}") for c in ("n", *_SUMS)])
+    best = merged.select(*place, "data").join(offsets, place).mapInArrow(_best_of_buckets(target), _BEST_ROW)
+    columns = F.struct(*_BEST_ROW.fieldNames()[2:])
+    return best.groupBy(*node).agg(F.max_by(columns, F.struct("gain", -F.col("value"))).alias("best")).select(
+        *node, "best.*")
+
+
 def value_cuts(long, width, rows_per_bucket=R.ROWS_PER_BUCKET):
     """Per feature the ascending cut points of its buckets; None if every feature fits one.
 

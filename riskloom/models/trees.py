@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from riskloom.models.base import Model, TrainingTable, shares, unpacked
-from riskloom.models.splits import MIN_GAIN, best_splits, value_cuts
+from riskloom.models.splits import MIN_GAIN, RUNS, best_of_runs, packed_run, value_cuts
 from riskloom.operators.ranking import ROWS_PER_BUCKET
 from riskloom.schemas import FEATURES, LABEL
 
 PURE = 1e-6
 _CHUNK = 100_000
+_RUN_KINDS = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()), T.StructField("node", T.IntegerType()),
@@ -28,13 +29,6 @@ NODE_SCHEMA = T.StructType([
     T.StructField("left", T.IntegerType()), T.StructField("right", T.IntegerType()),
     T.StructField("probability", T.DoubleType()), T.StructField("samples", T.LongType()),
 ])
-STATS_SCHEMA = T.StructType([
-    T.StructField("slot", T.IntegerType()), T.StructField("feature", T.IntegerType()),
-    T.StructField("bucket", T.IntegerType()), T.StructField("value", T.DoubleType()),
-    T.StructField("cnt", T.LongType()),
-    T.StructField("wgt", T.DoubleType()), T.StructField("pos", T.DoubleType()),
-])
-
 
 @dataclass
 class Nodes:
@@ -232,7 +226,7 @@ def _sum_by_key(keys, columns, size):
 
 
 def _level_pass(walk, tree_of_slot, by_node, subsets, cuts, width, weigh):
-    """Task function: sums by (slot, feature position, value) for the nodes that have a slot.
+    """Task function: runs of sums by value, per feature position of the nodes that have a slot.
 
     Within a chunk of rows values are replaced by their rank among the chunk's own values.
     """
@@ -245,7 +239,7 @@ def _level_pass(walk, tree_of_slot, by_node, subsets, cuts, width, weigh):
             for f in used:
                 levels[f], codes[:, f] = np.unique(x[:, f], return_inverse=True)
             slots = _Slots(tree_of_slot, by_node, subsets, [len(v) for v in levels])
-            weight, found, sums = weigh(x, y), [], []
+            weight, found = weigh(x, y), []
             for t in trees:
                 slot = slots.by_node[walk.node_of(x, t)]
                 times = np.ones(len(y)) if draws is None else draws[:, t].astype(float)
@@ -258,23 +252,10 @@ def _level_pass(walk, tree_of_slot, by_node, subsets, cuts, width, weigh):
                     keys = slots.start[slot[rows], position] + codes[rows, feature]
                     low, high = slots.span(t, position)
                     hit, total = _sum_by_key(keys - low, columns, high - low)
-                    found.append(hit + low)
-                    sums.append(total)
-            if not found:
-                continue
-            slot, position, code = slots.decode(np.concatenate(found))
-            feature = slots.feature_at[np.asarray(tree_of_slot)[slot], position]
-            edges = np.concatenate([[0], np.cumsum([len(v) for v in levels])])
-            value = np.concatenate(levels)[edges[feature] + code]
-            bucket = np.zeros(len(value), np.int32)
-            if cuts:
-                ranges = np.concatenate([np.searchsorted(c, v) for c, v in zip(cuts, levels)])
-                bucket = ranges[edges[feature] + code].astype(np.int32)
-            cnt, wgt, pos = (np.concatenate([s[i] for s in sums]) for i in range(3))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(slot, pa.int32()), pa.array(position, pa.int32()), pa.array(bucket),
-                pa.array(value), pa.array(np.rint(cnt).astype(np.int64)), pa.array(wgt), pa.array(pos),
-            ], STATS_SCHEMA.names)
+                    found += slots.runs(t, position, hit + low, total, levels[feature], cuts and cuts[feature])
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=k) for c, k in zip(zip(*found), _RUN_KINDS)], RUNS.fieldNames())
 
     return run
 
@@ -285,28 +266,34 @@ class _Slots:
     def __init__(self, tree_of_slot, by_node, subsets, sizes):
         self.tree_of_slot, self.by_node = tree_of_slot, by_node
         positions = max(len(s) for s in subsets)
-        self.feature_at = np.array([[*s, *[0] * (positions - len(s))] for s in subsets])
         self.start = np.full((len(tree_of_slot), positions), -1, dtype=np.int64)
-        self._spans, blocks, at = {}, [], 0
+        self._spans, at = {}, 0
         for t in sorted(set(self.tree_of_slot)):
             mine = [s for s, owner in enumerate(self.tree_of_slot) if owner == t]
             for position, feature in enumerate(subsets[t]):
                 low = at
                 for s in mine:
                     self.start[s, position] = at
-                    blocks.append((at, s, position))
                     at += sizes[feature]
                 self._spans[(t, position)] = (low, at)
-        self._first = np.array([b[0] for b in blocks])
-        self._slot = np.array([b[1] for b in blocks])
-        self._position = np.array([b[2] for b in blocks])
 
     def span(self, tree, position):
         return self._spans[(tree, position)]
 
-    def decode(self, keys):
-        block = np.searchsorted(self._first, keys, side="right") - 1
-        return self._slot[block], self._position[block], keys - self._first[block]
+    def runs(self, tree, position, keys, sums, levels, cuts):
+        """Rows of RUNS from the ascending ``keys`` of a tree's feature and the sums at them."""
+        mine = [s for s, owner in enumerate(self.tree_of_slot) if owner == tree]
+        starts = self.start[mine, position]
+        edges = np.append(np.searchsorted(keys, starts), len(keys))
+        for slot, start, a, b in zip(mine, starts, edges[:-1], edges[1:]):
+            if a == b:
+                continue
+            values = levels[keys[a:b] - start]
+            bucket = np.searchsorted(cuts, values) if cuts else np.zeros(b - a, np.int64)
+            parts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+            for c, d in zip(parts[:-1], parts[1:]):
+                yield slot, position, int(bucket[c]), packed_run(
+                    values[c:d], np.rint(sums[0][a + c:a + d]), sums[1][a + c:a + d], sums[2][a + c:a + d])
 
 
 def fit_nodes(table, trees, max_depth, min_split, subsets, weigh):
@@ -320,9 +307,9 @@ def fit_nodes(table, trees, max_depth, min_split, subsets, weigh):
         by_node[open_nodes] = np.arange(len(open_nodes))
         level = _level_pass(nodes.arrays(), [nodes.tree[n] for n in open_nodes], by_node, subsets,
                             table.cuts, len(table.names), weigh)
-        partials = table.blocks.mapInArrow(level, STATS_SCHEMA)
+        partials = table.blocks.mapInArrow(level, RUNS)
         best = {}
-        for r in best_splits(partials, ["slot"], bucketed=bool(table.cuts)).collect():  # one row per open node and feature
+        for r in best_of_runs(partials, bucketed=bool(table.cuts)).collect():  # one row per open node and feature
             kept = best.get(r["slot"])
             if kept is None or (r["gain"], -r["feature"]) > (kept["gain"], -kept["feature"]):
                 best[r["slot"]] = r
