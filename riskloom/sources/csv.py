@@ -9,18 +9,12 @@ from pyspark.sql import functions as F, types as T
 from riskloom.functions import parsing as P
 from riskloom.functions.status import parse_status
 from riskloom.schemas import APPLICATION_COLUMNS, APPLICATION_RAW, CREDIT_RAW
+from riskloom.sources.records import quoted_records
 
 _CORRUPT = "_corrupt"
 _QUOTED = r'"(?:[^"]|"")*"'
 
 
-def _reader(spark, multiline):
-    return (
-        spark.read.option("header", True).option("escape", '"').option("columnPruning", False)
-        .option("multiLine", multiline)
-    )
-
-
 def _field_count(line):
     """Fields of a raw CSV line: separators outside quotes, plus one."""
     bare = F.regexp_replace(line, _QUOTED, "")
@@ -76,42 +70,47 @@ def type_credit_records(raw):
     ).where(F.col("customer_id").isNotNull() & F.col("months_balance").isNotNull())
 
 
-def has_quoted_line_breaks(spark, path):
-    """Whether a line holds an odd number of quotes: then records go over several lines."""
-    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
-    return bool(spark.read.text(path).where(quotes % 2 == 1).take(1))
+def _raw(spark, path, schema):
+    """Text columns of ``schema``, with the line of a row of the wrong width and the file order.
 
+    Files without line breaks inside quotes go to Spark's reader line by line. With such breaks the
+    records are put together first, in as many tasks as the files have splits.
+    """
+    schema = T.StructType([*schema, T.StructField(_CORRUPT, T.StringType())])
+    records = quoted_records(spark, path)
+    if records is None:
+        return (
+            spark.read.option("header", True).option("escape", '"').option("columnPruning", False)
+            .schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
+            .withColumn("file_order", file_order()))
+    parsed = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), {
+        "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return records.select(parsed.alias("r"), F.struct("file", "block", "line").alias("file_order")).select(
+        "r.*", "file_order")
 
-def _raw_applications(spark, path, multiline):
-    if multiline is None:
-        multiline = has_quoted_line_breaks(spark, path)
-    schema = T.StructType(APPLICATION_RAW.fields + [T.StructField(_CORRUPT, T.StringType())])
-    return (
-        _reader(spark, multiline).schema(schema).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
-        .withColumn("file_order", file_order())
-    )
+
+def _raw_applications(spark, path):
+    return _raw(spark, path, APPLICATION_RAW)
 
 
 def _wide_enough():
     return F.col(_CORRUPT).isNull() | (_field_count(F.col(_CORRUPT)) >= len(APPLICATION_COLUMNS))
 
 
-def read_applications(spark, path, multiline=None):
+def read_applications(spark, path):
     """Applications with a ``file_order`` column for :func:`dedupe_keep_last`.
 
     Rows with fewer than 18 fields or without a valid id are left to
-    :func:`read_rejected_applications`, surplus fields ignored. ``multiline`` admits line breaks
-    inside quotes, at the price of one task per file; None looks whether the files have any.
+    :func:`read_rejected_applications`, surplus fields ignored. Quoted fields may hold line breaks.
     """
-    raw = _raw_applications(spark, path, multiline)
+    raw = _raw_applications(spark, path)
     return type_applications(raw.where(_wide_enough()).drop(_CORRUPT))
 
 
-def read_rejected_applications(spark, path, multiline=None):
+def read_rejected_applications(spark, path):
     """(reason, id, line) of the rows that :func:`read_applications` leaves out; the line is kept
     where its width is wrong."""
-    raw = _raw_applications(spark, path, multiline)
+    raw = _raw_applications(spark, path)
     reason = F.when(~_wide_enough(), F.lit("fewer than 18 fields")).when(
         P.parse_number(F.coalesce(F.col("ID"), F.lit("")), "bigint").isNull(), F.lit("no valid id"))
     return raw.select(reason.alias("reason"), F.col("ID").alias("id"), F.col(_CORRUPT).alias("line"),
@@ -119,9 +118,9 @@ def read_rejected_applications(spark, path, multiline=None):
         F.col("reason").isNotNull()).select("reason", "id", "line")
 
 
-def read_credit_records(spark, path, multiline=None):
+def read_credit_records(spark, path):
     """Bureau records; a row that does not have exactly three fields fails the load."""
-    if multiline is None:
-        multiline = has_quoted_line_breaks(spark, path)
-    raw = _reader(spark, multiline).schema(CREDIT_RAW).option("mode", "FAILFAST").csv(path)
-    return type_credit_records(raw)
+    raw = _raw(spark, path, CREDIT_RAW)
+    ragged = F.raise_error(F.concat(F.lit("not three fields: "), F.col(_CORRUPT))).cast("string")
+    return type_credit_records(raw.withColumn(
+        "ID", F.when(F.col(_CORRUPT).isNotNull(), ragged).otherwise(F.col("ID"))))

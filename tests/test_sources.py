@@ -210,3 +210,56 @@ def test_edge_history(spark):
     assert got[2].total_months_observed == 2 and got[2].recent_delinquency_rate_6m == 0.0
     assert got[2].is_bad_customer and got[2].max_severity == 3.0 and got[2].months_since_last_delinquency == 10
     assert got[3].recent_delinquency_rate_6m == 1.0 and got[3].delinquency_rate == 0.5
+
+
+def _quoted_application(i, job):
+    return f'{i},M,Y,N,0,100.5,Working,Higher,"Married, ""yes""",House,-9000,-100,1,0,1,0,{job},2.0'
+
+
+@pytest.mark.parametrize("split_bytes", [300, 1000, 10**7])
+def test_quoted_line_breaks_over_splits(spark, tmp_path, split_bytes):
+    """Two files in splits of a few lines: every record once, in order, whatever the splits cut."""
+    jobs = ["Cook", '"Lab\nassistant"', '"a ""b"",\n\n"","" c\nd"', '5" pipes', '"x"', "", '"' + "long\n" * 40 + '"']
+    want = {}
+    for number in range(2):
+        ids = range(number * 100, number * 100 + 60)
+        lines = [_quoted_application(i, jobs[i % len(jobs)]) for i in ids]
+        lines[7:7] = ["", "7,M"]
+        (tmp_path / f"part{number}.csv").write_text("\n".join([",".join(APPLICATION_COLUMNS), *lines]) + "\n")
+        plain = {'"Lab\nassistant"': "Lab\nassistant", '"a ""b"",\n\n"","" c\nd"': 'a "b",\n\n"," c\nd', '"x"': "x", "": None,
+                 jobs[6]: "long\n" * 40}
+        want |= {i: plain.get(jobs[i % len(jobs)], jobs[i % len(jobs)]) for i in ids}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        df = csv.read_applications(spark, str(tmp_path))
+        rows = df.orderBy("file_order").collect()
+        assert [r.customer_id for r in rows] == list(want)
+        assert {r.customer_id: r.occupation_type for r in rows} == want
+        assert csv.read_rejected_applications(spark, str(tmp_path)).count() == 2
+        if split_bytes < 1000:
+            assert df.rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_stray_quote_joins_no_lines(spark, tmp_path):
+    path = tmp_path / "credit.csv"
+    path.write_text('ID,MONTHS_BALANCE,STATUS\n1,0,2"\n2,-1,C\n3,-2,"X"\n')
+    rows = csv.read_credit_records(spark, str(path)).orderBy("customer_id").collect()
+    assert [(r.customer_id, r.status_raw) for r in rows] == [(1, '2"'), (2, "C"), (3, "X")]
+    path.write_text('ID,MONTHS_BALANCE,STATUS\n1,0,"a\nb"\n2,-1\n')
+    with pytest.raises(Exception, match="not three fields"):
+        csv.read_credit_records(spark, str(path)).select("customer_id").collect()
+
+
+def test_ends_inside():
+    from riskloom.sources.records import ends_inside
+
+    for line, outside, inside in [
+        ("a,b", False, True), ('a,"b"', False, False), ('a,"b', True, False), ('"', True, False), ('""', False, True),
+        ('"""', True, False), ('5" x,"y"', False, False), ('a,"b ""c"', False, False), ("", False, True), ('x",y', False, False),
+        ('x",y,"', True, True),
+    ]:
+        assert ends_inside(line, False) == outside, line
+        assert ends_inside(line, True) == inside, line
