@@ -1,16 +1,13 @@
 """Reporting marts, the latest-score join, portfolio views and constraint checks."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from riskloom.functions import demographics as D, status as S
-from riskloom.operators import ranking as R
 from riskloom.operators.features import with_history
 from riskloom.operators.history import summarize_history
 from riskloom.schemas import (
     MART_APPLICATIONS, MART_BUREAU, MART_SCORES, MART_SUMMARY, TEXT_LENGTHS)
-from riskloom.sources.tables import null_violations, rows_absent, typed
+from riskloom.sources.tables import in_order, typed
 
 PROFILE_APPLICATION = [
     "customer_id", "gender", "age_years", "employment_years", "annual_income",
@@ -49,20 +46,22 @@ def mart_credit_summary(apps, records):
     return typed(summary.join(apps.select("customer_id"), "customer_id", "left_semi"), MART_SUMMARY)
 
 
-def mart_bureau_records(records, start=0):
-    """Every bureau month with its severity. Record ids go on from ``start`` by customer, and within
-    one by a hash of the row: the same records always get the same ids."""
+def bureau_months(records):
+    """Every bureau month with its severity, without an id."""
     code = F.col("status")
-    months = records.withColumn("_tie", F.xxhash64(*records.columns))
-    ranked = R.distributed_rank(months, "customer_id", "_tie", rank="_rank")
-    return typed(ranked.select(
-        (F.col("_rank") + start).alias("record_id"),
+    return records.select(
         "customer_id", "months_balance",
         code.alias("status_code"),
         S.severity(code).alias("severity_level"),
         S.is_past_due(code).alias("is_past_due"),
         S.is_severe(code).alias("is_severe_delinquency"),
-    ), MART_BUREAU)
+    )
+
+
+def mart_bureau_records(records, start=0):
+    """Every bureau month with its severity; record ids go on from ``start`` in the order of the
+    records, without a sort: the same files read in the same splits always get the same ids."""
+    return typed(in_order(bureau_months(records), "record_id", start)[0], MART_BUREAU)
 
 
 def newest_scores(log, columns=PROFILE_SCORE):
@@ -129,56 +128,56 @@ def create_views(apps, summary, log):
     portfolio_kpis(apps, summary, log).createOrReplaceTempView("v_portfolio_risk_kpis")
 
 
-def _count(name, df):
-    return df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations")
+def _flags(name, df, schema):
+    """{rule: condition that a row breaks it} for the columns that ``df`` has."""
+    rules = {f"{name}.{f.name} is not null": F.col(f.name).isNull()
+             for f in schema.fields if not f.nullable and f.name in df.columns}
+    rules.update({f"{name}.{c} has at most {n} characters": F.length(c) > n
+                  for c, n in TEXT_LENGTHS.get(name, {}).items() if c in df.columns})
+    return rules
 
 
-def _duplicates(name, df, key):
-    return _count(name, df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+def _by_key(df, key, rules, prefix):
+    """One row per key: its rows and how many of them break each rule, from a single scan."""
+    return df.groupBy(F.col(key).alias("key")).agg(
+        F.count(F.lit(1)).alias(f"{prefix}n"),
+        *[F.count(F.when(broken, 1)).alias(f"{prefix}{i}") for i, broken in enumerate(rules.values())])
 
 
-def _nulls(name, df, schema):
-    present = [f for f in schema.fields if f.name in df.columns]
-    counts = null_violations(df, type(schema)(present))
-    pairs = F.array(*[
-        F.struct(F.lit(f"{name}.{c} is not null").alias("rule"), F.col(c).alias("violations"))
-        for c in counts.columns
-    ])
-    return counts.select(F.inline(pairs))
+def _totals(keyed, sums):
+    """(rule, violations) of a table of keys, all in one aggregation."""
+    pairs = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(f"v{i}").alias("violations"))
+                      for i, rule in enumerate(sums)])
+    return keyed.agg(*[F.coalesce(F.sum(column), F.lit(0)).cast("long").alias(f"v{i}")
+                       for i, column in enumerate(sums.values())]).select(F.inline(pairs))
 
 
-def _too_long(name, df):
-    """Texts longer than their column allows."""
-    lengths = {c: n for c, n in TEXT_LENGTHS[name].items() if c in df.columns}
-    if not lengths:
-        return None
-    counts = df.agg(*[F.count(F.when(F.length(c) > n, 1)).alias(c) for c, n in lengths.items()])
-    pairs = F.array(*[
-        F.struct(F.lit(f"{name}.{c} has at most {n} characters").alias("rule"), F.col(c).alias("violations"))
-        for c, n in lengths.items()])
-    return counts.select(F.inline(pairs))
+def _sums(name, key, rules, prefix):
+    """What to add up over the keys for each rule of a table."""
+    return {f"{name}.{key} is unique": (F.col(f"{prefix}n") > 1).cast("int"),
+            **{rule: F.col(f"{prefix}{i}") for i, rule in enumerate(rules)}}
 
 
 def check_constraints(apps, summary, scores, bureau=None):
     """(rule, violations): keys that repeat, orphans, missing values, long texts, scores out of
-    range; with ``bureau`` its keys and values too."""
-    checks = [
-        _duplicates("applications.customer_id is unique", apps, "customer_id"),
-        _duplicates("customer_credit_summary.customer_id is unique", summary, "customer_id"),
-        _duplicates("credit_scores.score_id is unique", scores, "score_id"),
-        _count("customer_credit_summary.customer_id is in applications",
-               rows_absent(summary.select("customer_id"), apps)),
-        _count("credit_scores.credit_score is in 300..850",
-               scores.where(~F.col("credit_score").between(300, 850))),
-        _nulls("applications", apps, MART_APPLICATIONS),
-        _nulls("customer_credit_summary", summary, MART_SUMMARY),
-        _nulls("credit_scores", scores, MART_SCORES),
-    ]
-    tables = {"applications": apps, "credit_scores": scores}
+    range; with ``bureau`` its keys and values too.
+
+    Every table is read once: its rows are counted by key together with the rules they break. The
+    two tables with a row per customer then meet on that key, already dealt by it.
+    """
+    app_rules = _flags("applications", apps, MART_APPLICATIONS)
+    sum_rules = _flags("customer_credit_summary", summary, MART_SUMMARY)
+    customers = _by_key(apps, "customer_id", app_rules, "a").join(
+        _by_key(summary, "customer_id", sum_rules, "s"), "key", "full")
+    found = _totals(customers, {
+        **_sums("applications", "customer_id", app_rules, "a"),
+        **_sums("customer_credit_summary", "customer_id", sum_rules, "s"),
+        "customer_credit_summary.customer_id is in applications": F.when(F.col("an").isNull(), F.col("sn"))})
+    score_rules = {**_flags("credit_scores", scores, MART_SCORES),
+                   "credit_scores.credit_score is in 300..850": ~F.col("credit_score").between(300, 850)}
+    logs = [("credit_scores", scores, "score_id", score_rules)]
     if bureau is not None:
-        tables["credit_bureau_records"] = bureau
-        checks += [
-            _duplicates("credit_bureau_records.record_id is unique", bureau, "record_id"),
-            _nulls("credit_bureau_records", bureau, MART_BUREAU)]
-    checks += [found for name, df in tables.items() if (found := _too_long(name, df)) is not None]
-    return reduce(lambda a, b: a.unionByName(b), checks)
+        logs.append(("credit_bureau_records", bureau, "record_id", _flags("credit_bureau_records", bureau, MART_BUREAU)))
+    for name, df, key, rules in logs:
+        found = found.unionByName(_totals(_by_key(df, key, rules, "r"), _sums(name, key, rules, "r")))
+    return found

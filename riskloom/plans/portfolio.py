@@ -1,5 +1,6 @@
 """From the two raw files to features, models and the reporting tables."""
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from riskloom.operators.scoring import RULE_MODEL_VERSION, rule_scores
 from riskloom.plans import marts
 from riskloom.schemas import MART_APPLICATIONS, MART_BUREAU, MART_SCORES, MART_SUMMARY, TEXT_LENGTHS
 from riskloom.sources.csv import read_applications, read_credit_records
-from riskloom.sources.tables import new_scores, rows_absent, typed, write_mart
+from riskloom.sources.tables import id_start, in_order, new_scores, rows_absent, typed, write_mart
 
 
 def load(spark, applications_path, credit_path):
@@ -49,8 +50,8 @@ def refresh_marts(spark, apps, records, target, load, scored_at=None):
     """Append a load to the four mart tables under ``target``; returns their paths.
 
     Customers that a table already has keep their rows, and only new rows are written: a load is one
-    partition. Bureau records and scores are logs, each load adds its own with ids that go on.
-    Repeating a load replaces its partition.
+    partition. Bureau records and scores are logs, each load adds its own with ids that go on from
+    a table of id blocks, without a look at the logs. Repeating a load replaces its partition.
     """
     root = target.rstrip("/")
 
@@ -60,15 +61,15 @@ def refresh_marts(spark, apps, records, target, load, scored_at=None):
     def put(name, rows):
         write_mart(rows, f"{root}/{name}/load={load}", TABLES[name], lengths=TEXT_LENGTHS[name])
 
-    def last(name, key):
-        return old(name).agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-
     put("applications", rows_absent(marts.mart_applications(apps, records), old("applications")))
-    put("credit_bureau_records", marts.mart_bureau_records(records, last("credit_bureau_records", "record_id")))
-    matched = marts.mart_credit_summary(apps, records)
+    months, rows = in_order(marts.bureau_months(records), "record_id")
+    start = id_start(spark, root, "credit_bureau_records", load, rows)
+    put("credit_bureau_records", months.withColumn("record_id", F.col("record_id") + start))
+    matched = marts.mart_credit_summary(apps, records).persist(StorageLevel.MEMORY_AND_DISK)
     put("customer_credit_summary", rows_absent(matched, old("customer_credit_summary")))
-    put("credit_scores", new_scores(
-        rule_scores(matched), RULE_MODEL_VERSION, last("credit_scores", "score_id"), scored_at))
+    start = id_start(spark, root, "credit_scores", load, matched.count())
+    put("credit_scores", new_scores(rule_scores(matched), RULE_MODEL_VERSION, start, scored_at))
+    matched.unpersist()
     marts.create_views(*[read_mart(spark, root, n) for n in (
         "applications", "customer_credit_summary", "credit_scores")])
     return {name: f"{root}/{name}" for name in TABLES}

@@ -1,9 +1,14 @@
 """Typed mart tables: inserts that keep existing rows, the append-only score log, Parquet."""
 
-from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Window, functions as F
 
 from riskloom.operators import ranking as R
 from riskloom.schemas import MART_SCORES
+from riskloom.session import scratch_path
+
+#: Partitions whose row counts go to every task.
+BROADCAST_PARTS = 200_000
 
 
 def rows_absent(new, target, key="customer_id"):
@@ -56,10 +61,49 @@ def typed(df, schema):
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def null_violations(df, schema):
-    """One row: per required column the number of rows that miss it."""
-    required = [f.name for f in schema.fields if not f.nullable]
-    return df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in required])
+def in_order(df, column, start=0):
+    """(``df`` with ``column``, number of rows): numbers from ``start`` + 1, by partition and row.
+
+    The rows are written once with their place in their task's partition; the counts of the
+    partitions before are added when they are read again. Nothing is sorted or shuffled.
+    """
+    path = scratch_path(df.sparkSession, "numbered")
+    df.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path)
+    part = F.shiftright("_place", 33)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).persist()
+    rows, parts = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count(F.lit(1))).first()
+    # One row per task that wrote.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    if parts <= BROADCAST_PARTS:
+        offsets = F.broadcast(offsets)
+    numbered = placed.withColumn("_part", part).join(offsets, "_part").select(
+        (F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + 1 + start).alias(column), *df.columns)
+    return numbered, rows
+
+
+def id_start(spark, root, name, load, rows):
+    """The last id before a load's own ids, from a small table of id blocks beside the marts.
+
+    A block (first id, rows) per table and load is kept under ``root``, so that no log is read to go
+    on with its ids. A load that is repeated keeps its block if its rows fit it or nothing follows it;
+    else it gets a new one. One load writes at a time.
+    """
+    table = f"{root}/_id_blocks"
+    schema = "first long, rows long, table string, load int"
+    try:
+        blocks = spark.read.schema(schema).parquet(table).where(F.col("table") == name).collect()  # a row per load
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        blocks = []
+    own = next((b for b in blocks if b["load"] == load), None)
+    end = max((b["first"] + b["rows"] for b in blocks if b["load"] != load), default=1)
+    first = own["first"] if own and (own["first"] >= end or rows <= own["rows"]) else end
+    spark.createDataFrame([(first, rows)], "first long, rows long").coalesce(1).write.mode("overwrite").parquet(
+        f"{table}/table={name}/load={load}")
+    return first - 1
 
 
 def _checked(field, length):

@@ -63,3 +63,18 @@ def test_constraints_find_each_violation(spark):
     assert got["credit_scores.score_id is unique"] == 1
     assert got["credit_scores.credit_score is in 300..850"] == 1
     assert "credit_scores.scored_at is not null" not in got
+
+
+def test_every_table_is_checked_in_one_scan(spark, tmp_path):
+    from riskloom.plans.portfolio import TABLES, empty_table
+
+    tables = []
+    for name, schema in TABLES.items():
+        empty_table(spark, schema).write.parquet(str(tmp_path / name))
+        tables.append(spark.read.parquet(str(tmp_path / name)))
+    apps, bureau, summary, scores = tables
+    found = marts.check_constraints(apps, summary, scores, bureau)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 4
+    rows = found.collect()
+    assert len(rows) > 40 and {r.violations for r in rows} == {0}

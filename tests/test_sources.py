@@ -263,3 +263,21 @@ def test_ends_inside():
     ]:
         assert ends_inside(line, False) == outside, line
         assert ends_inside(line, True) == inside, line
+
+
+def test_rows_are_numbered_in_order_without_a_sort(spark):
+    df = spark.range(0, 1000, 1, 7).where("id % 3 > 0")
+    numbered, rows = tables.in_order(df, "n", 100)
+    got = sorted((r.id, r.n) for r in numbered.collect())
+    assert rows == len(got) and [n for _, n in got] == list(range(101, 101 + rows))
+    assert tables.in_order(df.limit(0), "n")[0].collect() == []
+
+
+def test_id_blocks_go_on_and_loads_keep_theirs(spark, tmp_path):
+    start = lambda load, rows, name="t": tables.id_start(spark, str(tmp_path), name, load, rows)
+    assert start(1, 10) == 0 and start(2, 5) == 10 and start(1, 3, "other") == 0
+    assert start(2, 9) == 10    # the last load may grow in place
+    assert start(1, 4) == 0     # fewer rows fit the old block
+    assert start(3, 1) == 19
+    assert start(1, 12) == 20   # grown in the middle: a new block
+    assert start(4, 1) == 32
