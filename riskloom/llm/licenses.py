@@ -7,7 +7,9 @@ Texts are compared as words: A-Z lower-cased, words are runs of other characters
 ones outside 0-9 and a-z, joined by single blanks.
 """
 
+import bisect
 import functools
+import heapq
 
 import ahocorasick
 import numpy as np
@@ -66,24 +68,60 @@ def word_table():
     return bytes(table)
 
 
+class _Covered:
+    """A growing union of closed ranges, asked whether a range meets it."""
+
+    def __init__(self):
+        self.starts, self.ends = [], []
+
+    def add(self, ranges):
+        starts, ends = [], []
+        for a, z in sorted([*zip(self.starts, self.ends), *ranges]):
+            if starts and a <= ends[-1]:
+                ends[-1] = max(z, ends[-1])
+            else:
+                starts.append(a)
+                ends.append(z)
+        self.starts, self.ends = starts, ends
+
+    def meets(self, a, z):
+        at = bisect.bisect_right(self.starts, z)
+        return at > 0 and self.ends[at - 1] >= a
+
+
 def best(places):
     """Of {(label, first, last): errors} those that overlap none with fewer errors, in order."""
-    kept = []
-    for (label, first, last), errors in sorted(places.items(), key=lambda x: (x[1], x[0][1], x[0])):
-        if not any(e < errors and f <= last and first <= z for (_, f, z), e in kept):
-            kept.append(((label, first, last), errors))
+    kept, fewer = [], _Covered()
+    for errors in sorted(set(places.values())):
+        level = [k for k, e in places.items() if e == errors and not fewer.meets(k[1], k[2])]
+        kept += [(k, errors) for k in level]
+        fewer.add([k[1:] for k in level])
     return sorted(kept, key=lambda x: (x[0][1], x[0]))
 
 
-def matches(pattern, words, start, end):
-    """The best match of the stretch, then those of the stretches on its left and on its right."""
-    stretches = [(start, end)]
-    while stretches:
-        a, b = stretches.pop()
-        match = pattern.search(words, a, b)
-        if match:
-            yield match
-            stretches += [(match.end(), b), (a, match.start())]
+def matches(pattern, words, windows, least=1):
+    """(start, end, errors) of matches inside the windows that do not overlap: those with the fewest
+    errors first, then the leftmost. What a match leaves of its or another window is searched again,
+    if ``least`` characters are left."""
+    heap = []
+
+    def look(*stretches):
+        for a, b in stretches:
+            if b - a >= least and (match := pattern.search(words, a, b)):
+                heapq.heappush(heap, (sum(match.fuzzy_counts), match.start(), match.end(), a, b))
+
+    look(*windows)
+    starts, ends = [], []
+    while heap:
+        errors, start, end, a, b = heapq.heappop(heap)
+        at = bisect.bisect_left(starts, end)
+        if at and ends[at - 1] > start:  # meets a better one
+            look((a, starts[at - 1]), (ends[at - 1], b))
+            continue
+        starts.insert(at, start)
+        ends.insert(at, end)
+        look((a, start), (end, b))
+        yield start, end, errors
 
 
 class Search:
@@ -107,34 +145,46 @@ class Search:
         self.table, self.any_seed = word_table(), bool(seeds)
 
     def exact(self, words):
-        """(label, first word, errors 0, words) of every phrase in blank-joined words."""
+        """(label, first word, last word) of every phrase in blank-joined words."""
+        blanks = None
         for phrase, label in self.phrases:
             at = words.find(phrase)
             while at >= 0:
-                first = words.count(b" ", 0, at)
+                if blanks is None:
+                    blanks = np.flatnonzero(np.frombuffer(words, np.uint8) == 32)
+                first = int(np.searchsorted(blanks, at))
                 yield label, first, first + phrase.count(b" ") - 2
                 at = words.find(phrase, at + 1)
 
-    def fuzzy(self, words):
-        """(label, first word, last word, errors) of the notices, verified around exact pieces."""
-        windows = {}
+    def windows(self, words):
+        """{notice: stretches} around exact pieces; pieces of one occurrence share a stretch."""
+        out = {}
         for end, (length, uses) in self.seeds.iter(words):
             for number, place in uses:
-                _, _, size, errors = self.notices[number]
-                start = end - length + 1 - place
+                out.setdefault(number, []).append(end - length + 1 - place)
+        for number, starts in out.items():
+            _, _, size, errors = self.notices[number]
+            stretches = []
+            for start in sorted(set(starts)):
                 a, b = max(0, start - errors - 1), start + size + errors + 1
-                mine = windows.setdefault(number, [])
-                if mine and a <= mine[-1][1]:
-                    mine[-1][1] = max(b, mine[-1][1])
+                if stretches and start <= stretches[-1][2] + 2 * errors:
+                    stretches[-1][1] = b
                 else:
-                    mine.append([a, b])
-        for number, places in windows.items():
-            pattern, label, _, _ = self.notices[number]
-            for a, b in places:
-                for match in matches(pattern, words, a, b):
-                    first = words.count(" ", 0, match.start()) - 1
-                    last = first + match.group().strip().count(" ")
-                    yield label, first, last, sum(match.fuzzy_counts)
+                    stretches.append([a, b, start])
+            out[number] = [(a, b) for a, b, _ in stretches]
+        return out
+
+    def fuzzy(self, words):
+        """(label, first word, last word, errors) of the notices, verified around exact pieces."""
+        windows = self.windows(words)
+        if not windows:
+            return
+        blanks = np.flatnonzero(np.frombuffer(words.encode("utf-32-le"), np.uint32) == 32)
+        for number, stretches in windows.items():
+            pattern, label, size, allowed = self.notices[number]
+            for start, end, errors in matches(pattern, words, stretches, size - allowed):
+                first = int(np.searchsorted(blanks, start)) - 1
+                yield label, first, first + words[start:end].strip().count(" "), errors
 
     def block(self, texts):
         data, edges = flat(texts)
@@ -149,7 +199,7 @@ class Search:
                  for label, f, z in self.exact(joined)), key=lambda s: (s["first_word"], s["label"])))
             mine = {}
             if self.any_seed:
-                for label, f, z, errors in self.fuzzy(joined.decode("latin-1")):
+                for label, f, z, errors in self.fuzzy(joined.decode()):
                     mine[label, f, z] = min(errors, mine.get((label, f, z), errors))
             found.append([{"label": k[0], "first_word": k[1], "last_word": k[2], "errors": e}
                           for k, e in best(mine)])
