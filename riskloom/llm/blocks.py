@@ -5,6 +5,8 @@ of bounded size (a text longer than a block is a block of its own and is never c
 made once per task turns a block into new columns.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
@@ -13,6 +15,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 BLOCK_BYTES = 2 << 20
 
 
+def release():
+    """Give memory that a task has freed back to the system: its worker lives on beside others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def filled(texts):
     """The Arrow column with empty texts for nulls."""
     if isinstance(texts, pa.ChunkedArray):
@@ -65,6 +75,14 @@ def blocks(batch, column, size=BLOCK_BYTES):
         first = last
 
 
+def unused(df, name):
+    """``name``, or that with underscores behind it, as no column of ``df`` is called in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_text_columns(df, ddl, start, text="text", drop=(), size=BLOCK_BYTES):
     """``df`` with the columns of ``ddl``, computed from the texts.
 
@@ -75,7 +93,7 @@ def with_text_columns(df, ddl, start, text="text", drop=(), size=BLOCK_BYTES):
     added = T.StructType.fromDDL(ddl)
     gone = {f.name.lower() for f in added} | {d.lower() for d in drop}
     kept = [f for f in df.schema if f.name.lower() not in gone]
-    source = df.select(*[f"`{f.name}`" for f in kept], df[text].alias("_the_text"))
+    source = df.select(*[f"`{f.name}`" for f in kept], df[text].alias(unused(df, "_the_text")))
     schema = T.StructType(kept + list(added))
     kinds = [to_arrow_type(f.dataType) for f in added]
     names = schema.fieldNames()
@@ -88,5 +106,8 @@ def with_text_columns(df, ddl, start, text="text", drop=(), size=BLOCK_BYTES):
                 columns = [part.column(i) for i in range(len(kept))]
                 columns += [pa.array(c, type=k) for c, k in zip(made, kinds)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+                made = columns = None
+        compute = None
+        release()
 
     return source.mapInArrow(run, schema)

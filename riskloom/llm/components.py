@@ -7,7 +7,7 @@ formed before the shuffle, so a node with very many edges costs one row per task
 
 from pyspark.sql import functions as F
 
-from riskloom.llm.scratch import kept_once
+from riskloom.llm.scratch import discard, kept_once
 
 
 def _downward(edges):
@@ -39,6 +39,8 @@ def components(edges, name="edges"):
         if state == before or not state[0]:
             break
         before = state
-        stars = kept_once(_downward(_small_star(_downward(_large_star(stars)))), name)
+        after = kept_once(_downward(_small_star(_downward(_large_star(stars)))), name)
+        discard(stars)
+        stars = after
     roots = stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

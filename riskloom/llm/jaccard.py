@@ -19,9 +19,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from riskloom.llm.blocks import flat, with_text_columns
+from riskloom.llm.blocks import flat, release, with_text_columns
 from riskloom.llm.components import components
-from riskloom.llm.scratch import kept_once
+from riskloom.llm.scratch import discard, kept_once
 from riskloom.llm.shingles import minhashes, shingle_sets
 
 PLACES, RUNS, SAMPLED = 64, 3, 3
@@ -32,8 +32,8 @@ SMALL_BUCKET, BLOCK = 256, 8_192
 EXACT_ROWS, EXACT_TOKENS = 4_096, 3_000_000
 #: Depth of the recursion; deeper buckets are compared in blocks, as alike ones are.
 DEEPEST = 10
-#: Candidate rows up to which their ids are sent to every task instead of shuffling the texts.
-BROADCAST_ROWS = 200_000
+#: Rows (id and hash) up to which they are sent to every task instead of shuffling the texts.
+BROADCAST_ROWS = 1_000_000
 _COLUMNS = 2_048
 
 
@@ -45,7 +45,7 @@ def signatures(docs):
         counts = np.diff(edges)
         keys = [xxhash.xxh128_digest(hashes[a:b].tobytes()) if b > a else None
                 for a, b in zip(edges[:-1], edges[1:])]
-        return [keys, counts, [row.astype("<u2").tobytes() for row in places]]
+        return [keys, counts, [row.astype("<u4").tobytes() for row in places]]
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return with_text_columns(
@@ -53,7 +53,7 @@ def signatures(docs):
 
 
 def _token(place):
-    return F.expr(f"substring(tokens, 2 * ({place}) + 1, 2)")
+    return F.expr(f"substring(tokens, 4 * ({place}) + 1, 4)")
 
 
 def _roots():
@@ -69,7 +69,7 @@ def _children():
 
 
 def _sized(rows):
-    """``rows`` (path, key, tokens) of buckets with two rows or more, with their size."""
+    """``rows`` (path, key and more) of buckets with two rows or more, with their size."""
     sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return rows.join(sizes, "path")
 
@@ -119,7 +119,7 @@ def _candidates(buckets):
         left, right = [], []
         for rows in _groups(batches, ("bucket", "key", "tokens")):
             keys = [r[1] for r in rows]
-            tokens = np.frombuffer(b"".join(r[2] for r in rows), "<u2").reshape(len(rows), PLACES)
+            tokens = np.frombuffer(b"".join(r[2] for r in rows), "<u4").reshape(len(rows), PLACES)
             for a, b in spanning(tokens):
                 left.append(keys[a])
                 right.append(keys[b])
@@ -141,10 +141,10 @@ def _blocked(rows):
 
 def candidate_links(sets):
     """Links between keys of ``sets`` (key, tokens) that share enough tokens, of all runs."""
-    rows = sets.select(F.explode(_roots()).alias("path"), "key", "tokens")
+    # Most sets share no root with any other: only those that do are given their tokens.
+    rows = kept_once(_sized(sets.select(F.explode(_roots()).alias("path"), "key")).join(sets, "key"), "paths")
     found = []
     for depth in range(DEEPEST + 1):
-        rows = kept_once(_sized(rows), "paths")
         small = rows.filter(F.col("size") <= SMALL_BUCKET).select(
             "path", F.lit(0).alias("low"), F.lit(0).alias("high"), "key", "tokens")
         large = rows.filter(F.col("size") > SMALL_BUCKET)
@@ -166,8 +166,11 @@ def candidate_links(sets):
         open_ = work.filter("not alike")
         if not open_.take(1):
             break
-        rows = large.join(open_, "path", "left_semi").select(
-            F.explode(F.array(*_children())).alias("path"), "key", "tokens")
+        deeper = kept_once(_sized(large.join(open_, "path", "left_semi").select(
+            F.explode(F.array(*_children())).alias("path"), "key", "tokens")), "paths")
+        discard(rows, work)
+        rows = deeper
+    discard(rows)
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
@@ -238,6 +241,8 @@ def _exact(members):
         for rows in _groups(batches, names):
             _, low, high = rows[0][:3]
             same = low == high
+            # Rows that repeat id and text are one set: the first stands for all.
+            rows = list({(r[3], r[4]): r for r in reversed(rows)}.values())
             left = [r for r in rows if r[3] == low]
             right = left if same else [r for r in rows if r[3] == high]
             if not left or not right or (same and len(left) < 2):
@@ -259,6 +264,7 @@ def _exact(members):
                 yield _exact_batch(keys, counts, others)
                 keys, counts, others = [], [], []
         yield _exact_batch(keys, counts, others)
+        release()
 
     return placed.select("unit", "low", "high", "mine", "key", "copies", "shingles").repartition(
         "unit").sortWithinPartitions("unit").mapInArrow(compare, "key binary, links long, other binary")
@@ -294,7 +300,9 @@ def classes(docs):
         F.min(F.struct("doc_id", "text_hash")).alias("sample"),
         F.max("n_shingles").alias("n_shingles"), F.max("tokens").alias("tokens"))
     sets = kept_once(sets, "sets")
-    groups = kept_once(components(candidate_links(sets.select("key", "tokens")), "candidates"), "groups")
+    links = kept_once(candidate_links(sets.select("key", "tokens")), "candidates")
+    groups = kept_once(components(links, "candidates"), "groups")
+    discard(links)
 
     # Blocks of each group: as many as its rows and its shingles ask for.
     known = groups.join(sets.drop("tokens"), groups["node"] == sets["key"]).drop("node")
@@ -305,14 +313,13 @@ def classes(docs):
         "root", "blocks", "key", "copies", F.col("sample.doc_id").alias("_id"),
         F.col("sample.text_hash").alias("_hash"))
     members = kept_once(members, "members")
+    discard(groups)
     texts = docs.withColumn("_text_hash", F.xxhash64("text"))
     chosen = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
     shingled = _shingled(texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["_id"]) & (
         texts["_text_hash"] == chosen["_hash"])).select("root", "blocks", "key", "copies", "text"))
     dealt = shingled.withColumn("mine", F.expr("cast(pmod(xxhash64(key), blocks) as int)")).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # Rows that repeat id and text are one set: the first stands for all.
-    dealt = dealt.dropDuplicates(["root", "key", "with"])
     exact = kept_once(_exact(dealt.select(
         "root", F.least("mine", "with").alias("low"), F.greatest("mine", "with").alias("high"),
         "mine", "key", "copies", "shingles")), "exact")
@@ -343,14 +350,19 @@ def one_of_each(docs):
     found = kept_once(classes(docs), "classes")
     same = found.filter(F.col("key").isNotNull()).groupBy("class_key", "doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("rows"))
-    chosen = same.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_hash", "rows")).alias("one")).select(
-        F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash"), F.col("one.rows").alias("_rows"))
-    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    on = hashed["doc_id"].eqNullSafe(chosen["_id"]) & (hashed["_text_hash"] == chosen["_hash"])
-    kept = hashed.join(chosen.filter("_rows = 1"), on, "left_semi").select(*docs.columns)
-    # Rows that repeat id and text: few, and only these are compared whole.
-    repeated = hashed.join(chosen.filter("_rows > 1"), on).select(
-        F.struct(*[hashed[c] for c in docs.columns]).alias("row"), chosen["_id"].alias("id"),
-        chosen["_hash"].alias("hash")).dropDuplicates(["id", "hash"]).select("row.*")
-    wordless = docs.filter(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    return kept.unionByName(repeated).unionByName(wordless)
+    chosen = same.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    own = F.struct("doc_id", "text_hash") == F.col("one")
+    # Rows that go, and those that repeat id and text, of which one stays.
+    apart = kept_once(same.join(chosen, "class_key").filter(~own | (F.col("rows") > 1)).select(
+        "doc_id", "text_hash", own.alias("stays")), "apart")
+    discard(found)
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].alias("id"),
+                       F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("hash"))
+    listed = F.broadcast(apart) if apart.count() <= BROADCAST_ROWS else apart
+    on = rows["id"].eqNullSafe(listed["doc_id"]) & (rows["hash"] == listed["text_hash"])
+    kept = rows.join(listed, on, "left_anti").select("row.*")
+    repeated = apart.filter("stays")
+    if not repeated.limit(1).count():
+        return kept
+    on = rows["id"].eqNullSafe(repeated["doc_id"]) & (rows["hash"] == repeated["text_hash"])
+    return kept.unionByName(rows.join(repeated, on, "left_semi").dropDuplicates(["id", "hash"]).select("row.*"))

@@ -1,10 +1,22 @@
 """Tables written once and read again, in the folder that the cluster shares."""
 
-from riskloom.session import scratch_path
+import weakref
+
+from riskloom.session import remove_scratch, scratch_path
+
+_PATHS = weakref.WeakKeyDictionary()
 
 
 def kept_once(df, name):
     """``df`` as a Parquet table in the shared folder: computed once, and safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def discard(*tables):
+    """Delete tables of ``kept_once`` that nothing will read again: what was made of them is written."""
+    for table in tables:
+        remove_scratch(table.sparkSession, _PATHS.pop(table))

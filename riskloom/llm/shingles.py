@@ -55,12 +55,12 @@ def shingle_sets(data, edges, words=WORDS):
 
 
 def minhashes(tokens, edges, places, seed=29):
-    """Array (texts, places) of 16-bit minhashes; 0 for empty sets."""
+    """Array (texts, places) of 32-bit minhashes; 0 for empty sets."""
     draw = np.random.default_rng(seed)
     factors = draw.integers(1, 1 << 32, places, np.uint32) | np.uint32(1)
     shifts = draw.integers(0, 1 << 32, places, np.uint32)
     filled = np.flatnonzero(np.diff(edges) > 0)
-    out = np.zeros((len(edges) - 1, places), np.uint16)
+    out = np.zeros((len(edges) - 1, places), np.uint32)
     if not len(filled):
         return out
     short = (tokens >> np.uint64(32)).astype(np.uint32)
@@ -69,5 +69,5 @@ def minhashes(tokens, edges, places, seed=29):
         values ^= values >> np.uint32(15)
         values *= np.uint32(0x2C1B3C6D)
         least = np.minimum.reduceat(values, edges[:-1][filled])
-        out[filled, i] = (least * np.uint32(0x9E3779B1)) >> np.uint32(16)
+        out[filled, i] = least * np.uint32(0x9E3779B1)
     return out

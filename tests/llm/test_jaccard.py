@@ -116,3 +116,15 @@ def test_components(spark):
     found = {r["node"]: r["root"] for r in components.components(edges).collect()}
     assert found == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 130)}, 200: 200, 201: 200}
     assert components.components(edges.limit(0)).count() == 0
+
+
+def test_one_of_each_with_repeated_rows_and_clashing_names(spark, monkeypatch):
+    rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (2, "a b c d e f", "y"), (3, "", "z"), (3, "", "z"),
+            (None, "g h i j k", "n"), (4, "g h i j k", "o"), (5, "only once here", "p"), (None, None, "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _text_hash string")
+    want = sorted([(1, "a b c d e f", "x"), (3, "", "z"), (3, "", "z"), (None, "g h i j k", "n"), (5, "only once here", "p"),
+                   (None, None, "q")], key=str)
+    for limit in (jaccard.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(jaccard, "BROADCAST_ROWS", limit)
+        assert sorted(map(tuple, jaccard.one_of_each(df).collect()), key=str) == want
+    assert jaccard.one_of_each(df.limit(0)).collect() == []
