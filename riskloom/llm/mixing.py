@@ -177,23 +177,24 @@ def amounts(docs, shards=SHARDS, seed=17):
         F.array_join(F.transform("_shards", lambda s: s.cast("string")), ",").alias("shards"))
 
 
-def mix(docs, shards=SHARDS, seed=17):
-    """The mixed corpus: a row for each copy of a document, with its ``shard`` and ``place``.
+def mix(docs, shards=SHARDS, seed=17, shard="shard", place="place"):
+    """The mixed corpus: a row for each copy of a document, with its ``shard`` and ``place`` (under
+    these names or others).
 
     Keeps all columns of ``docs`` (with doc_id, source and text); texts are whole. Rows of a shard are shuffled by ``place``, a hash
-    of the row and the copy. Columns named shard and place are replaced. Repeated rows are mixed as
+    of the row and the copy. Columns with the names of these two are replaced. Repeated rows are mixed as
     rows of their own.
     """
-    mine = [c for c in docs.columns if c.lower() not in ("shard", "place")]
+    mine = [c for c in docs.columns if c.lower() not in (shard.lower(), place.lower())]
     # The row travels as one column, so that its names meet none of the plan's.
     full = sized(docs.select("doc_id", "source", "text", F.struct(*mine).alias("_row")), seed)
     narrow = kept_once(full.select("_key", "_size", "_hash", "_block"), "sized")
     block_plan, _ = plan(narrow, shards, seed)
     rows = takes(full, block_plan).select("*", F.posexplode("_shards").alias("_copy", "shard"))
     return rows.select(
-        "_row.*", "shard", F.xxhash64(F.lit(seed + 4), "_hash", "_copy").alias("place"))
+        "_row.*", F.col("shard").alias(shard), F.xxhash64(F.lit(seed + 4), "_hash", "_copy").alias(place))
 
 
-def shuffled(mixed):
+def shuffled(mixed, shard="shard", place="place"):
     """The mixed rows in shard files' order: one shard per partition at most, shuffled inside."""
-    return mixed.repartition("shard").sortWithinPartitions("shard", "place")
+    return mixed.repartition(shard).sortWithinPartitions(shard, place)

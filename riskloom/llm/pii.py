@@ -14,7 +14,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from riskloom.llm.blocks import with_text_columns
+from riskloom.llm.blocks import unused, with_text_columns
 from riskloom.llm.scratch import kept_once
 from riskloom.llm.tagger import PAD, Tagger, symbols
 
@@ -390,5 +390,6 @@ def mask(df, weights, text="text"):
 
         return block
 
-    masked = with_text_columns(df, "_masked string", start, text)
-    return masked.withColumn(text, F.when(F.col(text).isNotNull(), F.col("_masked"))).drop("_masked")
+    made = unused(df, "_masked")
+    masked = with_text_columns(df, f"`{made}` string", start, text)
+    return masked.withColumn(text, F.when(F.col(text).isNotNull(), F.col(made))).drop(made)

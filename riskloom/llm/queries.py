@@ -10,10 +10,14 @@ def _documents(spark, sf_dir, *columns):
 
 
 def op1_fingerprints(spark, sf_dir):
+    """Fingerprint of every text and of its edited text, with the likeness to these and to the next
+    document; null texts are empty ones, null ids come last in the order of documents."""
     return fingerprints.compare_with_edits(_documents(spark, sf_dir, "doc_id", "text"))
 
 
 def op2_license_scan(spark, sf_dir):
+    """Licence phrases and notices of every text. Null and empty texts have no words, spans or labels
+    and a score of 0; the score falls with the errors of the best span."""
     found = licenses.scan(_documents(spark, sf_dir, "doc_id", "text"), drop=["text"])
     places = F.transform("phrases", lambda s: s["first_word"])
     both = F.concat("phrases", "notices")
@@ -34,6 +38,7 @@ def op2_license_scan(spark, sf_dir):
 
 
 def op3_secret_scan(spark, sf_dir):
+    """Secrets of every text: the fixed patterns and novel strings. Null and empty texts have none."""
     found = secrets.scan(_documents(spark, sf_dir, "doc_id", "text"), drop=["text"])
     base = spans.of_kinds(F.col("secrets"), secrets.KINDS[:3])
     return found.select(
@@ -43,10 +48,13 @@ def op3_secret_scan(spark, sf_dir):
 
 
 def op4_bpe(spark, sf_dir):
+    """Token ids of every text and the text they decode to, as digests; null texts are empty ones."""
     return bpe.digests(_documents(spark, sf_dir, "doc_id", "text"))
 
 
 def op5_mixing(spark, sf_dir):
+    """Words of every document that a mix of all sources takes: whole copies of it, none or up to two.
+    Null texts have no words; a null source is a source of its own."""
     return mixing.amounts(_documents(spark, sf_dir, "doc_id", "source", "text"))
 
 
@@ -68,12 +76,14 @@ def quality_weights(spark, sf_dir, docs):
 
 
 def op6_quality_classifier(spark, sf_dir):
+    """Quality score of every text; null and empty texts are scored as empty ones."""
     docs = _documents(spark, sf_dir, "doc_id", "text")
     scored = quality.score(docs, quality_weights(spark, sf_dir, docs), drop=["text"])
     return _predictions(scored, sampling.fold(F.col("doc_id"), 3) == 1)
 
 
 def op7_toxicity(spark, sf_dir):
+    """Toxicity score of every text, 0.5 being the threshold of its language; null texts as empty ones."""
     docs, labels = _documents(spark, sf_dir, "doc_id", "text"), _labels(spark, sf_dir)
     weights = toxicity.train(docs, labels, sampling.fold(labels["doc_id"], 5) != 0)
     scored = toxicity.score(docs, weights, drop=["text"])
@@ -81,6 +91,8 @@ def op7_toxicity(spark, sf_dir):
 
 
 def op8_quality_rules(spark, sf_dir):
+    """Measures and failed rules of every text under policy v2; null and empty texts have no words
+    and fail the base rules."""
     rows = rules.apply_policy(rules.ledger(_documents(spark, sf_dir, "doc_id", "text")), "v2")
     base = rules.mask(rules.BASE)
     return rows.select(
@@ -89,16 +101,19 @@ def op8_quality_rules(spark, sf_dir):
 
 
 def op9_pii(spark, sf_dir):
+    """Personal data of every text: the fixed patterns and the tagger's spans. Null and empty texts
+    have none. ``n_spans`` counts all spans."""
     docs = _documents(spark, sf_dir, "doc_id", "text")
     found = pii.scan(docs, pii.train(docs), drop=["text"])
     base = F.filter("personal", lambda s: s["base"])
     return found.select(
         "doc_id", *[spans.count_kind(base, k).alias(f"n_{k}") for k in pii.KINDS],
         F.sha2(spans.as_text(base), 256).alias("base_sha256"),
-        spans.as_text(F.col("personal")).alias("spans"))
+        spans.as_text(F.col("personal")).alias("spans"), F.size("personal").cast("long").alias("n_spans"))
 
 
 def op10_jaccard_join(spark, sf_dir):
+    """Class and number of links of every document; one without words is a class of its own."""
     return jaccard.join(_documents(spark, sf_dir, "doc_id", "text"))
 
 

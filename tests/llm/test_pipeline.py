@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from riskloom.llm import pii
 from riskloom.llm.scratch import kept_once
@@ -26,7 +28,8 @@ def test_stages(spark, sf):
     def words(table):
         return sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in table.collect())
 
-    assert 1.45 < words(mixed) / words(masked) < 1.5001
+    # Whole documents: every source ends within half of one from its target.
+    assert 1.4 < words(mixed) / words(masked) < 1.6
     rows = tokens.collect()
     assert len(rows) == mixed.count() and all(r["intact"] and r["n_tokens"] == len(r["ids"]) for r in rows)
 
@@ -35,5 +38,15 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_stages_keep_columns_with_clashing_names(spark, sf):
+    names = ["_quality", "_text_hash", "_masked", "_THE_TEXT", "shard", "place", "row", "key"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).withColumns(
+        {n: F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")) for n in names})
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        docs = kept_once(stage(spark, docs, sf), f"clash{number}")
+    rows = docs.collect()
+    assert rows and all(r[n] == f"{n} of {r['doc_id']}" for r in rows for n in names)
