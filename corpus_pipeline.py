@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import riskloom
 from riskloom.llm import bpe, jaccard, mixing, pii, quality, queries
+from riskloom.llm.blocks import unused
 from riskloom.llm.scratch import kept_once
 from riskloom.session import ship_package
 
@@ -25,33 +26,48 @@ def _with_length(docs):
 
 
 def quality_stage(spark, docs, sf_dir):
-    """Documents whose quality score is below 0.5 go; null texts are scored as empty ones."""
+    """Documents whose quality score is below 0.5 go; null texts are scored as empty ones.
+
+    Repeated rows get equal scores; an empty table stays empty. In this stage as in the next three
+    the columns of the documents stay as they are, whatever further ones are called.
+    """
     _shipped(spark)
-    scored = quality.score(docs, queries.quality_weights(spark, sf_dir, docs), column="_quality")
-    return scored.filter(F.col("_quality") >= 0.5).select(*docs.columns)
+    column = unused(docs, "_quality")
+    scored = quality.score(docs, queries.quality_weights(spark, sf_dir, docs), column=column)
+    return scored.filter(F.col(column) >= 0.5).select(*docs.columns)
 
 
 def near_duplicates_stage(spark, docs, sf_dir):
-    """Of each class of linked documents the one with the least id stays."""
+    """Of each class of linked documents the one with the least id stays.
+
+    A null id comes before others. Rows that repeat id and text are one document; texts without words,
+    null ones included, are linked to none and all stay.
+    """
     _shipped(spark)
     return jaccard.one_of_each(docs)
 
 
 def personal_data_stage(spark, docs, sf_dir):
-    """Personal data are replaced by their kind."""
+    """Personal data are replaced by their kind; a null text stays null, with a null length."""
     _shipped(spark)
     return _with_length(pii.mask(docs, pii.train(docs))).select(*docs.columns)
 
 
 def mixing_stage(spark, docs, sf_dir):
-    """A row for each copy that the mix takes, in shuffled shards; documents it does not take go."""
+    """A row for each copy that the mix takes, in shuffled shards; documents it does not take go.
+
+    Texts are whole. Null and empty texts have no words, so a mix by words takes a copy of them only
+    where a source is taken whole. Repeated rows are mixed as rows of their own.
+    """
     _shipped(spark)
-    mixed = mixing.shuffled(mixing.mix(docs, shards=None))
+    names = {"shard": unused(docs, "shard"), "place": unused(docs, "place")}
+    mixed = mixing.shuffled(mixing.mix(docs, shards=None, **names), **names)
     return _with_length(mixed).select(*docs.columns)
 
 
 def tokens_stage(spark, docs, sf_dir):
-    """Token ids of each row, their number, and whether they decode to the same text."""
+    """Token ids of each row, their number, and whether they decode to the same text; a null or empty
+    text has none. Other columns go."""
     _shipped(spark)
     return bpe.encode(docs.select("doc_id", "lang", "source", "text"), intact="intact").select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "intact")
