@@ -33,7 +33,7 @@ def filled(texts):
 def flat(texts):
     """(bytes of all texts one after the other, first byte of each and the end): no copy is made."""
     texts = filled(texts)
-    wide = pa.types.is_large_string(texts.type)
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     _, ends, data = texts.buffers()
     edges = np.frombuffer(ends, dtype=np.int64 if wide else np.int32)[
         texts.offset:texts.offset + len(texts) + 1].astype(np.int64)

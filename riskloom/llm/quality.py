@@ -3,22 +3,22 @@
 A text is cut into overlapping chunks that cover all of it. Filters over byte embeddings slide
 along every chunk and are max-pooled there. The chunk vectors are combined by their mean and their
 range (a text that repeats itself has chunks alike), and a small layer gives one probability.
-Texts are the only input.
+The network learns from every labelled text; texts are the only input.
 """
 
 import numpy as np
 import pyarrow as pa
 
-from riskloom.llm.blocks import flat, with_text_columns
-from riskloom.llm.sampling import Adam, batches, fit_in_one_task, labelled_sample
+from riskloom.llm.blocks import flat, ragged, running, with_text_columns
+from riskloom.llm.rounds import Rows
 
 CHUNK, STEP = 256, 192
 WIDTH, HOP = 8, 2
 EMBEDDING, FILTERS, HIDDEN = 4, 16, 16
 PAD = 256
-#: Bound of the labelled rows that the network learns from.
-PER_CLASS = 1_200
-STEPS = 700
+BATCH, RATE = 48, 0.01
+#: Chunks of a batch that are filtered at once.
+BATCH_CHUNKS = 2_048
 _GROUP = 64
 
 
@@ -130,26 +130,44 @@ class Network:
         grads["bytes"] = d_bytes
         return grads
 
-    def fit(self, texts, y, weight, steps=STEPS, batch=48, rate=0.01, seed=1):
-        data, edges = flat(pa.array(texts, pa.large_string()))
+
+def prepared(texts):
+    """(the bytes of the texts, zeros): the form in which the fit keeps them."""
+    return texts.cast(pa.binary()), np.zeros(len(texts), np.int32)
+
+
+def _gradients(weights):
+    """For ``Rows.fit``."""
+    network = Network(weights)
+
+    def block(data, edges):
         owner, start, end = chunk_ranges(edges)
-        first = np.searchsorted(owner, np.arange(len(texts) + 1))
-        sizes = np.diff(edges)
-        draw, adam = np.random.default_rng(seed), Adam(self.w, rate)
-        for picked, done in batches(draw, np.arange(len(texts)), batch, steps):
-            chunks = np.concatenate([np.arange(first[i], first[i + 1]) for i in picked])
-            names = np.repeat(np.arange(len(picked)), first[picked + 1] - first[picked])
-            rows = chunk_bytes(data, start[chunks], end[chunks])
-            grads = self.gradients(rows, names, sizes[picked], y[picked], weight[picked])
-            adam.step(grads, 1 - 0.9 * done)
-        return self.w
-
-
-def train(docs, labels, rows, label="quality", per_class=PER_CLASS):
-    """Weights learnt from at most ``per_class`` texts of each class among the label rows that the
-    condition ``rows`` allows; {} if there are none."""
-    sample = labelled_sample(docs, labels, label, rows, per_class)
-    return fit_in_one_task(sample, lambda texts, y, weight: Network().fit(texts, y, weight))
+        first, sizes = np.searchsorted(owner, np.arange(len(edges))), np.diff(edges)
+
+        def step(picked, y):
+            counts, total = first[picked + 1] - first[picked], {}
+            # Long texts are filtered a few at a time; the step is that of the whole batch.
+            piece = running(counts)[:-1] // BATCH_CHUNKS
+            for number in np.unique(piece):
+                mine = np.flatnonzero(piece == number)
+                chunks = ragged(first[picked[mine]], counts[mine])
+                rows = chunk_bytes(data, start[chunks], end[chunks])
+                names = np.repeat(np.arange(len(mine)), counts[mine])
+                grads = network.gradients(rows, names, sizes[picked[mine]], y[mine], np.ones(len(mine)))
+                for name, g in grads.items():
+                    total[name] = total.get(name, 0) + g * np.float32(len(mine) / len(picked))
+            return total
+
+        return step
+
+    return block
+
+
+def train(docs, labels, rows, label="quality"):
+    """Weights learnt from the texts of all label rows that the condition ``rows`` allows; {} if there
+    are none."""
+    with Rows(docs, labels, label, rows, prepared) as table:
+        return table.fit(Network().w, _gradients, BATCH, RATE, seed=1) if len(table) else {}
 
 
 def score(df, weights, text="text", column="score", drop=()):

@@ -1,11 +1,9 @@
-"""Bounded samples of labelled texts, and models as rows of weights."""
+"""Folds, bounded samples of labelled texts, and gradient steps."""
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
-WEIGHTS_DDL = "name string, shape array<int>, data binary"
-#: Training leaves out longer texts, to bound the memory of the one task that learns.
+#: The bounded sample leaves out longer texts.
 LONGEST_TRAINING_TEXT = 100_000
 
 
@@ -38,29 +36,6 @@ def labelled_sample(docs, labels, label, rows, per_class):
         F.min("text").alias("text"), F.max("y").alias("y"), F.max("weight").alias("weight"))
 
 
-def fit_in_one_task(sample, fit):
-    """The weights that ``fit(texts, y, weights)`` returns, {name: array}; only they leave the task.
-
-    ``fit`` sees the bounded sample in a fixed order. {} without rows.
-    """
-    def run(frames):
-        rows = pd.concat(list(frames), ignore_index=True)
-        if not len(rows):
-            return
-        rows = rows.sort_values("doc_id", kind="stable")
-        weights = fit(rows["text"].tolist(), rows["y"].to_numpy(float), rows["weight"].to_numpy(float))
-        yield pd.DataFrame({
-            "name": list(weights), "shape": [list(w.shape) for w in weights.values()],
-            "data": [np.asarray(w, "<f4").tobytes() for w in weights.values()]})
-
-    rows = sample.coalesce(1).mapInPandas(run, WEIGHTS_DDL).collect()
-    return unpack(rows)
-
-
-def unpack(rows):
-    return {r["name"]: np.frombuffer(r["data"], "<f4").reshape(r["shape"]).copy() for r in rows}
-
-
 def batches(draw, rows, size, steps):
     """(batch, part of the way done) for ``steps`` batches of shuffled passes over ``rows``."""
     queue = rows[:0]

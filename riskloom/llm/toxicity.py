@@ -2,26 +2,30 @@
 
 Words are hashed into rows of an embedding table, each with a second row for its first bytes, which
 related words share; the vector of a word is the sum of both. Filters of several widths slide over the
-words and are max-pooled over the whole text; a logistic layer gives log odds. On rows kept apart from
-the fit a threshold is calibrated for each language, which is told from the text's own function
-words; the score is shifted so that 0.5 is the threshold. Texts are the only input.
+words and are max-pooled over the whole text; a logistic layer gives log odds. The network learns from
+every labelled text, both classes weighing the same in all, except for the fifth of the rows on which a
+threshold is calibrated for each language, which is told from the text's own function words; the score
+is shifted so that 0.5 is the threshold. Texts are the only input.
 """
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from riskloom.llm.blocks import flat, running, with_text_columns
 from riskloom.llm.licenses import word_table
-from riskloom.llm.sampling import Adam, batches, fit_in_one_task, labelled_sample
+from riskloom.llm.rounds import Rows, every_block
 
 BITS, PREFIX = 16, 4
 ROWS = 1 << BITS  # row ROWS is the empty word: padding and words too rare to learn
 EMBEDDING, WIDTHS, FILTERS = 8, (1, 2, 3), 8
 #: Words in fewer training texts share the empty row.
 RARE = 4
-#: Bound of the labelled rows that the network learns from.
-PER_CLASS = 2_000
-STEPS, CALIBRATION = 1_100, 5
+BATCH, RATE, CALIBRATION = 32, 0.01, 5
+#: Words of a batch that are embedded at once.
+BATCH_WORDS = 100_000
+#: Log odds are counted in cells of this width for the thresholds.
+CELL = 1 / 256
 
 #: Function words by language; other texts count as the first.
 FUNCTION_WORDS = {
@@ -168,36 +172,60 @@ class Network:
         grads["words"] = d_words
         return grads
 
-    def fit(self, texts, y, weight, steps=STEPS, batch=32, rate=0.01, seed=2):
-        words, edges = hashed_words(*flat(pa.array(texts, pa.large_string())))
-        owner = np.repeat(np.arange(len(texts)), np.diff(edges))
-        pairs = np.unique(words.ravel() * np.int64(len(texts)) + np.repeat(owner, 2))
-        rare = np.bincount(pairs // len(texts), minlength=ROWS + 1) < RARE
-        self.w["words"][rare] = 0
-        kept = np.where(rare[words], ROWS, words)
-        draw, adam = np.random.default_rng(seed), Adam(
-            {n: w for n, w in self.w.items() if n != "thresholds"}, rate)
-        order = draw.permutation(len(texts))
-        apart, fitted = order[::CALIBRATION], np.delete(order, np.s_[::CALIBRATION])
-
-        def rows(picked):
-            lengths = edges[picked + 1] - edges[picked]
-            parts = [kept[edges[i]:edges[i + 1]] for i in picked]
-            return np.concatenate(parts) if parts else kept[:0], running(lengths)
-
-        for picked, done in batches(draw, fitted, batch, steps):
-            grads = self.gradients(*rows(picked), y[picked], np.ones(len(picked)))
-            adam.step(grads, 1 - 0.9 * done)
-        if len(apart):
-            z = self.log_odds(*rows(apart))
-            self.w["thresholds"] = thresholds(
-                z, y[apart], weight[apart], languages(words, edges)[apart])
-        return self.w
+
+def prepared(texts):
+    """(table rows of the words as binary values, language numbers) of an Arrow column of texts."""
+    words, edges = hashed_words(*flat(texts))
+    data = words.astype(np.uint16)
+    return [data[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], languages(words, edges)
+
+
+def _words(data, edges, rare=None):
+    words = data.view(np.uint16).reshape(-1, 2).astype(np.int64)
+    return words if rare is None else np.where(rare[words], ROWS, words), edges // 4
+
+
+def _texts_with(data, edges):
+    """By table row the number of texts that have it."""
+    words, edges = _words(data, edges)
+    owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    pairs = np.unique(words.ravel() * np.int64(len(edges)) + np.repeat(owner, 2))
+    return np.bincount(pairs // len(edges), minlength=ROWS + 1)
+
+
+def _gradients(rare, balance):
+    """For ``Rows.fit``; ``balance`` is the weight of a row by class."""
+    def start(weights):
+        network = Network(weights)
+
+        def block(data, edges):
+            words, firsts = _words(data, edges, rare)
+
+            def step(picked, y):
+                weight, total = balance[y.astype(int)], {}
+                sizes = firsts[picked + 1] - firsts[picked]
+                # Long texts are embedded a few at a time; the step is that of the whole batch.
+                piece = running(sizes)[:-1] // BATCH_WORDS
+                for number in np.unique(piece):
+                    mine = np.flatnonzero(piece == number)
+                    parts = [words[firsts[i]:firsts[i + 1]] for i in picked[mine]]
+                    grads = network.gradients(
+                        np.concatenate(parts), running(sizes[mine]), y[mine], weight[mine])
+                    share = weight[mine].sum() / weight.sum()
+                    for name, g in grads.items():
+                        total[name] = total.get(name, 0) + g * np.float32(share)
+                return total
+
+            return step
+
+        return block
+
+    return start
 
 
 def thresholds(z, y, weight, language):
     """By language the log odds between which and the next the fewest weighted errors fall; the
-    one of all languages where a language has fewer than 20 rows of either class."""
+    one of all languages where a language has fewer than 20 rows (by weight) of either class."""
     def best(rows):
         order = np.argsort(z[rows], kind="stable")
         at, good = z[rows][order], (y[rows] * weight[rows])[order]
@@ -213,16 +241,39 @@ def thresholds(z, y, weight, language):
     out = np.full(len(FUNCTION_WORDS), common, np.float32)
     for number in range(len(FUNCTION_WORDS)):
         rows = everything[language == number]
-        if min(y[rows].sum(), (1 - y[rows]).sum()) >= 20:
+        if min((y * weight)[rows].sum(), ((1 - y) * weight)[rows].sum()) >= 20:
             out[number] = best(rows)
     return out
 
 
-def train(docs, labels, rows, label="toxic", per_class=PER_CLASS):
-    """Weights learnt from at most ``per_class`` texts of each class among the label rows that the
-    condition ``rows`` allows; {} if there are none."""
-    sample = labelled_sample(docs, labels, label, rows, per_class)
-    return fit_in_one_task(sample, lambda texts, y, weight: Network().fit(texts, y, weight))
+def train(docs, labels, rows, label="toxic"):
+    """Weights learnt from the texts of all label rows that the condition ``rows`` allows; {} if there
+    are none."""
+    with Rows(docs, labels, label, rows, prepared, CALIBRATION) as table:
+        if not len(table):
+            return {}
+        # An empty class has no rows to weigh.
+        balance = np.array([table.fitted() / (2 * max(1, table.fitted(y))) for y in (0, 1)])
+        rare = table.summed(_texts_with, ROWS + 1) < RARE
+        weights = Network().w
+        weights["words"][rare] = 0
+        cuts = weights.pop("thresholds")
+        weights = table.fit(weights, _gradients(rare, balance), BATCH, RATE, seed=2)
+        weights["thresholds"] = cuts
+        weights["thresholds"] = _calibrated(table, weights, rare)
+    return weights
+
+
+def _calibrated(table, weights, rare):
+    """Thresholds on all rows kept apart, which are counted by cells of log odds."""
+    def cells(y, language, data, edges):
+        z = Network(weights).log_odds(*_words(data, edges, rare))
+        return np.round(np.clip(z, -50, 50) / CELL).astype(np.int64), y.astype(np.int64), language
+
+    counts = every_block(table.table.where("apart"), cells, "cell long, y long, language long").groupBy(
+        "cell", "y", "language").agg(F.count(F.lit(1)).alias("n")).orderBy("cell", "y", "language").collect()
+    cell, y, language, n = np.array([tuple(r) for r in counts], float).reshape(-1, 4).T
+    return thresholds(cell * CELL, y, n, language)
 
 
 def score(df, weights, text="text", column="score", drop=()):
