@@ -5,22 +5,14 @@ of bounded size (a text longer than a block is a block of its own and is never c
 made once per task turns a block into new columns.
 """
 
-import ctypes
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-BLOCK_BYTES = 2 << 20
-
+from riskloom.functions.memory import release
 
-def release():
-    """Give memory that a task has freed back to the system: its worker lives on beside others."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+BLOCK_BYTES = 2 << 20
 
 
 def filled(texts):
