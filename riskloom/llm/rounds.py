@@ -25,6 +25,8 @@ ROUND_STEPS = 120
 #: Weights averaged in one group.
 PIECE = 16_384
 BLOCK_BYTES = 2 << 20
+#: Bits by which texts without a label are left out before the shuffle: bits per label, least and most.
+ROOM, LEAST_BITS, MOST_BITS = 32, 1 << 22, 1 << 26
 _CHANGES = "part int, name string, piece int, data binary"
 _PREPARED = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("y", T.IntegerType()),
@@ -32,9 +34,20 @@ _PREPARED = T.StructType([
     T.StructField("data", T.BinaryType())])
 
 
-def _known(labels, label, rows):
-    return labels.filter(rows & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy(
-        "doc_id").agg(F.max(label).alias("y"))
+def _likely(docs, known, ids):
+    """The rows of ``docs`` whose id is one of the ``ids`` different ones of ``known``, and few others.
+
+    Bits of the ids' hashes stand in bitmaps of 4 KB, ``MOST_BITS`` in all at most, which are broadcast.
+    A row passes by chance with a probability of ids per bit; beyond that many ids all rows may pass.
+    """
+    size = min(max(LEAST_BITS, 1 << (ROOM * ids).bit_length()), MOST_BITS)
+    place = F.pmod(F.xxhash64(F.lit("likely"), "doc_id"), F.lit(size))
+    bits = known.select(F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_bit"))
+    maps = bits.repartition("_bucket").groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    found = docs.withColumns({"_bucket": F.bitmap_bucket_number(place), "_bit": F.bitmap_bit_position(place)}).join(
+        F.broadcast(maps), "_bucket")
+    byte = F.conv(F.hex(F.expr("substring(_map, cast(_bit div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    return found.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).where("doc_id is not null").select(*docs.columns)
 
 
 class Rows:
@@ -45,18 +58,25 @@ class Rows:
     texts of a repeated id the least is taken, a null text is the empty one.
     ``prepare`` makes of an Arrow column of texts (a binary value, a number) per text; every
     ``apart``-th row is kept from the fit (0: none). As a context manager it lets the rows go.
+
+    Texts and labels meet in their part, in one shuffle that carries the labelled texts once and few
+    others: a bitmap of the labelled ids' hashes, of bounded size, tells most others where they are read.
     """
 
     def __init__(self, docs, labels, label, rows, prepare, apart=0, part_rows=PART_ROWS):
-        known = _known(labels, label, rows)
-        self.parts = min(max(1, known.count() // part_rows), MOST_PARTS)
         id_ = F.col("doc_id")
+        known = labels.filter(rows & id_.isNotNull() & F.col(label).isin(0, 1)).select(
+            "doc_id", F.lit(None).cast("string").alias("text"), F.col(label).cast("int").alias("y"))
+        labelled = known.select("doc_id").distinct().count()
+        self.parts = min(max(1, labelled // part_rows), MOST_PARTS)
         kept = F.pmod(F.xxhash64(F.lit("apart"), id_), F.lit(apart)) == 0 if apart else F.lit(False)
-        dealt = docs.select("doc_id", "text").join(known, "doc_id").withColumn(
+        written = _likely(docs.select("doc_id", "text"), known, labelled).withColumn("y", F.lit(None).cast("int"))
+        dealt = written.unionAll(known).withColumn(
             "part", F.pmod(F.xxhash64(id_), F.lit(self.parts)).cast("int")).repartition(self.parts, "part")
-        # One shuffle of the labelled texts: the groups lie within the parts.
+        # The groups lie within the parts: rows of documents have no label, rows of labels no text.
         texts = dealt.groupBy("part", "doc_id").agg(
-            F.coalesce(F.min("text"), F.lit("")).alias("text"), F.max("y").cast("int").alias("y"))
+            F.coalesce(F.min("text"), F.lit("")).alias("text"), F.max("y").alias("y"),
+            F.bool_or(F.col("y").isNull()).alias("written")).where("written and y is not null")
         self.table = texts.sortWithinPartitions("part", F.xxhash64(F.lit("place"), id_), id_).select(
             "part", "y", kept.alias("apart"), "text").mapInArrow(_prepared(prepare), _PREPARED).persist(
             StorageLevel.MEMORY_AND_DISK)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.llm import quality, toxicity
-from riskloom.llm.rounds import Rows
+from riskloom.llm.rounds import Rows, _likely
 
 SIZE = 700
 
@@ -81,3 +81,33 @@ def test_the_deal_changes_no_weight(spark, train, monkeypatch):
         found.append(train(docs.repartition(tasks), labels, F.lit(True)))
     spark.conf.set("spark.sql.shuffle.partitions", 3)
     assert all((found[0][n] == found[1][n]).all() for n in found[0])
+
+
+def test_labelled_texts_are_shuffled_once_whatever_the_plan(spark):
+    """No join moves texts: with and without a broadcast of the labels the volume is that of the labelled."""
+    docs, labels = _tables(spark)
+    more = docs.union(spark.range(SIZE, 40 * SIZE).select("id", F.lit("no label").alias("text")))
+    before, found = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    try:
+        for limit in ("-1", "1g"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            with Rows(more, labels, "toxic", F.lit(True), quality.prepared, part_rows=50) as table:
+                found.append(sorted(map(tuple, table.table.select("part", "y", "data").collect())))
+                plan = table.table._jdf.queryExecution().executedPlan().toString()
+                assert "SortMergeJoin" not in plan
+                assert plan.split("Initial Plan")[-1].count("REPARTITION_BY_NUM") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found[0] == found[1] and len(found[0]) == SIZE
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 22])
+def test_texts_without_a_label_are_left_out_where_they_are_read(spark, monkeypatch, bits):
+    monkeypatch.setattr("riskloom.llm.rounds.LEAST_BITS", bits)
+    monkeypatch.setattr("riskloom.llm.rounds.MOST_BITS", bits)
+    docs = spark.range(-5_000, 5_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")).union(
+        spark.createDataFrame([(None, "t")], "doc_id long, text string"))
+    known = docs.where("doc_id % 10 = 0")
+    kept = _likely(docs, known, 1_000)
+    assert kept.columns == docs.columns and not kept.where("doc_id is null").count()
+    assert kept.where("doc_id % 10 = 0").count() == 1_000 and kept.count() < 1_000 + 9_000 * 2 * 1_000 / bits + 5
