@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import riskloom
 from riskloom.llm import bpe, jaccard, mixing, pii, quality, queries
 from riskloom.llm.blocks import unused
-from riskloom.llm.scratch import kept_once
+from riskloom.llm.scratch import kept_once, small_batches
 from riskloom.session import ship_package
 
 
@@ -67,10 +67,15 @@ def mixing_stage(spark, docs, sf_dir):
 
 def tokens_stage(spark, docs, sf_dir):
     """Token ids of each row, their number, and whether they decode to the same text; a null or empty
-    text has none. Other columns go."""
+    text has none. Other columns go.
+
+    Executors come here with full heaps, so the table is written with small batches to and from Python.
+    """
     _shipped(spark)
-    return bpe.encode(docs.select("doc_id", "lang", "source", "text"), intact="intact").select(
+    made = bpe.encode(docs.select("doc_id", "lang", "source", "text"), intact="intact").select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "intact")
+    with small_batches(spark):
+        return kept_once(made, "tokens")
 
 
 STAGES = [

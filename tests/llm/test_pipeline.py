@@ -50,3 +50,18 @@ def test_stages_keep_columns_with_clashing_names(spark, sf):
         docs = kept_once(stage(spark, docs, sf), f"clash{number}")
     rows = docs.collect()
     assert rows and all(r[n] == f"{n} of {r['doc_id']}" for r in rows for n in names)
+
+
+def test_tokens_are_written_with_small_batches(spark, hostile, monkeypatch):
+    key, sizes, write = "spark.sql.execution.arrow.maxBytesPerBatch", [], corpus_pipeline.kept_once
+    before = spark.conf.get(key)
+
+    def watched(df, name):
+        sizes.append(spark.conf.get(key))
+        return write(df, name)
+
+    monkeypatch.setattr(corpus_pipeline, "kept_once", watched)
+    docs = hostile.where("doc_id is not null")
+    made = corpus_pipeline.tokens_stage(spark, docs, None)
+    assert sizes == ["2m"] and spark.conf.get(key) == before
+    assert made.count() == docs.count() and made.where("not intact").count() == 0
