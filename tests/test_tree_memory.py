@@ -51,3 +51,34 @@ def test_runs_of_a_key_are_merged_on_the_way(monkeypatch):
     assert [k for k, _ in found] == [(0, 0), (1, 0)] and max(most) <= 100
     assert (found[0][1] == [values, np.full(20, 100), np.full(20, 200), 100 * values]).all()
     assert (found[1][1][1] == 1).all()
+
+
+def test_values_of_a_chunk_are_sorted_once_for_all_passes(monkeypatch):
+    rows, width = 2_000, 2
+    draw = np.random.default_rng(5)
+    x, y = np.round(draw.random((rows, width)), 2), (np.arange(rows) % 3 == 0).astype(np.uint8)
+    x[::7, 1] = np.nan
+    block = pa.RecordBatch.from_arrays(
+        [pa.array([v], pa.binary()) for v in (y.tobytes(), x.tobytes(), None)], BLOCKS.names)
+    coded = list(trees._coded(lambda batches: batches, width)([block]))
+    nodes = trees.Nodes()
+    nodes.add(0, 0)
+    run = trees._level_pass(nodes.arrays(), [0], np.arange(1), [[0, 1]], None, width, trees.ClassWeights())
+    raw = [b.to_pydict() for b in run([block])]
+    monkeypatch.setattr(trees.np, "unique", None)
+    assert [b.to_pydict() for b in run(coded)] == raw and len(raw) == width
+
+
+def test_buckets_make_the_runs_once(spark):
+    made, values = spark.sparkContext.accumulator(0), np.arange(20.0)
+
+    def runs(batches):
+        for batch in batches:
+            made.add(1)
+            for i in batch.column("id").to_pylist():
+                data = [splits.packed_run(v, np.ones(10), np.ones(10), v % 20 > 12) for v in (values[:10], values[10:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(([0, 0], [0, 0], [0, 1], data), trees._RUN_KINDS)], splits.RUNS.fieldNames())
+
+    found = splits.best_of_runs(spark.range(0, 3, 1, 3).mapInArrow(runs, splits.RUNS), bucketed=True)
+    assert [(r["value"], r["left_cnt"], r["node_cnt"]) for r in found] == [(12.0, 39.0, 60.0)] and made.value == 3
