@@ -108,6 +108,63 @@ def test_parts_keep_all_tokens(monkeypatch):
     assert whole.a.tolist() == cut.a.tolist() and whole.b.tolist() == cut.b.tolist()
 
 
+def odd_texts(seed, n):
+    """Texts whose words' edges are no edges of B's pieces: spaces, line ends, contractions, marks."""
+    pick = random.Random(seed)
+    pieces = ["a", "I", "'s", "'somed", "'ll", "don't", " ", "  ", "     ", "\n", "\r\n", "\t", "\n \t", ");", "->", ".\r", "12", "²",
+              "².", "e\u0301", "\u0301", "\u200b", "▁", "▁▁", "<0x0A>", "</s>", "\x01", "\x01a", "😀", "日本", "א", "\u00a0", "\u2003", "_x"]
+    return ["".join(pick.choice(pieces) for _ in range(pick.randrange(1, 25))) for _ in range(n)]
+
+
+def by_stretches(stretches, texts):
+    """What is known of each text, links as pairs of ids."""
+    out = []
+    for text in alignment._texts(stretches, texts):
+        values, links = text.values()
+        codes = stretches.codes[np.concatenate([np.zeros(0, np.int32), *links])]
+        out.append((*values, list(zip((codes >> 32).tolist(), (codes & 0xFFFFFFFF).tolist()))))
+    return out
+
+
+def whole(text):
+    a, b, groups, shared, links = one(text)
+    return a, b, len(groups), shared, len(links), hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "", links
+
+
+@pytest.mark.parametrize("room", [150_000, 60, 0])
+def test_stretches_make_whole_texts(room, monkeypatch):
+    """Texts put together from stretches are the texts tokenized as a whole, whatever is forgotten."""
+    monkeypatch.setattr(alignment, "STORE_STRETCHES", room)
+    monkeypatch.setattr(alignment, "PART_BYTES", 500)
+    stretches = alignment.Stretches(alignment.Tokenizers(bpe.default_path(), alignment.default_pieces()))
+    assert stretches.tokenizers.cuts
+    texts = [*odd_texts(7, 400), *[x for _, x in texts_of(8, 150) if x], "the quick " * 30]
+    assert by_stretches(stretches, texts) == [whole(x) for x in texts]
+
+
+def test_whole_texts_where_nothing_may_be_cut():
+    """As with a piece model that changes characters: texts are tokenized whole."""
+    t = alignment.Tokenizers(bpe.default_path(), alignment.default_pieces())
+    t.cuts = False
+    texts = odd_texts(9, 60)
+    assert by_stretches(alignment.Stretches(t), texts) == [whole(x) for x in texts]
+
+
+def test_a_stretch_is_encoded_once(monkeypatch):
+    """Words that texts share are encoded for the first of them only, and no store grows without end."""
+    t = alignment.Tokenizers(bpe.default_path(), alignment.default_pieces())
+    stretches, seen, encode = alignment.Stretches(t), [], t.encode_stretches
+    monkeypatch.setattr(t, "encode_stretches", lambda texts, *how: seen.extend(texts) or encode(texts, *how))
+    monkeypatch.setattr(alignment, "STORE_STRETCHES", 100)
+    monkeypatch.setattr(alignment, "PART_BYTES", 40)
+    alignment._texts(stretches, ["some words that stand in every text"] * 50)
+    assert len(seen) == 7
+    for i in range(300):
+        alignment._texts(stretches, [f"some words w{'xyz'[i % 3] * (i + 2)}"])
+        assert len(stretches.index) <= 105
+    assert seen.count(" some") == 1
+
+
 def test_overlaps_and_groups():
     t = alignment.Tokenizers(bpe.default_path(), alignment.default_pieces())
     texts = [x for _, x in texts_of(3, 200) if x]
