@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import riskloom
 from riskloom.llm import bpe, jaccard, mixing, pii, quality, queries
 from riskloom.llm.blocks import unused
-from riskloom.llm.scratch import kept_once, small_batches
+from riskloom.llm.scratch import kept_once, small_batches, small_batches_from_now
 from riskloom.session import ship_package
 
 
@@ -20,6 +20,13 @@ def _shipped(spark):
     ship_package(spark, os.path.dirname(riskloom.__file__))
 
 
+def _ready(spark):
+    """For stages whose tables are computed when they are read: batches of whole texts stay small then
+    too, as 64 MB of them, held several times on either side, stay with the executors afterwards."""
+    _shipped(spark)
+    small_batches_from_now(spark)
+
+
 def _with_length(docs):
     """``n_chars`` of the texts as they are now."""
     return docs.withColumn("n_chars", F.length("text").cast("long"))
@@ -31,7 +38,7 @@ def quality_stage(spark, docs, sf_dir):
     Repeated rows get equal scores; an empty table stays empty. In this stage as in the next three
     the columns of the documents stay as they are, whatever further ones are called.
     """
-    _shipped(spark)
+    _ready(spark)
     column = unused(docs, "_quality")
     scored = quality.score(docs, queries.quality_weights(spark, sf_dir, docs), column=column)
     return scored.filter(F.col(column) >= 0.5).select(*docs.columns)
@@ -43,13 +50,13 @@ def near_duplicates_stage(spark, docs, sf_dir):
     A null id comes before others. Rows that repeat id and text are one document; texts without words,
     null ones included, are linked to none and all stay.
     """
-    _shipped(spark)
+    _ready(spark)
     return jaccard.one_of_each(docs)
 
 
 def personal_data_stage(spark, docs, sf_dir):
     """Personal data are replaced by their kind; a null text stays null, with a null length."""
-    _shipped(spark)
+    _ready(spark)
     return _with_length(pii.mask(docs, pii.train(docs))).select(*docs.columns)
 
 
@@ -59,7 +66,7 @@ def mixing_stage(spark, docs, sf_dir):
     Texts are whole. Null and empty texts have no words, so a mix by words takes a copy of them only
     where a source is taken whole. Repeated rows are mixed as rows of their own.
     """
-    _shipped(spark)
+    _ready(spark)
     names = {"shard": unused(docs, "shard"), "place": unused(docs, "place")}
     mixed = mixing.shuffled(mixing.mix(docs, shards=None, **names), **names)
     return _with_length(mixed).select(*docs.columns)

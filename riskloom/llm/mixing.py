@@ -13,9 +13,9 @@ Only one row per source and the counts of the tree are on the driver.
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import functions as F, types as T, Window
+from pyspark.sql import functions as F, Window
 
-from riskloom.llm.scratch import kept_once
+from riskloom.llm.scratch import kept_once, local_rows
 
 BLOCKS = 1_024
 #: Shards: a number, or None for one per so many words, within these bounds.
@@ -111,7 +111,7 @@ def plan(narrow, shards=SHARDS, seed=17):
         rows.append((r["_key"], copies, rest))
     schema = "_key string, copies int, rest long"
     # One row per source, MAX_SOURCES at most.
-    quota = F.broadcast(spark.createDataFrame(rows, schema))
+    quota = F.broadcast(local_rows(spark, rows, schema))
     permuted = Window.partitionBy("_key").orderBy(F.xxhash64(F.lit(seed + 2), "_block"), "_block")
     before = F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, -1))
     chosen = blocks.join(quota, "_key").withColumn("before", F.coalesce(before, F.lit(0))).withColumn(
@@ -125,9 +125,9 @@ def plan(narrow, shards=SHARDS, seed=17):
         words = sum(target for _, target in known.values())
         shards = int(min(MOST_SHARDS, max(SHARDS, words // WORDS_PER_SHARD)))
     split = split_quotas([counted[k] for k in order], shards, seed)
-    ends = spark.createDataFrame(
-        [(k, [int(x) for x in row]) for k, row in zip(order, np.cumsum(split, axis=1))],
-        T.StructType.fromDDL("_key string, ends array<long>"))
+    ends = local_rows(
+        spark, [(k, [int(x) for x in row]) for k, row in zip(order, np.cumsum(split, axis=1))],
+        "_key string, ends array<long>")
     drawn = Window.partitionBy("_key").orderBy(F.xxhash64(F.lit(seed + 3), "copy", "_block"), "copy", "_block")
     placed = units.join(F.broadcast(ends), "_key").withColumn("place", F.row_number().over(drawn)).withColumn(
         "shard", F.size(F.filter("ends", lambda e: e < F.col("place"))))
@@ -169,8 +169,8 @@ def amounts(docs, shards=SHARDS, seed=17):
     """
     narrow = kept_once(sized(docs, seed).select("doc_id", "_key", "_size", "_hash", "_block"), "sized")
     block_plan, known = plan(narrow, shards, seed)
-    per_source = narrow.sparkSession.createDataFrame(
-        [(k, int(s), t) for k, (s, t) in known.items()], "_key string, source_size long, target double")
+    per_source = local_rows(
+        narrow.sparkSession, [(k, int(s), t) for k, (s, t) in known.items()], "_key string, source_size long, target double")
     return takes(narrow, block_plan).join(F.broadcast(per_source), "_key").select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target",
         (F.col("_copies") * F.col("_size") + F.col("_taken")).cast("long").alias("taken"),

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from riskloom.llm.blocks import unused, with_text_columns
-from riskloom.llm.scratch import kept_once
+from riskloom.llm.scratch import kept_once, local_rows
 from riskloom.llm.tagger import PAD, Tagger, symbols
 
 KINDS = ("email", "ip", "card", "phone")
@@ -231,7 +231,7 @@ def sampled(df, text="text", texts=SAMPLE_TEXTS):
         order = F.shiftrightunsigned("h", 1), "h"
         chosen += keys.filter((F.col("labelled") == labelled) & thin).orderBy(*order).limit(most).collect()
     # ``texts`` hashes at most.
-    wanted = df.sparkSession.createDataFrame([(r["h"],) for r in chosen], "h long")
+    wanted = local_rows(df.sparkSession, [(r["h"],) for r in chosen], "h long")
     return rows.join(F.broadcast(wanted), "h", "left_semi").groupBy("h").agg(F.min("t").alias("t")).select("t")
 
 

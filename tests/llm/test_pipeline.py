@@ -3,8 +3,8 @@ import re
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskloom.llm import pii
-from riskloom.llm.scratch import kept_once
+from riskloom.llm import mixing, pii
+from riskloom.llm.scratch import kept_once, local_rows
 
 
 def test_stages(spark, sf):
@@ -65,3 +65,47 @@ def test_tokens_are_written_with_small_batches(spark, hostile, monkeypatch):
     made = corpus_pipeline.tokens_stage(spark, docs, None)
     assert sizes == ["2m"] and spark.conf.get(key) == before
     assert made.count() == docs.count() and made.where("not intact").count() == 0
+
+
+def test_all_stages_exchange_small_batches(spark, sf):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    docs = spark.createDataFrame([(i, "word " * 60_000, "a") for i in range(24)], "doc_id long, text string, source string")
+    one = docs.coalesce(1).select("text")
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    try:
+        for stage in (corpus_pipeline.near_duplicates_stage, corpus_pipeline.personal_data_stage,
+                      corpus_pipeline.mixing_stage):
+            spark.conf.unset(key)
+            stage(spark, docs, sf)
+            # A batch ends with the row that fills it.
+            assert max(r["n"] for r in one.mapInArrow(sizes, "n long").collect()) < 3 << 20
+        spark.conf.set(key, "1m")
+        corpus_pipeline.mixing_stage(spark, docs, sf)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_rows_of_the_driver_need_no_python_workers(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark.sparkContext), "parallelize", None)
+        assert mixing.mix(docs).count() and mixing.amounts(docs).count() == docs.count()
+        assert pii.sampled(docs).count()
+        none = docs.where("doc_id < 0")
+        assert not mixing.mix(none).count() and not pii.sampled(none).count()
+
+
+def test_rows_of_the_driver(spark):
+    rows = [("é", 2**40, [1, 2], 0.5), (None, None, None, None), ("", -1, [], 1.0)]
+    ddl = "a string, b long, c array<long>, d double"
+    made = local_rows(spark, rows, ddl)
+    assert [tuple(r) for r in made.collect()] == rows and made.schema == spark.createDataFrame(rows, ddl).schema
+    assert local_rows(spark, [], ddl).collect() == []
